@@ -34,6 +34,11 @@ VOID = frozenset(
 STRUCTURE = frozenset("table thead tr td th caption h1 h2 h3".split())
 READABLE = frozenset("td th caption h1 h2 h3".split())
 SILENT = frozenset("script style template rt rp".split())
+RAW_TEXT = frozenset(
+    "script style textarea title iframe noembed noframes noscript xmp plaintext".split()
+)
+_BARE_START = re.compile("<([a-zA-Z][a-zA-Z0-9]*)>")
+_BARE_END = re.compile("</([a-zA-Z][a-zA-Z0-9]*)>")
 READABLE_CLASS = re.compile("header|cell|col")
 
 NODE_TYPE = T.StructType(
@@ -86,6 +91,28 @@ class _Events(HTMLParser):
             if text and self.readable and not self.silent:
                 self._node("#text", text=text)
 
+    # Most tags are bare names: read those directly, leave the others to the parser.  Line
+    # numbers are not kept.
+
+    def parse_starttag(self, i):
+        bare = _BARE_START.match(self.rawdata, i)
+        if bare:
+            tag = bare.group(1).lower()
+            if tag not in RAW_TEXT:
+                self.handle_starttag(tag, ())
+                return bare.end()
+        return super().parse_starttag(i)
+
+    def parse_endtag(self, i):
+        bare = _BARE_END.match(self.rawdata, i)
+        if bare and self.cdata_elem is None:
+            self.handle_endtag(bare.group(1).lower())
+            return bare.end()
+        return super().parse_endtag(i)
+
+    def updatepos(self, i, j):
+        return j
+
     def handle_starttag(self, tag, attrs):
         self._end_text()
         if tag not in VOID:
@@ -98,13 +125,13 @@ class _Events(HTMLParser):
 
     def _push(self, tag, attrs):
         cls, node_id, readable = None, -1, tag in READABLE
-        if tag == "div" or tag in STRUCTURE:
+        if attrs and tag == "div":
             cls = " ".join((dict(attrs).get("class") or "").split()).lower() or None
         if tag == "div" and cls:
             node_id = self._node(tag, cls)
             readable = READABLE_CLASS.search(cls) is not None
         elif tag in STRUCTURE:
-            node_id = self._node(tag, cls)
+            node_id = self._node(tag)
         self.path.append((tag, node_id, readable))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.readable += readable
