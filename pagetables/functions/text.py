@@ -67,5 +67,5 @@ def preview(items: Column, limit: int, sep: str = ", ") -> Column:
 
 
 def json_text(col: Column) -> Column:
-    """A string as a quoted JSON scalar (``to_json`` only takes containers)."""
-    return F.regexp_extract(F.to_json(F.array(col)), r"(?s)^\[(.*)\]$", 1)
+    """A string as a quoted JSON scalar (``to_json`` only takes containers); NULL stays NULL."""
+    return F.when(col.isNotNull(), F.regexp_extract(F.to_json(F.array(col)), r"(?s)^\[(.*)\]$", 1))

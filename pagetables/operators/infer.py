@@ -35,8 +35,8 @@ DATE_FORMATS = {
 }
 MAYBE_DATE = r"^[0-9]{2,4}[-/.][0-9]{2}[-/.][0-9]{2,4}"
 
-# Longer values are prose and follow no pattern.
-PATTERN_LENGTH = 64
+# Longer values are prose and follow no pattern, nor do values with control characters.
+SHAPEABLE = r"^[^\x00-\x1f]{1,64}$"
 
 # Names to types for columns without values; the first match wins.
 NAME_RULES = [
@@ -73,7 +73,7 @@ COLUMN_DDL = (
 def shape(value: Column) -> Column:
     """A value as an expression: runs of capitals, small letters and digits generalised."""
     marks = {"[A-Z]+": "\u0001", "[a-z]+": "\u0002", "[0-9]+": "\u0003"}
-    text = F.regexp_replace(value, r"([^A-Za-z0-9 ])", r"\\$1")
+    text = F.regexp_replace(value, r"([\\.^$|?*+()\[\]{}])", r"\\$1")
     for run, mark in marks.items():
         text = F.regexp_replace(text, run, mark)
     for run, mark in marks.items():
@@ -124,7 +124,7 @@ def facts(value: Column) -> Column:
                 k.alias("kind"),
                 F.when(k.isin("int", "float"), v.try_cast("double")).alias("number"),
                 F.coalesce(t["dates"], F.lit(0)).alias("dates"),
-                F.when((k == "string") & (F.char_length(v) <= PATTERN_LENGTH), shape(v)).alias("shape"),
+                F.when((k == "string") & v.rlike(SHAPEABLE), shape(v)).alias("shape"),
             ),
         )
 
@@ -139,16 +139,18 @@ def _votes(
     best: Callable[[str, str], Column],
 ) -> Column:
     """Votes by a way of counting facts and a way of taking ``min``/``max`` of one."""
+
+    def of_kind(kind: str) -> Column:
+        return count_where(lambda f: F.coalesce(f["kind"] == kind, F.lit(False)))
+
+    def in_format(i: int) -> Column:
+        return count_where(lambda f: f["dates"].bitwiseAND(1 << i) != 0)
+
     return F.struct(
         count_where(lambda f: F.lit(True)).alias("total"),
         count_where(lambda f: f["kind"].isNull()).alias("blank"),
-        *[count_where(lambda f, k=k: F.coalesce(f["kind"] == k, F.lit(False))).alias(k) for k in KINDS],
-        F.array(
-            *[
-                count_where(lambda f, i=i: f["dates"].bitwiseAND(1 << i) != 0)
-                for i in range(len(DATE_FORMATS))
-            ]
-        ).alias("formats"),
+        *[of_kind(kind).alias(kind) for kind in KINDS],
+        F.array(*[in_format(i) for i in range(len(DATE_FORMATS))]).alias("formats"),
         best("min", "number").alias("minimum"),
         best("max", "number").alias("maximum"),
         count_where(lambda f: F.coalesce(f["kind"] == "string", F.lit(False)) & f["shape"].isNull())

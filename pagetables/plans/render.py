@@ -125,6 +125,25 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.select(F.col("c_custkey").alias("doc_id"), table.alias("html"))
 
 
+def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per supplier, with a blank row and a row without cells among the first five,
+    a cell with markup and a comment, and an unclosed cell."""
+    suppliers = load(spark, sf_dir, "supplier")
+    name = escape(F.col("s_name"))
+    table = element(
+        "table",
+        row("th", "key", "name", "balance"),
+        element("tr", element("td", text("s_suppkey")), element("td", " ", element("b", name), " x "),
+                element("td", money("s_acctbal"))),
+        element("tr", element("td", ""), element("td", " "), element("td", "<!-- none -->")),
+        element("tr", "<!-- no cells -->"),
+        element("tr", "<td>a<!-- c --> b<td>", text("s_nationkey")),
+        row("td", "last", "&<>", text("s_nationkey")),
+        row("td", "beyond", "the", "sample"),
+    )
+    return suppliers.select(F.col("s_suppkey").alias("doc_id"), table.alias("html"))
+
+
 def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per part: no table element but a ``div`` grid."""
     parts = load(spark, sf_dir, "part")

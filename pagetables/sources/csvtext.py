@@ -21,7 +21,7 @@ _ARROW_GRID = pa.list_(pa.list_(pa.string()))
 def rows_of(content: bytes | str) -> list[list[str]]:
     """All rows of one CSV text, with universal line ends and without a byte order mark."""
     text = content if isinstance(content, str) else content.decode("utf-8-sig")
-    text = text.removeprefix("﻿").replace("\r\n", "\n").replace("\r", "\n")
+    text = text.removeprefix("\ufeff").replace("\r\n", "\n").replace("\r", "\n")
     return list(csv.reader(io.StringIO(text, newline="")))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MEGABYTE = 1024 * 1024
 DEFAULT_MAX_MB = 10
@@ -108,6 +107,3 @@ def read_csv_sample(spark: SparkSession, path: str, n: int = 100) -> DataFrame:
         .limit(n)
     )
 
-
-def is_binary(frame: DataFrame, column: str) -> bool:
-    return isinstance(frame.schema[column].dataType, T.BinaryType)
