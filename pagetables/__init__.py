@@ -7,6 +7,13 @@ data moves between executors only where rows of different documents meet (patche
 metrics, whole-table profiles).
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from pagetables.session import get_session, spread
 
+# What runs in Python tasks is sent by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["get_session", "spread"]
