@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pagetables.functions.text import json_text
 
@@ -144,14 +146,10 @@ def run_model(
     becomes ``content = "Error: …"`` and ``error``.  It runs once per row and again when a
     task is retried, so write the responses before using them more than once.
     """
-    import time
-
-    from pyspark.sql.types import StructType
-
     keep = [c for c in prompts.columns if c != "prompt"]
-    schema = StructType([prompts.schema[c] for c in keep])
-    for field in StructType.fromDDL(RESPONSE_DDL):
-        schema = schema.add(field)
+    answer = StructType.fromDDL(RESPONSE_DDL)
+    schema = StructType([prompts.schema[c] for c in keep] + answer.fields)
+    answer_names = answer.names
     options = {
         "model": model, "system": system, "max_tokens": max_tokens, "temperature": temperature,
     }
@@ -169,7 +167,7 @@ def run_model(
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             replies = pd.DataFrame([ask(p) for p in batch["prompt"]], index=batch.index)
-            replies = replies.reindex(columns=StructType.fromDDL(RESPONSE_DDL).names)
+            replies = replies.reindex(columns=answer_names)
             for name in _USAGE:
                 replies[name] = replies[name].astype("Int64")
             yield pd.concat([batch[keep], replies], axis=1)

@@ -33,7 +33,7 @@ def table_metadata(table: Column) -> dict[str, Column]:
     return {
         "table_caption": F.nullif(table["caption"], F.lit("")),
         "column_count": F.size(table["headers"]),
-        "sample_rows_count": F.least(F.size(table["rows"]), F.lit(5)),
+        "sample_rows_count": F.size(F.slice(table["rows"], 1, 5)),
         "has_sample_data": F.size(table["rows"]) > 0,
     }
 
