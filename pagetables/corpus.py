@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.functions.rows import once
 from pagetables.operators.csvschema import csv_tables
 from pagetables.operators.extract import extract_tables
 from pagetables.operators.infer import table_columns
@@ -48,7 +49,7 @@ def document_schemas(
     staged = selected.withColumn("status", status)
     ok = F.col("status") == "Success"
     named = F.nullif(table["caption"], F.lit(""))
-    schemas = staged.select(
+    schemas = once(staged, columns=F.when(ok, table_columns(table))).select(
         F.col("doc_id").alias("schema_id"),
         F.lit(0).alias("version"),
         "status",
@@ -57,7 +58,7 @@ def document_schemas(
         "table",
         F.when(ok, F.coalesce(named, F.lit(HEADER_NAME))).alias("name"),
         F.when(ok, HEADER_TEXT).alias("description"),
-        F.when(ok, table_columns(table)).alias("columns"),
+        "columns",
     )
     members = {**table_metadata(table), **source_metadata(F.lit(kind), F.col("source"), F.col("table_index"))}
     return attach_metadata(schemas, **members).drop("source", "table_index", "table")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.functions.rows import once
 from pagetables.functions.text import basename, bind, contains_any, is_blank, strip
 from pagetables.operators.extract import TABLES_TYPE, with_status
 
@@ -166,17 +167,10 @@ def csv_record(rows: Column, source: Column, sample: int) -> Column:
 
 def csv_tables(files: DataFrame, sample: int = 5) -> DataFrame:
     """``parse_csv`` output to documents, one table each."""
-    keep = [c for c in files.columns if c not in ("status", "rows")]
     table = csv_record(F.col("rows"), F.col("source"), sample)
-    return with_status(
-        files.select(
-            *keep,
-            "status",
-            F.when(F.col("status").isNull() & F.col("rows").isNotNull(), F.array(table))
-            .cast(TABLES_TYPE)
-            .alias("tables"),
-        )
-    )
+    readable = F.col("status").isNull() & F.col("rows").isNotNull()
+    tables = F.when(readable, F.array(table)).cast(TABLES_TYPE)
+    return with_status(once(files, tables=tables).drop("rows"))
 
 
 def detect_schema_csv(files: DataFrame) -> DataFrame:

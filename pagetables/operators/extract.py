@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetables.functions.rows import once
 from pagetables.functions.text import bind, contains_any, strip
 
 # First cells that mark a property-value row.
@@ -314,14 +315,8 @@ def extract_tables(
             lambda e, i: table_record(nodes, e, i, heads, sample, vertical, div_classes),
         ),
     )
-    keep = [F.col(c) for c in dom.columns if c not in ("status", "nodes")]
-    return with_status(
-        dom.select(
-            *keep,
-            "status",
-            F.when(F.col("status").isNull(), found).cast(TABLES_TYPE).alias("tables"),
-        )
-    )
+    tables = F.when(F.col("status").isNull(), found).cast(TABLES_TYPE)
+    return with_status(once(dom, tables=tables).drop("nodes"))
 
 
 def with_status(documents: DataFrame) -> DataFrame:
@@ -389,13 +384,11 @@ def cells_of(tables: DataFrame, key: str = "doc_id") -> DataFrame:
 def align_rows(tables: DataFrame) -> DataFrame:
     """Pad short rows with empty strings and cut long ones to the headers."""
     headers = F.col("headers")
-    return tables.withColumn(
+    rows = F.transform(
         "rows",
-        F.transform(
-            "rows",
-            lambda r: F.transform(headers, lambda _, i: F.coalesce(F.get(r, i), F.lit(""))),
-        ),
+        lambda r: F.transform(headers, lambda _, i: F.coalesce(F.get(r, i), F.lit(""))),
     )
+    return once(tables, rows=rows)
 
 
 def aligned_cells(tables: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.functions.rows import once
 from pagetables.functions.text import bind, strip
 
 KINDS = ["int", "float", "date", "boolean", "object", "array", "string"]
@@ -96,39 +97,61 @@ def json_kind(value: Column) -> Column:
     ).when(value.startswith("[") & value.endswith("]") & F.try_parse_json(value).isNotNull(), "array")
 
 
+def plain_kind(v: Column) -> Column:
+    """Kind of a stripped value by its text alone; ``?`` when that does not tell."""
+    return (
+        F.when(v == "", F.lit(None).cast("string"))
+        .when(v.rlike(INT), "int")
+        .when(v.rlike(NUMBER), "float")
+        .when(v.rlike(BOOLEAN), "boolean")
+        .otherwise("?")
+    )
+
+
+def open_dates(v: Column, plain: Column) -> Column:
+    return F.when(plain == "?", date_mask(v)).otherwise(0)
+
+
+def full_kind(v: Column, plain: Column, dates: Column) -> Column:
+    return (
+        F.when(plain != "?", plain)
+        .when(dates > 0, "date")
+        .when(plain == "?", F.coalesce(json_kind(v), F.lit("string")))
+    )
+
+
+def fact(v: Column, kind: Column, dates: Column) -> dict[str, Column]:
+    return {
+        "kind": kind,
+        "number": F.when(kind.isin("int", "float"), v.try_cast("double")),
+        "dates": dates,
+        "shape": F.when((kind == "string") & v.rlike(SHAPEABLE), shape(v)),
+    }
+
+
 def facts(value: Column) -> Column:
-    """``struct<kind, number, dates, shape>``; ``kind`` is NULL for blank values."""
-
-    def typed(v: Column) -> Column:
-        plain = (
-            F.when(v == "", F.lit(None).cast("string"))
-            .when(v.rlike(INT), "int")
-            .when(v.rlike(NUMBER), "float")
-            .when(v.rlike(BOOLEAN), "boolean")
-        )
-        return bind(
-            F.struct(plain.alias("plain"), F.when((v != "") & plain.isNull(), date_mask(v)).alias("dates")),
-            lambda t: with_rest(v, t),
-        )
+    """``struct<kind, number, dates, shape>`` inside an expression; ``kind`` is NULL for
+    blank values."""
+
+    def of(v: Column) -> Column:
+        return bind(plain_kind(v), lambda plain: bind(
+            open_dates(v, plain), lambda dates: bind(
+                full_kind(v, plain, dates), lambda kind: F.struct(
+                    *[c.alias(name) for name, c in fact(v, kind, dates).items()]
+                ))))
+
+    return bind(strip(F.coalesce(value, F.lit(""))), of)
 
-    def with_rest(v: Column, t: Column) -> Column:
-        kind = (
-            F.when(v == "", F.lit(None).cast("string"))
-            .when(t["plain"].isNotNull(), t["plain"])
-            .when(t["dates"] > 0, "date")
-            .otherwise(F.coalesce(json_kind(v), F.lit("string")))
-        )
-        return bind(
-            kind,
-            lambda k: F.struct(
-                k.alias("kind"),
-                F.when(k.isin("int", "float"), v.try_cast("double")).alias("number"),
-                F.coalesce(t["dates"], F.lit(0)).alias("dates"),
-                F.when((k == "string") & v.rlike(SHAPEABLE), shape(v)).alias("shape"),
-            ),
-        )
 
-    return bind(strip(F.coalesce(value, F.lit(""))), typed)
+def with_facts(cells: DataFrame, value: str = "value") -> DataFrame:
+    """The same as columns in place of ``value``: one projection per step, all compiled."""
+    keep = [c for c in cells.columns if c != value]
+    v, plain, dates, kind = (F.col(f"_{c}") for c in ("v", "plain", "dates", "kind"))
+    steps = cells.select(*keep, strip(F.coalesce(value, F.lit(""))).alias("_v"))
+    steps = steps.select("*", plain_kind(v).alias("_plain"))
+    steps = steps.select("*", open_dates(v, plain).alias("_dates"))
+    steps = steps.select("*", full_kind(v, plain, dates).alias("_kind"))
+    return steps.select(*keep, *[c.alias(name) for name, c in fact(v, kind, dates).items()])
 
 
 # --- votes --------------------------------------------------------------------------------
@@ -137,6 +160,7 @@ def facts(value: Column) -> Column:
 def _votes(
     count_where: Callable[[Callable[[Column], Column]], Column],
     best: Callable[[str, str], Column],
+    kinds: Column,
 ) -> Column:
     """Votes by a way of counting facts and a way of taking ``min``/``max`` of one."""
 
@@ -147,6 +171,7 @@ def _votes(
         return count_where(lambda f: f["dates"].bitwiseAND(1 << i) != 0)
 
     return F.struct(
+        F.array_sort(kinds).alias("kinds"),
         count_where(lambda f: F.lit(True)).alias("total"),
         count_where(lambda f: f["kind"].isNull()).alias("blank"),
         *[of_kind(kind).alias(kind) for kind in KINDS],
@@ -160,10 +185,20 @@ def _votes(
     )
 
 
-def column_votes(fact: Column) -> Column:
-    """Votes as aggregate functions over rows; all of them combine before an exchange."""
+def row_votes() -> Column:
+    """Votes as aggregate functions over ``with_facts`` rows; all of them combine before an
+    exchange.
+
+    Collecting the (at most seven) kinds makes Spark hash objects; minima of strings
+    without it would make it sort all rows.
+    """
     pick = {"min": F.min, "max": F.max}
-    return _votes(lambda test: F.count_if(test(fact)), lambda how, name: pick[how](fact[name]))
+    fact = {name: F.col(name) for name in ("kind", "number", "dates", "shape")}
+    return _votes(
+        lambda test: F.count_if(test(fact)),
+        lambda how, name: pick[how](fact[name]),
+        F.collect_set("kind"),
+    )
 
 
 def array_votes(fact_list: Column) -> Column:
@@ -172,22 +207,19 @@ def array_votes(fact_list: Column) -> Column:
     return _votes(
         lambda test: F.size(F.filter(fact_list, test)).cast("bigint"),
         lambda how, name: pick[how](fact_list[name]),
+        F.array_compact(F.array_distinct(fact_list["kind"])),
     )
 
 
 # --- columns ------------------------------------------------------------------------------
 
 
-def resolved_type(v: Column) -> Column:
-    filled = v["total"] - v["blank"]
+def resolved_type(kinds: Column) -> Column:
+    """The only kind of value, ``float`` for mixed numbers, else ``string``."""
     return (
-        F.when(filled == 0, "null")
-        .when(v["int"] == filled, "int")
-        .when(v["int"] + v["float"] == filled, "float")
-        .when(v["date"] == filled, "date")
-        .when(v["boolean"] == filled, "boolean")
-        .when(v["object"] == filled, "object")
-        .when(v["array"] == filled, "array")
+        F.when(F.size(kinds) == 0, "null")
+        .when(F.size(kinds) == 1, F.get(kinds, F.lit(0)))
+        .when(kinds == F.array(F.lit("float"), F.lit("int")), "float")
         .otherwise("string")
     )
 
@@ -237,7 +269,7 @@ def resolve(v: Column) -> Column:
             F.when(one_shape, v["first_shape"]).alias("pattern"),
         )
 
-    return bind(resolved_type(v), rest)
+    return bind(resolved_type(v["kinds"]), rest)
 
 
 def named_column(name: Column) -> Column:
@@ -309,7 +341,7 @@ def resolve_bound(votes: Column) -> Column:
 def infer_tables(tables: DataFrame) -> DataFrame:
     """Add ``columns`` to a table per row (``tables_of``); no exchange."""
     record = F.struct("headers", "rows")
-    return tables.withColumn("columns", bind(record, table_columns))
+    return once(tables, columns=bind(record, table_columns))
 
 
 def infer_from_names(headers: DataFrame, name: str = "name") -> DataFrame:
@@ -324,34 +356,27 @@ def infer_from_names(headers: DataFrame, name: str = "name") -> DataFrame:
 def profile_votes(frame: DataFrame, by: Iterable[str] = ()) -> DataFrame:
     """``(by…, pos, name, votes)`` of every other column of a wide table of strings.
 
-    One pass over the table.  Votes are counts, minima and maxima, so each task sends one
-    row per group, whatever the size of the group.
+    One pass over the table, one long row per cell.  Votes are counts, minima and maxima,
+    so each task sends one row per group and column, whatever the size of the group.
     """
     by = list(by)
     names = [c for c in frame.columns if c not in by]
-    judged = frame.select(*by, *[facts(F.col(f"`{c}`")).alias(f"f{i}") for i, c in enumerate(names)])
-    votes = judged.groupBy(*by).agg(
-        *[column_votes(F.col(f"f{i}")).alias(f"v{i}") for i in range(len(names))]
-    )
-    stacked = F.array(
-        *[
-            F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"), F.col(f"v{i}").alias("votes"))
-            for i, c in enumerate(names)
-        ]
-    )
-    return votes.select(*by, F.inline(stacked))
+    values = F.array(*[F.col(f"`{c}`") for c in names])
+    cells = frame.select(*by, F.posexplode(values).alias("pos", "value"))
+    votes = with_facts(cells).groupBy(*by, "pos").agg(row_votes().alias("votes"))
+    name = F.get(F.array(*[F.lit(c) for c in names]), F.col("pos"))
+    return votes.select(*by, "pos", name.alias("name"), "votes")
 
 
 def type_votes(cells: DataFrame, keys: Iterable[str] = ("doc_id", "table_id", "pos")) -> DataFrame:
     """Votes per kind over long ``cells(…, value)``: counts and ranges of fixed width only,
     so that partial hash aggregation absorbs a table of any size."""
-    judged = cells.select(*keys, facts(F.col("value")).alias("f"))
-    return judged.groupBy(*keys).agg(
+    return with_facts(cells.select(*keys, "value")).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("f.kind").isNull()).alias("blank"),
-        *[F.count_if(F.col("f.kind") == k).alias(f"{k}_votes") for k in KINDS],
-        F.min("f.number").alias("minimum"),
-        F.max("f.number").alias("maximum"),
+        F.count_if(F.col("kind").isNull()).alias("blank"),
+        *[F.count_if(F.col("kind") == k).alias(f"{k}_votes") for k in KINDS],
+        F.min("number").alias("minimum"),
+        F.max("number").alias("maximum"),
     )
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.functions.rows import once
 from pagetables.functions.text import bind, strip
 from pagetables.operators.infer import COLUMN_DDL, described
 
@@ -177,7 +178,7 @@ def parse_schema_text(responses: DataFrame) -> DataFrame:
         .when(F.col("read.rescued"), "unparsed")
         .otherwise("not_a_schema")
     )
-    return responses.withColumn("read", read).select(
+    return once(responses, read=read).select(
         *[c for c in responses.columns],
         F.when(status.isin("parsed", "no_columns"), F.col("read.json")).alias("json"),
         status.alias("status"),
@@ -200,13 +201,14 @@ def normalise_schema(parsed: DataFrame, has_sample: str | None = None) -> DataFr
         empty & (F.col("status") == "parsed"), EMPTY_TEXT
     ).otherwise("")
     keep = [c for c in parsed.columns if c not in ("json", "content")]
-    return parsed.select(
-        *keep,
-        F.when(usable, F.coalesce(text_or_null(member(json, "name")), by_default)).alias("name"),
-        F.when(usable, F.coalesce(text_or_null(member(json, "description")), text_default))
-        .alias("description"),
-        F.when(usable, columns).cast(COLUMNS_DDL).alias("columns"),
-    )
+    return once(
+        parsed,
+        name=F.when(usable, F.coalesce(text_or_null(member(json, "name")), by_default)),
+        description=F.when(
+            usable, F.coalesce(text_or_null(member(json, "description")), text_default)
+        ),
+        columns=F.when(usable, columns).cast(COLUMNS_DDL),
+    ).select(*keep, "name", "description", "columns")
 
 
 def fallback_schema(schemas: DataFrame, headers: str = "headers") -> DataFrame:
@@ -258,20 +260,16 @@ def _load(docs: DataFrame, json: Column, items: Column, status: Column, strict:
     keep = [c for c in docs.columns if c != "doc"]
     default = DEFAULT_NAME if strict else UNKNOWN_NAME
     ok = F.col("status") == "Success"
-    staged = docs.select(*keep, json.alias("json")).select(
-        *keep, "json", items.alias("items")
-    ).select(*keep, "json", "items", status.alias("status"))
+    staged = once(once(once(docs, json=json), items=items), status=status)
     loaded = F.col("json")
     columns = F.transform(F.col("items"), lambda c: document_column(c, strict))
-    return staged.select(
-        *keep,
-        "status",
-        F.when(ok, F.coalesce(text_or_null(member(loaded, "name")), F.lit(default))).alias("name"),
-        F.when(ok, F.coalesce(text_or_null(member(loaded, "description")), F.lit("")))
-        .alias("description"),
-        F.when(ok, columns).cast(COLUMNS_DDL).alias("columns"),
-        F.when(ok, metadata_of(loaded)).alias("metadata"),
-    )
+    return once(
+        staged,
+        name=F.when(ok, F.coalesce(text_or_null(member(loaded, "name")), F.lit(default))),
+        description=F.when(ok, F.coalesce(text_or_null(member(loaded, "description")), F.lit(""))),
+        columns=F.when(ok, columns).cast(COLUMNS_DDL),
+        metadata=F.when(ok, metadata_of(loaded)),
+    ).select(*keep, "status", "name", "description", "columns", "metadata")
 
 
 def load_strict(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.functions.rows import once
 from pagetables.functions.text import basename, bind, json_text
 from pagetables.operators.infer import TYPE_ALIASES, described
 from pagetables.operators.parse import (
@@ -153,7 +154,7 @@ def apply_patches(schemas: DataFrame, patches: DataFrame) -> DataFrame:
     )
     joined = schemas.join(gathered, "schema_id", "left")
     changed = stamp_version(
-        joined.filter(by_name.isNotNull()).withColumn("columns", patched.cast(COLUMNS_DDL))
+        once(joined.filter(by_name.isNotNull()), columns=patched.cast(COLUMNS_DDL))
     )
     return changed.unionByName(joined.filter(by_name.isNull())).select(*schemas.columns)
 

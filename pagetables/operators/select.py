@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pagetables.functions.rows import once
 from pagetables.functions.text import preview, strip
 
 ANSWER_FORMAT = (
@@ -143,8 +144,8 @@ def select_tables(
     index = selection(
         F.col("tables_count"), F.col("recommended"), F.col("choice"), accept
     )
-    return joined.withColumn(
-        "table_index", F.when(F.col("status") == "Success", index).cast("int")
+    return once(
+        joined, table_index=F.when(F.col("status") == "Success", index).cast("int")
     ).select(
         *documents.columns,
         "table_index",
