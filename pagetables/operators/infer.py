@@ -129,20 +129,6 @@ def fact(v: Column, kind: Column, dates: Column) -> dict[str, Column]:
     }
 
 
-def facts(value: Column) -> Column:
-    """``struct<kind, number, dates, shape>`` inside an expression; ``kind`` is NULL for
-    blank values."""
-
-    def of(v: Column) -> Column:
-        return bind(plain_kind(v), lambda plain: bind(
-            open_dates(v, plain), lambda dates: bind(
-                full_kind(v, plain, dates), lambda kind: F.struct(
-                    *[c.alias(name) for name, c in fact(v, kind, dates).items()]
-                ))))
-
-    return bind(strip(F.coalesce(value, F.lit(""))), of)
-
-
 def with_facts(cells: DataFrame, value: str = "value") -> DataFrame:
     """The same as columns in place of ``value``: one projection per step, all compiled."""
     keep = [c for c in cells.columns if c != value]
@@ -157,34 +143,6 @@ def with_facts(cells: DataFrame, value: str = "value") -> DataFrame:
 # --- votes --------------------------------------------------------------------------------
 
 
-def _votes(
-    count_where: Callable[[Callable[[Column], Column]], Column],
-    best: Callable[[str, str], Column],
-    kinds: Column,
-) -> Column:
-    """Votes by a way of counting facts and a way of taking ``min``/``max`` of one."""
-
-    def of_kind(kind: str) -> Column:
-        return count_where(lambda f: F.coalesce(f["kind"] == kind, F.lit(False)))
-
-    def in_format(i: int) -> Column:
-        return count_where(lambda f: f["dates"].bitwiseAND(1 << i) != 0)
-
-    return F.struct(
-        F.array_sort(kinds).alias("kinds"),
-        count_where(lambda f: F.lit(True)).alias("total"),
-        count_where(lambda f: f["kind"].isNull()).alias("blank"),
-        *[of_kind(kind).alias(kind) for kind in KINDS],
-        F.array(*[in_format(i) for i in range(len(DATE_FORMATS))]).alias("formats"),
-        best("min", "number").alias("minimum"),
-        best("max", "number").alias("maximum"),
-        count_where(lambda f: F.coalesce(f["kind"] == "string", F.lit(False)) & f["shape"].isNull())
-        .alias("shapeless"),
-        best("min", "shape").alias("first_shape"),
-        best("max", "shape").alias("last_shape"),
-    )
-
-
 def row_votes() -> Column:
     """Votes as aggregate functions over ``with_facts`` rows; all of them combine before an
     exchange.
@@ -192,22 +150,68 @@ def row_votes() -> Column:
     Collecting the (at most seven) kinds makes Spark hash objects; minima of strings
     without it would make it sort all rows.
     """
-    pick = {"min": F.min, "max": F.max}
-    fact = {name: F.col(name) for name in ("kind", "number", "dates", "shape")}
-    return _votes(
-        lambda test: F.count_if(test(fact)),
-        lambda how, name: pick[how](fact[name]),
-        F.collect_set("kind"),
+    kind, dates, shaped = F.col("kind"), F.col("dates"), F.col("shape")
+    return F.struct(
+        F.array_sort(F.collect_set(kind)).alias("kinds"),
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(kind.isNull()).alias("blank"),
+        F.count_if(kind == "string").alias("strings"),
+        F.array(*[F.count_if(dates.bitwiseAND(1 << i) != 0) for i in range(len(DATE_FORMATS))])
+        .alias("formats"),
+        F.min("number").alias("minimum"),
+        F.max("number").alias("maximum"),
+        F.count_if((kind == "string") & shaped.isNull()).alias("shapeless"),
+        F.min(shaped).alias("first_shape"),
+        F.max(shaped).alias("last_shape"),
     )
 
 
-def array_votes(fact_list: Column) -> Column:
-    """Votes over an array of facts."""
-    pick = {"min": F.array_min, "max": F.array_max}
-    return _votes(
-        lambda test: F.size(F.filter(fact_list, test)).cast("bigint"),
-        lambda how, name: pick[how](fact_list[name]),
-        F.array_compact(F.array_distinct(fact_list["kind"])),
+def array_votes(values: Column) -> Column:
+    """The same votes over an array of values, step by step over whole arrays."""
+
+    def by(step: Callable[..., Column], items: Column, *others: Column) -> Column:
+        """``step`` of every item and of the items beside it in the other arrays."""
+        return F.transform(items, lambda v, i: step(v, *[F.get(o, i) for o in others]))
+
+    def count(items: Column, test: Callable[[Column], Column]) -> Column:
+        return F.size(F.filter(items, test)).cast("bigint")
+
+    def hits(dates: Column, i: int) -> Column:
+        return count(dates, lambda d: d.bitwiseAND(1 << i) != 0)
+
+    def counted(kinds: Column, dates: Column, numbers: Column, shapes: Column) -> Column:
+        strings = count(kinds, lambda k: F.coalesce(k == "string", F.lit(False)))
+        return F.struct(
+            F.array_sort(F.array_compact(F.array_distinct(kinds))).alias("kinds"),
+            F.size(kinds).cast("bigint").alias("total"),
+            count(kinds, lambda k: k.isNull()).alias("blank"),
+            strings.alias("strings"),
+            F.when(
+                F.array_contains(F.array_compact(kinds), "date"),
+                F.array(*[hits(dates, i) for i in range(len(DATE_FORMATS))]),
+            ).alias("formats"),
+            F.array_min(numbers).alias("minimum"),
+            F.array_max(numbers).alias("maximum"),
+            (strings - F.size(F.array_compact(shapes))).alias("shapeless"),
+            F.array_min(shapes).alias("first_shape"),
+            F.array_max(shapes).alias("last_shape"),
+        )
+
+    def with_kinds(vs: Column, dates: Column, kinds: Column) -> Column:
+        numbers = by(lambda v, k: fact(v, k, k)["number"], vs, kinds)
+        shapes = by(lambda v, k: fact(v, k, k)["shape"], vs, kinds)
+        return bind(numbers, lambda n: bind(shapes, lambda s: counted(kinds, dates, n, s)))
+
+    def with_dates(vs: Column, plains: Column, dates: Column) -> Column:
+        return bind(by(full_kind, vs, plains, dates), lambda kinds: with_kinds(vs, dates, kinds))
+
+    def with_plains(vs: Column, plains: Column) -> Column:
+        return bind(by(open_dates, vs, plains), lambda dates: with_dates(vs, plains, dates))
+
+    stripped = F.transform(values, lambda v: strip(F.coalesce(v, F.lit(""))))
+    return bind(
+        stripped,
+        lambda vs: bind(F.transform(vs, plain_kind), lambda plains: with_plains(vs, plains)),
     )
 
 
@@ -242,9 +246,7 @@ def resolve(v: Column) -> Column:
     filled = v["total"] - v["blank"]
 
     def rest(kind: Column) -> Column:
-        agreeing = F.when(kind == "float", v["int"] + v["float"]).when(
-            kind == "string", v["string"]
-        ).otherwise(filled)
+        agreeing = F.when(kind == "string", v["strings"]).otherwise(filled)
         most = F.array_max(v["formats"])
         form = F.get(
             F.array(*[F.lit(f) for f in DATE_FORMATS]),
@@ -253,7 +255,7 @@ def resolve(v: Column) -> Column:
         numeric = kind.isin("int", "float")
         one_shape = (
             (kind == "string")
-            & (v["string"] == filled)
+            & (v["strings"] == filled)
             & (v["shapeless"] == 0)
             & (v["first_shape"] == v["last_shape"])
         )
@@ -317,7 +319,7 @@ def table_columns(table: Column) -> Column:
         return bind(
             values,
             lambda vs: bind(
-                resolve_bound(array_votes_bound(F.transform(vs, facts))),
+                resolve_bound(array_votes(vs)),
                 lambda found: valued_column(name, found, F.slice(vs, 1, 5)),
             ),
         )
@@ -327,10 +329,6 @@ def table_columns(table: Column) -> Column:
     )
 
 
-def array_votes_bound(fact_list: Column) -> Column:
-    return bind(fact_list, array_votes)
-
-
 def resolve_bound(votes: Column) -> Column:
     return bind(votes, resolve)
 
