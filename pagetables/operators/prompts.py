@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -129,6 +129,7 @@ RESPONSE_DDL = (
     "content string, error string, prompt_tokens bigint, completion_tokens bigint, "
     "total_tokens bigint, latency_s double, model string"
 )
+_ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
 _USAGE = ("prompt_tokens", "completion_tokens", "total_tokens")
 
 
@@ -149,7 +150,8 @@ def run_model(
     keep = [c for c in prompts.columns if c != "prompt"]
     answer = StructType.fromDDL(RESPONSE_DDL)
     schema = StructType([prompts.schema[c] for c in keep] + answer.fields)
-    answer_names = answer.names
+    names = schema.names
+    types = [_ARROW[f.dataType.typeName()] for f in answer.fields]
     options = {
         "model": model, "system": system, "max_tokens": max_tokens, "temperature": temperature,
     }
@@ -164,12 +166,14 @@ def run_model(
         seconds = round(time.perf_counter() - begin, 3)
         return {"content": reply.get("content"), "latency_s": seconds, "model": model, **usage}
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            replies = pd.DataFrame([ask(p) for p in batch["prompt"]], index=batch.index)
-            replies = replies.reindex(columns=answer_names)
-            for name in _USAGE:
-                replies[name] = replies[name].astype("Int64")
-            yield pd.concat([batch[keep], replies], axis=1)
-
-    return prompts.mapInPandas(call, schema)
+            replies = [ask(p) for p in batch.column(len(keep)).to_pylist()]
+            columns = [
+                pa.array([r.get(name) for r in replies], kind)
+                for name, kind in zip(names[len(keep):], types)
+            ]
+            passed = [batch.column(i) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*passed, *columns], names=names)
+
+    return prompts.select(*keep, "prompt").mapInArrow(call, schema)

@@ -263,26 +263,29 @@ def to_json_docs(schemas: DataFrame, key: str = "schema_id") -> DataFrame:
     return schemas.select(key, F.to_json(document, {"pretty": "true"}).alias("doc"))
 
 
-def yaml_scalar(col: Column) -> Column:
-    """A string as a double-quoted YAML scalar: its JSON form, with the characters YAML
-    does not print (or folds) as escapes."""
-    special = "\\x7f-\\x9f\\u2028\\u2029\\ufeff\\ufffe\\uffff"
+def yaml_json(text: Column) -> Column:
+    """JSON text as YAML: the characters YAML does not print, or folds, become escapes."""
+    special = r"\x7f-\x9f\u2028\u2029\ufeff\ufffe\uffff"
 
     def escaped(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(f"[{special}]|[^{special}]+"), F.lit(0))
         return F.array_join(
             F.transform(
-                F.split(text, ""),
-                lambda ch: F.when(
-                    ch.rlike(f"[{special}]"),
-                    F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(F.ascii(ch))), 4, "0")),
-                ).otherwise(ch),
+                pieces,
+                lambda p: F.when(
+                    p.rlike(f"^[{special}]"),
+                    F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(F.ascii(p))), 4, "0")),
+                ).otherwise(p),
             ),
             "",
         )
 
-    return bind(
-        json_text(col), lambda t: F.when(t.rlike(f"[{special}]"), escaped(t)).otherwise(t)
-    )
+    return bind(text, lambda t: F.when(t.rlike(f"[{special}]"), escaped(t)).otherwise(t))
+
+
+def yaml_scalar(col: Column) -> Column:
+    """A string as a double-quoted YAML scalar."""
+    return yaml_json(json_text(col))
 
 
 def to_yaml_docs(schemas: DataFrame, key: str = "schema_id") -> DataFrame:
@@ -304,7 +307,7 @@ def to_yaml_docs(schemas: DataFrame, key: str = "schema_id") -> DataFrame:
             some(line("confidence", sparse["confidence"].cast("string"), "  ")),
             some(line("inferred", sparse["inferred"].cast("string"), "  ")),
             some(line("format", yaml_scalar(sparse["format"]), "  ")),
-            some(line("constraints", F.to_json(sparse["constraints"]), "  ")),
+            some(line("constraints", yaml_json(F.to_json(sparse["constraints"])), "  ")),
         )
 
     columns = F.when(
@@ -315,12 +318,7 @@ def to_yaml_docs(schemas: DataFrame, key: str = "schema_id") -> DataFrame:
         F.map_entries("metadata"),
         lambda e: F.concat(
             F.lit("  "), yaml_scalar(e["key"]), F.lit(": "),
-            bind(
-                F.to_json(e["value"]),
-                lambda j: F.when(
-                    j.startswith('"'), yaml_scalar(F.try_variant_get(e["value"], "$", "string"))
-                ).otherwise(j),
-            ),
+            yaml_json(F.to_json(e["value"])),
             F.lit("\n"),
         ),
     )

@@ -263,7 +263,7 @@ def shred(pages: DataFrame, content: str = "html", prefilter: bool = False) -> D
     if prefilter:
         if isinstance(pages.schema[content].dataType, T.BinaryType):
             wide = F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")  # UTF-16
-            wanted = wanted & (wide | may_hold_table(F.decode(content, F.lit("ISO-8859-1"))))
+            wanted = wanted & (wide | may_hold_table(F.decode(content, "ISO-8859-1")))
         else:
             wanted = wanted & may_hold_table(F.col(content))
     feed = pages.select(*keep, "status", F.when(wanted, F.col(content)).alias(content))

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from pagetables.corpus import document_schemas, page_documents
 from pagetables.operators.schemas import to_json_docs
 
-PAGES_SCHEMA = StructType.fromDDL("doc_id bigint, source string, html string")
+PAGES_SCHEMA = StructType().add("doc_id", "long").add("source", "string").add("html", "string")
 
 
 def page_stream(spark: SparkSession, directory: str, files_per_trigger: int = 1000) -> DataFrame:
