@@ -76,16 +76,6 @@ def table_elements(nodes: Column, implicit: bool = True, div_classes: bool = Tru
     return bind(tables, lambda t: F.when(F.size(t) > 0, t).otherwise(classed(nodes, "table", "grid")))
 
 
-def headings(nodes: Column) -> Column:
-    """``h1``-``h3`` elements with their text."""
-    return F.transform(
-        tagged(nodes, "h1", "h2", "h3"),
-        lambda h: F.struct(
-            h["id"].alias("id"), h["tag"].alias("tag"), element_text(nodes, h).alias("text")
-        ),
-    )
-
-
 # --- parts of one table; ``sub`` is the slice of nodes inside it --------------------------
 
 
@@ -125,29 +115,37 @@ def header_texts(
 def dedupe(names: Column) -> Column:
     """The k-th repeat of a name becomes ``name_k``; made-up names are not checked again.
 
-    Names are sorted with their positions, so that a name's repeats are counted from the
-    position of its first copy; arrays without repeats are returned as they are.
+    Names are sorted with their positions and cut where the name changes, so every copy
+    knows its number and the work is that of sorting.  Arrays without repeats are returned
+    as they are.
     """
 
-    def number(pairs: Column) -> Column:
-        sorted_names = pairs["name"]
-        counted = F.transform(
-            pairs,
-            lambda p, i: bind(
-                i + 1 - F.array_position(sorted_names, p["name"]),
-                lambda k: F.struct(
+    def number(pairs: Column, starts: Column) -> Column:
+        def copies(start: Column, m: Column) -> Column:
+            end = F.coalesce(F.get(starts, m + 1), F.size(pairs))
+            return F.transform(
+                F.slice(pairs, start + 1, end - start),
+                lambda p, k: F.struct(
                     p["pos"].alias("pos"),
                     F.when(k > 0, F.concat_ws("_", p["name"], k.cast("string")))
                     .otherwise(p["name"])
                     .alias("name"),
                 ),
-            ),
+            )
+
+        return F.array_sort(F.flatten(F.transform(starts, copies)))["name"]
+
+    def starts_of(pairs: Column) -> Column:
+        return F.array_compact(
+            F.transform(
+                pairs,
+                lambda p, j: F.when((j == 0) | (F.get(pairs, j - 1)["name"] != p["name"]), j),
+            )
         )
-        return F.array_sort(counted)["name"]
 
     pairs = F.array_sort(F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("pos"))))
     return F.when(F.size(F.array_distinct(names)) == F.size(names), names).otherwise(
-        bind(pairs, number)
+        bind(pairs, lambda ps: bind(starts_of(ps), lambda starts: number(ps, starts)))
     )
 
 
@@ -212,25 +210,23 @@ def property_name(cells: Column) -> Column:
     return F.when(first.endswith(":"), strip(F.regexp_replace(first, ":$", ""))).otherwise(first)
 
 
-def caption(sub: Column, first_id: Column, element: Column, heads: Column) -> Column:
-    """The nearest heading before the table, any ``h1`` before any ``h2`` before any ``h3``;
-    else the table's own caption; else empty."""
-
-    def nearest(tag: str) -> Column:
-        before = F.filter(heads, lambda h: (h["tag"] == tag) & (h["id"] < element["id"]))
-        return F.try_element_at(before, F.lit(-1))["text"]
-
+def caption(nodes: Column, sub: Column, first_id: Column, element: Column) -> Column:
+    """The text of the heading in force where the table starts, which is the nearest ``h1``
+    before any ``h2`` and ``h3``; else the table's own caption; else empty."""
+    heading = F.when(
+        element["head"] >= 0,
+        bind(F.get(nodes, element["head"]), lambda h: element_text(nodes, h)),
+    )
     own = F.transform(
         F.slice(tagged(sub, "caption"), 1, 1), lambda c: element_text(sub, c, first_id)
     )
-    return F.coalesce(nearest("h1"), nearest("h2"), nearest("h3"), F.get(own, F.lit(0)), F.lit(""))
+    return F.coalesce(heading, F.get(own, F.lit(0)), F.lit(""))
 
 
 def table_record(
     nodes: Column,
     element: Column,
     position: Column,
-    heads: Column,
     limit: int = 5,
     vertical: bool = True,
     div_classes: bool = True,
@@ -242,7 +238,7 @@ def table_record(
         return F.struct(
             position.cast("int").alias("table_id"),
             F.when(element["tag"] == "table", "table").otherwise("div").alias("kind"),
-            caption(sub, first_id, element, heads).alias("caption"),
+            caption(nodes, sub, first_id, element).alias("caption"),
             F.size(headers).alias("column_count"),
             F.size(rows).alias("row_count"),
             headers.alias("headers"),
@@ -308,12 +304,9 @@ def extract_tables(
     every page of the input has exactly one row.
     """
     nodes = F.col("nodes")
-    found = bind(
-        headings(nodes),
-        lambda heads: F.transform(
-            table_elements(nodes, implicit, div_classes),
-            lambda e, i: table_record(nodes, e, i, heads, sample, vertical, div_classes),
-        ),
+    found = F.transform(
+        table_elements(nodes, implicit, div_classes),
+        lambda e, i: table_record(nodes, e, i, sample, vertical, div_classes),
     )
     tables = F.when(F.col("status").isNull(), found).cast(TABLES_TYPE)
     return with_status(once(dom, tables=tables).drop("nodes"))

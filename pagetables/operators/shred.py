@@ -5,6 +5,8 @@ elements that table extraction can ask about are kept, with the text inside them
 
 * ``id`` is the node's position in the array and ``last`` the position of its last
   descendant, so the descendants of an element are one ``slice`` of the array;
+* ``head`` is the heading in force: the last ``h1`` so far, else the last ``h2``, else the
+  last ``h3``, else -1;
 * ``cls`` is the lower-cased class attribute, ``text`` the stripped text of a ``#text``.
 
 The tree rules are those of the standard library's event parser without any repair: no end
@@ -26,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetables.functions.rows import by_bytes
+
 # Element names.
 VOID = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen "
@@ -37,14 +41,18 @@ SILENT = frozenset("script style template rt rp".split())
 RAW_TEXT = frozenset(
     "script style textarea title iframe noembed noframes noscript xmp plaintext".split()
 )
-_BARE_START = re.compile("<([a-zA-Z][a-zA-Z0-9]*)>")
-_BARE_END = re.compile("</([a-zA-Z][a-zA-Z0-9]*)>")
+_NAME = "[a-zA-Z][a-zA-Z0-9]*"
+_SIMPLE = re.compile(
+    f"([^<&]+|&(?=[^a-zA-Z#]))|<({_NAME})>|</({_NAME})>|&({_NAME});|&#([0-9]+|[xX][0-9a-fA-F]+);"
+)
+_OPENING = re.compile("<[a-zA-Z]")
 READABLE_CLASS = re.compile("header|cell|col")
 
 NODE_TYPE = T.StructType(
     [
         T.StructField("id", T.IntegerType(), False),
         T.StructField("last", T.IntegerType(), False),
+        T.StructField("head", T.IntegerType(), False),
         T.StructField("tag", T.StringType(), False),
         T.StructField("cls", T.StringType()),
         T.StructField("text", T.StringType()),
@@ -56,6 +64,7 @@ _ARROW_NODE = pa.struct(
     [
         pa.field("id", pa.int32(), False),
         pa.field("last", pa.int32(), False),
+        pa.field("head", pa.int32(), False),
         pa.field("tag", pa.string(), False),
         pa.field("cls", pa.string()),
         pa.field("text", pa.string()),
@@ -65,89 +74,132 @@ _ARROW_NODES = pa.list_(pa.field("element", _ARROW_NODE, False))
 
 
 class _Events(HTMLParser):
-    """Parser events appended to columns; ``start`` is the row of this document's node 0."""
+    """The nodes of one document: ``last`` by node, and ``nodes`` of (head, tag, cls, text)."""
 
-    def __init__(self, last: list, tag: list, cls: list, text: list):
+    def __init__(self):
         super().__init__(convert_charrefs=False)
-        self.last, self.tag, self.cls, self.text = last, tag, cls, text
-        self.start = len(tag)
+        self.last: list[int] = []
+        self.nodes: list[tuple[int, str, str | None, str | None]] = []
         self.path: list[tuple[str, int, bool]] = []  # name, node id or -1, readable
         self.open: dict[str, int] = {}
         self.silent = self.readable = 0
+        self.headings = {"h1": -1, "h2": -1, "h3": -1}
+        self.head = -1
         self.pending: list[str] = []
 
+    def read(self, markup: str) -> None:
+        """All events of a document.
+
+        Text, bare tags and whole character references are taken here, tags with attributes
+        comments and declarations by the parser's own methods; from the first thing that is none of
+        these on, the parser reads by itself.
+        """
+        self.rawdata = markup
+        match, i, end = _SIMPLE.match, 0, len(markup)
+        while i < end:
+            if self.cdata_elem is not None:
+                closing = self.interesting.search(markup, i)
+                if closing is None:
+                    break
+                self.pending.append(markup[i : closing.start()])
+                k = i = closing.start()
+                if markup.startswith("</", i):
+                    k = self.parse_endtag(i)
+            else:
+                token = match(markup, i)
+                if token is not None:
+                    k, kind = token.end(), token.lastindex
+                    if kind == 1:
+                        self.pending.append(token.group(1))
+                    elif kind == 2:
+                        tag = token.group(2).lower()
+                        if tag in RAW_TEXT:
+                            k = self.parse_starttag(i)
+                        else:
+                            self.handle_starttag(tag, ())
+                    elif kind == 3:
+                        self.handle_endtag(token.group(3).lower())
+                    elif kind == 4:
+                        self.handle_entityref(token.group(4))
+                    else:
+                        self.handle_charref(token.group(5))
+                elif _OPENING.match(markup, i):
+                    k = self.parse_starttag(i)
+                elif markup.startswith("<!--", i):
+                    k = self.parse_comment(i)
+                elif markup.startswith("<!", i):
+                    k = self.parse_html_declaration(i)
+                else:
+                    k = -1
+            if k <= i:
+                break
+            i = k
+        self.rawdata = ""
+        if i < end:
+            self.feed(markup[i:])
+        self.close()
+        self._end_text()
+        while self.path:
+            self._pop()
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not kept
+
     def _node(self, tag, cls=None, text=None) -> int:
-        node_id = len(self.tag) - self.start
+        node_id = len(self.last)
         self.last.append(node_id)
-        self.tag.append(tag)
-        self.cls.append(cls)
-        self.text.append(text)
+        self.nodes.append((self.head, tag, cls, text))
         return node_id
 
     def _end_text(self):
-        if self.pending:
+        if self.readable and not self.silent:
             text = "".join(self.pending).strip()
-            self.pending.clear()
-            if text and self.readable and not self.silent:
+            if text:
                 self._node("#text", text=text)
-
-    # Most tags are bare names: read those directly, leave the others to the parser.  Line
-    # numbers are not kept.
-
-    def parse_starttag(self, i):
-        bare = _BARE_START.match(self.rawdata, i)
-        if bare:
-            tag = bare.group(1).lower()
-            if tag not in RAW_TEXT:
-                self.handle_starttag(tag, ())
-                return bare.end()
-        return super().parse_starttag(i)
-
-    def parse_endtag(self, i):
-        bare = _BARE_END.match(self.rawdata, i)
-        if bare and self.cdata_elem is None:
-            self.handle_endtag(bare.group(1).lower())
-            return bare.end()
-        return super().parse_endtag(i)
-
-    def updatepos(self, i, j):
-        return j
+        self.pending.clear()
 
     def handle_starttag(self, tag, attrs):
-        self._end_text()
-        if tag not in VOID:
-            self._push(tag, attrs)
+        if self.pending:
+            self._end_text()
+        if tag in VOID:
+            return
+        node_id, readable = -1, tag in READABLE
+        if tag in STRUCTURE:
+            node_id = self._node(tag)
+            if tag in self.headings:
+                self.headings[tag] = node_id
+                self.head = next(h for h in self.headings.values() if h >= 0)
+        elif attrs and tag == "div":
+            cls = " ".join((dict(attrs).get("class") or "").split()).lower()
+            if cls:
+                node_id = self._node(tag, cls)
+                readable = READABLE_CLASS.search(cls) is not None
+        self.path.append((tag, node_id, readable))
+        self.open[tag] = self.open.get(tag, 0) + 1
+        if readable:
+            self.readable += 1
+        if tag in SILENT:
+            self.silent += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
             self._pop()
 
-    def _push(self, tag, attrs):
-        cls, node_id, readable = None, -1, tag in READABLE
-        if attrs and tag == "div":
-            cls = " ".join((dict(attrs).get("class") or "").split()).lower() or None
-        if tag == "div" and cls:
-            node_id = self._node(tag, cls)
-            readable = READABLE_CLASS.search(cls) is not None
-        elif tag in STRUCTURE:
-            node_id = self._node(tag)
-        self.path.append((tag, node_id, readable))
-        self.open[tag] = self.open.get(tag, 0) + 1
-        self.readable += readable
-        self.silent += tag in SILENT
-
     def _pop(self) -> str:
         tag, node_id, readable = self.path.pop()
         self.open[tag] -= 1
-        self.readable -= readable
-        self.silent -= tag in SILENT
+        if readable:
+            self.readable -= 1
+        if tag in SILENT:
+            self.silent -= 1
         if node_id >= 0:
-            self.last[self.start + node_id] = len(self.tag) - self.start - 1
+            self.last[node_id] = len(self.last) - 1
         return tag
 
     def handle_endtag(self, tag):
-        self._end_text()
+        if self.pending:
+            self._end_text()
         if self.open.get(tag):
             while self._pop() != tag:
                 pass
@@ -168,22 +220,17 @@ class _Events(HTMLParser):
         self.pending.append(html5.get(name + ";", "&" + name))
 
     def handle_comment(self, data):
-        self._end_text()
+        if self.pending:
+            self._end_text()
 
     handle_decl = handle_pi = handle_comment
 
     def unknown_decl(self, data):
-        self._end_text()
+        self.handle_comment(data)
         if data.upper().startswith("CDATA["):
             self.pending.append(data[6:])
             self._end_text()
 
-    def finish(self):
-        self.close()
-        self._end_text()
-        while self.path:
-            self._pop()
-
 
 _CHARSET = re.compile(rb"""<meta[^>]+charset\s*=\s*["']?([\w.:-]+)""", re.I)
 
@@ -208,35 +255,27 @@ def decode_markup(content: bytes) -> str:
 
 
 def shred_batch(markup: pa.Array) -> tuple[pa.Array, pa.Array]:
-    """Node lists and error messages for one Arrow batch of markup."""
-    last, tag, cls, text = [], [], [], []
-    ids, offsets, errors = [], [0], []
+    """Node lists and error messages for one Arrow array of markup."""
+    ids, lasts, nodes, offsets, errors = [], [], [], [0], []
     for value in markup:
-        begin, error = len(tag), None
-        content = value.as_py()
+        content, error = value.as_py(), None
         if content is not None:
+            events = _Events()
             try:
-                events = _Events(last, tag, cls, text)
-                events.feed(content if isinstance(content, str) else decode_markup(content))
-                events.finish()
+                events.read(content if isinstance(content, str) else decode_markup(content))
+                ids.extend(range(len(events.last)))
+                lasts.extend(events.last)
+                nodes.extend(events.nodes)
             except Exception as problem:  # a bad page becomes a status, never a failed job
-                for column in (last, tag, cls, text):
-                    del column[begin:]
                 error = f"Error: {problem}"
-        ids.extend(range(len(tag) - begin))
-        offsets.append(len(tag))
+        offsets.append(len(ids))
         errors.append(error)
-    nodes = pa.StructArray.from_arrays(
-        [
-            pa.array(ids, pa.int32()),
-            pa.array(last, pa.int32()),
-            pa.array(tag, pa.string()),
-            pa.array(cls, pa.string()),
-            pa.array(text, pa.string()),
-        ],
+    columns = [ids, lasts, *(zip(*nodes) if nodes else [[]] * 4)]
+    structs = pa.StructArray.from_arrays(
+        [pa.array(values, field.type) for values, field in zip(columns, _ARROW_NODE)],
         fields=list(_ARROW_NODE),
     )
-    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes, type=_ARROW_NODES)
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs, type=_ARROW_NODES)
     return lists, pa.array(errors, pa.string())
 
 
@@ -272,7 +311,7 @@ def shred(pages: DataFrame, content: str = "html", prefilter: bool = False) -> D
     names = schema.names
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, len(keep) + 1):
             nodes, errors = shred_batch(batch.column(len(keep) + 1))
             status = pc.coalesce(batch.column(len(keep)).cast(pa.string()), errors)
             columns = [batch.column(i) for i in range(len(keep))]

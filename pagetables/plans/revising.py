@@ -181,21 +181,19 @@ def load_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Feedback rounds made from events: the schema is a part, the round is the event.
 PATCHES = """(
-  SELECT user_id % (SELECT count(*) FROM part) AS schema_id, event_id AS round,
+  SELECT user_id AS schema_id, event_id AS round,
          CASE WHEN event_id % 3 = 0 THEN 'size' WHEN event_id % 3 = 1 THEN 'absent' ELSE p_brand END AS column_name,
          ['type', 'nullable', 'description', 'format'][event_id % 4 + 1] AS field,
          CASE event_id % 4 WHEN 1 THEN CASE WHEN event_id % 8 = 1 THEN 'false' ELSE 'true' END ELSE event_type END AS value
-  FROM events JOIN part ON p_partkey = user_id % (SELECT count(*) FROM part))"""
+  FROM events JOIN part ON p_partkey = user_id)"""
 
 
 def event_patches(spark: SparkSession, sf_dir: str, schemas: DataFrame) -> DataFrame:
-    count = schemas.agg(F.count(F.lit(1)).alias("n"))
     number = F.col("event_id")
-    events = render.load(spark, sf_dir, "events").crossJoin(F.broadcast(count))
+    events = render.load(spark, sf_dir, "events").withColumnRenamed("user_id", "schema_id")
     brands = schemas.select(F.col("schema_id"), F.get("columns", F.lit(0))["name"].alias("brand"))
     return (
-        events.withColumn("schema_id", F.col("user_id") % F.col("n"))
-        .join(brands, "schema_id")
+        events.join(brands, "schema_id")
         .select(
             "schema_id",
             number.alias("round"),

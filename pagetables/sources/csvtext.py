@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagetables.functions.rows import by_bytes
 from pagetables.sources.files import DEFAULT_MAX_MB, read_files
 
 GRID_TYPE = T.ArrayType(T.ArrayType(T.StringType()))
@@ -36,7 +37,7 @@ def parse_csv(files: DataFrame, content: str = "content") -> DataFrame:
     names = schema.names
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, len(keep) + 1):
             grids, errors = [], []
             for value in batch.column(len(keep) + 1):
                 grid, error, text = None, None, value.as_py()
