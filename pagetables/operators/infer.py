@@ -198,9 +198,16 @@ def array_votes(values: Column) -> Column:
         )
 
     def with_kinds(vs: Column, dates: Column, kinds: Column) -> Column:
+        only_strings = ~F.exists(kinds, lambda k: F.coalesce(k != "string", F.lit(False)))
         numbers = by(lambda v, k: fact(v, k, k)["number"], vs, kinds)
-        shapes = by(lambda v, k: fact(v, k, k)["shape"], vs, kinds)
-        return bind(numbers, lambda n: bind(shapes, lambda s: counted(kinds, dates, n, s)))
+        shapes = F.when(only_strings, by(lambda v, k: fact(v, k, k)["shape"], vs, kinds))
+        none = F.array().cast("array<string>")
+        return bind(
+            numbers,
+            lambda n: bind(
+                F.coalesce(shapes, none), lambda s: counted(kinds, dates, n, s)
+            ),
+        )
 
     def with_dates(vs: Column, plains: Column, dates: Column) -> Column:
         return bind(by(full_kind, vs, plains, dates), lambda kinds: with_kinds(vs, dates, kinds))

@@ -153,24 +153,25 @@ def apply_patches(schemas: DataFrame, patches: DataFrame) -> DataFrame:
         ),
     )
     joined = schemas.join(gathered, "schema_id", "left")
-    changed = stamp_version(
-        once(joined.filter(by_name.isNotNull()), columns=patched.cast(COLUMNS_DDL))
-    )
-    return changed.unionByName(joined.filter(by_name.isNull())).select(*schemas.columns)
+    columns = F.when(by_name.isNull(), F.col("columns")).otherwise(patched.cast(COLUMNS_DDL))
+    stamped = stamp_version(once(joined, columns=columns), by_name.isNotNull())
+    return stamped.select(*schemas.columns)
 
 
-def stamp_version(schemas: DataFrame) -> DataFrame:
-    """Mark a refinement in the metadata: a flag, and a counter that starts at 1."""
+def stamp_version(schemas: DataFrame, where: Column | None = None) -> DataFrame:
+    """Mark a refinement in the metadata: a flag, and a counter that starts at 1.  Rows
+    outside ``where`` stay as they are."""
+    refined = F.lit(True) if where is None else where
     count = F.try_variant_get(
         F.try_element_at("metadata", F.lit("refinement_version")), "$", "int"
     )
     stamped = attach_metadata(
         schemas,
-        feedback_incorporated=F.lit(True),
-        refinement_version=F.coalesce(count, F.lit(0)) + 1,
+        feedback_incorporated=F.when(refined, True),
+        refinement_version=F.when(refined, F.coalesce(count, F.lit(0)) + 1),
     )
     if "version" in schemas.columns:
-        stamped = stamped.withColumn("version", F.col("version") + 1)
+        stamped = stamped.withColumn("version", F.col("version") + refined.cast("int"))
     return stamped
 
 
@@ -184,12 +185,13 @@ def refine(originals: DataFrame, refined: DataFrame) -> DataFrame:
         "schema_id",
         F.struct("name", "description", "columns").alias("revision"),
     )
-    joined = originals.join(answer, "schema_id", "left")
-    taken = joined.filter(F.col("revision").isNotNull())
-    for field in ("name", "description", "columns"):
-        taken = taken.withColumn(field, F.col(f"revision.{field}"))
-    kept = joined.filter(F.col("revision").isNull())
-    return stamp_version(taken).unionByName(kept).select(*originals.columns)
+    taken = F.col("revision").isNotNull()
+    joined = stamp_version(originals.join(answer, "schema_id", "left"), taken)
+    revised = {
+        field: F.when(taken, F.col(f"revision.{field}")).otherwise(F.col(field))
+        for field in ("name", "description", "columns")
+    }
+    return joined.withColumns(revised).select(*originals.columns)
 
 
 # --- views --------------------------------------------------------------------------------

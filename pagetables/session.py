@@ -6,8 +6,10 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One task's worth of input; a smaller share per core is not worth a task of its own.
+# Inputs are dealt out to all cores only below both of these: one task's worth of input for
+# every core, and a total that is cheap to shuffle on any cluster.
 BYTES_PER_TASK = 128 * 1024 * 1024
+SPREAD_LIMIT = 1024 * 1024 * 1024
 
 
 def get_session(app: str = "pagetables", cores: str = "*") -> SparkSession:
@@ -37,14 +39,14 @@ def input_bytes(df: DataFrame) -> int:
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small input out to every core before an expensive per-row stage.
 
-    A few megabytes arrive as one file split and would be parsed on one core.  Inputs
-    that already give each core a full split are returned unchanged, so at scale there is
-    no exchange; what is shuffled here is bounded by cores x BYTES_PER_TASK.  Streaming
-    inputs are left alone, their splits are the trigger's files.
+    A few megabytes arrive as one file split and would be parsed on one core.  Larger
+    inputs come in enough splits and are returned unchanged, so at scale there is no
+    exchange, and what is shuffled here is never more than SPREAD_LIMIT.  Streaming inputs
+    are left alone, their splits are the trigger's files.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and input_bytes(df) < cores * BYTES_PER_TASK:
+    if cores > 1 and input_bytes(df) < min(cores * BYTES_PER_TASK, SPREAD_LIMIT):
         return df.repartition(cores)
     return df

@@ -37,7 +37,7 @@ def test_extraction_is_not_repeated_by_filters(spark):
     documents = page_documents(pages(spark))
     plan = documents.filter("status = 'Success' and tables_count > 1").select(F.explode("tables.caption"))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.count("h1,h2,h3") == 1
+    assert text.count("INSET") == 1  # the word list of the property-value test
 
 
 def test_small_inputs_are_spread_and_large_ones_are_not(spark):
