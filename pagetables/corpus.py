@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import once
-from pagetables.operators.csvschema import csv_tables
+from pagetables.functions.text import basename, bind
+from pagetables.operators.csvschema import csv_tables, definition_rows, describes_schema, roles
 from pagetables.operators.extract import extract_tables
 from pagetables.operators.infer import table_columns
 from pagetables.operators.parse import HEADER_NAME, HEADER_TEXT
-from pagetables.operators.schemas import attach_metadata, source_metadata, table_metadata
+from pagetables.operators.schemas import (
+    attach_metadata,
+    definition_columns,
+    source_metadata,
+    table_metadata,
+)
 from pagetables.operators.select import select_tables
 from pagetables.operators.shred import shred
 from pagetables.sources.csvtext import parse_csv
@@ -27,6 +33,28 @@ def csv_documents(files: DataFrame, max_mb: float = DEFAULT_MAX_MB, sample: int
     return csv_tables(parse_csv(guard_size(files, max_mb, "content")), sample)
 
 
+def described_schemas(files: DataFrame) -> DataFrame:
+    """Schemas as ``parse_csv`` rows describe them; other CSV texts give no row.
+
+    This reads the definitions themselves, where ``document_schemas`` infers a schema of
+    the describing table.
+    """
+    rows = F.col("rows")
+    found = bind(roles(F.get(rows, F.lit(0))), lambda role: definition_rows(rows, role))
+    described = files.filter(F.col("status").isNull() & describes_schema(rows).isNotNull())
+    schemas = once(described, columns=definition_columns(found)).select(
+        F.col("doc_id").alias("schema_id"),
+        F.lit(0).alias("version"),
+        basename(F.col("source")).alias("name"),
+        F.lit("Database Schema").alias("description"),
+        "columns",
+        "source",
+    )
+    return attach_metadata(
+        schemas, column_count=F.size("columns"), source_file=basename(F.col("source"))
+    ).drop("source")
+
+
 def document_schemas(
     documents: DataFrame,
     recommendations: DataFrame | None = None,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagetables.functions.rows import once
 from pagetables.functions.text import basename, bind, json_text
-from pagetables.operators.infer import TYPE_ALIASES, described
+from pagetables.operators.infer import COLUMN_DDL, TYPE_ALIASES, described
 from pagetables.operators.parse import (
     COLUMNS_DDL,
     METADATA_DDL,
@@ -77,27 +77,55 @@ def sql_type(declared: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), base), declared)
 
 
-def definitions_to_schema(definitions: DataFrame) -> DataFrame:
-    """Described columns (``csvschema.definitions``) to flat schema columns.
+def described_column(d: Column) -> dict[str, Column]:
+    """What a definition says about its column: the null flag gives ``nullable``, key and
+    reference the two keys, and a declared length or precision is kept in ``format``."""
+    flag = F.lower(F.coalesce(d["null"], F.lit("")))
+    return {
+        "name": d["name"],
+        "type": F.coalesce(sql_type(F.nullif(d["type"], F.lit(""))), F.lit("string")),
+        "description": F.coalesce(F.nullif(d["desc"], F.lit("")), described(d["name"])),
+        "nullable": ~flag.isin("no", "n", "not null", "false", "0"),
+        "format": F.when(F.contains(d["type"], F.lit("(")), F.lower(d["type"])).otherwise(""),
+        "primary_key": F.coalesce(F.lower(d["key"]).rlike(r"\bpk\b|primary"), F.lit(False)),
+        "foreign_key": F.nullif(d["ref"], F.lit("")),
+    }
 
-    The null flag gives ``nullable``, key and reference give the two key columns, and a
-    declared length or precision is kept in ``format``.
-    """
-    flag = F.lower(F.coalesce("null", F.lit("")))
-    keep = [c for c in definitions.columns if c not in ("name", "type", "key", "null", "ref", "desc", "def_no")]
+
+DEFINITION_FIELDS = ("name", "type", "key", "null", "ref", "desc")
+
+
+def definitions_to_schema(definitions: DataFrame) -> DataFrame:
+    """Described columns (``csvschema.definitions``) to flat schema columns."""
+    keep = [c for c in definitions.columns if c not in (*DEFINITION_FIELDS, "def_no")]
+    fields = described_column({name: F.col(name) for name in DEFINITION_FIELDS})
     return definitions.select(
-        *keep,
-        F.col("def_no").alias("pos"),
-        "name",
-        F.coalesce(sql_type(F.nullif("type", F.lit(""))), F.lit("string")).alias("type"),
-        F.coalesce(F.nullif("desc", F.lit("")), described(F.col("name"))).alias("description"),
-        (~flag.isin("no", "n", "not null", "false", "0")).alias("nullable"),
-        F.when(F.contains("type", F.lit("(")), F.lower("type")).otherwise("").alias("format"),
-        F.coalesce(F.lower("key").rlike(r"\bpk\b|primary"), F.lit(False)).alias("primary_key"),
-        F.nullif("ref", F.lit("")).alias("foreign_key"),
+        *keep, F.col("def_no").alias("pos"), *[c.alias(name) for name, c in fields.items()]
     )
 
 
+def definition_columns(definitions: Column) -> Column:
+    """An array of definitions to an array of columns; keys become constraints."""
+
+    def one(d: Column) -> Column:
+        fields = described_column(d)
+        keys = F.struct(
+            F.when(fields["primary_key"], True).alias("primary_key"),
+            fields["foreign_key"].alias("foreign_key"),
+        )
+        has_key = fields["primary_key"] | fields["foreign_key"].isNotNull()
+        return F.struct(
+            *[fields[name].alias(name) for name in ("name", "type", "description", "nullable")],
+            F.lit(1.0).alias("confidence"),
+            F.lit(False).alias("inferred"),
+            fields["format"].alias("format"),
+            F.when(has_key, F.parse_json(F.to_json(keys))).alias("constraints"),
+            F.array().cast("array<string>").alias("sample_values"),
+        ).cast(COLUMN_DDL)
+
+    return F.transform(definitions, one)
+
+
 # --- versions -----------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables.corpus import described_schemas
 from pagetables.operators.csvschema import (
     csv_tables,
     definitions,
@@ -137,6 +138,23 @@ def schema_from_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return definitions_to_schema(definitions(part_rows(spark, sf_dir)).drop("source"))
 
 
+@query("""
+  SELECT p_partkey AS schema_id, 'part_' || p_partkey || '.csv' AS name, unnest([0, 1, 2]) AS pos,
+         unnest(['p_partkey', p_name, p_brand]) AS column_name, unnest(['int', 'string', lower(p_type)]) AS type,
+         unnest(['{"primary_key":true}', NULL, '{"foreign_key":"brand.id"}']) AS constraints, 3 AS column_count
+  FROM part""")
+def described_schema_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema-describing CSV texts as schemas, keys among the constraints."""
+    schemas = described_schemas(part_rows(spark, sf_dir))
+    count = F.try_variant_get(F.try_element_at("metadata", F.lit("column_count")), "$", "int")
+    return schemas.select(
+        "schema_id", "name", count.alias("column_count"), F.posexplode("columns").alias("pos", "c")
+    ).select(
+        "schema_id", "name", "pos", F.col("c.name").alias("column_name"), "c.type",
+        F.to_json("c.constraints").alias("constraints"), "column_count",
+    )
+
+
 # --- tables: description, recommendation, selection ----------------------------------------
 
 ORDER_DESCRIPTION = """'Table 1' || chr(10) || 'Context: Order ' || o_orderkey || chr(10) ||

@@ -6,6 +6,8 @@ run unchanged on a streaming DataFrame: no state, no watermark, append output.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,8 +34,17 @@ def schema_stream(pages: DataFrame) -> DataFrame:
     return to_json_docs(schemas.filter(F.col("status") == "Success"))
 
 
-def write_stream(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append to Parquet, exactly once, for what has arrived so far."""
+def write_stream(frame: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Append to Parquet, exactly once, for what has arrived so far.
+
+    Without a place for its progress the stream keeps it in the shared folder that
+    ``spark.checkpoint.dir`` names, under the name of the output.
+    """
+    if checkpoint is None:
+        shared = frame.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise ValueError("give a checkpoint folder or set spark.checkpoint.dir")
+        checkpoint = f"{shared}/{re.sub(r'[^A-Za-z0-9]+', '_', path).strip('_')}"
     return (
         frame.writeStream.format("parquet")
         .outputMode("append")

@@ -1,5 +1,6 @@
 """Plans: what moves data, what is pushed down, and streams."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagetables.corpus import csv_documents, document_schemas, page_documents
@@ -72,3 +73,16 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
     got = spark.read.parquet(out)
     want = to_json_docs(document_schemas(page_documents(rendered)))
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_stream_progress_goes_to_the_shared_folder(spark, tmp_path):
+    rendered = render.order_pages(spark, SF_DIR).select(*PAGES_SCHEMA.names)
+    rendered.write.parquet(str(tmp_path / "in"))
+    stream = schema_stream(page_stream(spark, str(tmp_path / "in")))
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(ValueError):
+            write_stream(stream, str(tmp_path / "out"))
+        return
+    write_stream(stream, str(tmp_path / "out")).awaitTermination()
+    write_stream(stream, str(tmp_path / "out")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == rendered.count()
