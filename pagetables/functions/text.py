@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,10 +39,7 @@ def is_blank(col: Column) -> Column:
 
 def contains_any(col: Column, words: list[str]) -> Column:
     """True where any of the words is a substring."""
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | col.contains(word)
-    return hit
+    return reduce(or_, [col.contains(word) for word in words])
 
 
 def basename(path: Column) -> Column:

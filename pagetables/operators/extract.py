@@ -234,42 +234,45 @@ def table_record(
     """One table as a struct of type ``TABLE_TYPE``."""
     first_id = element["id"] + 1
 
-    def record(sub: Column, grid: Column, is_vertical: Column, headers: Column, rows: Column):
+    def content(headers: Column, rows: Column) -> Column:
+        return F.struct(headers.alias("headers"), rows.alias("rows"))
+
+    def as_vertical(pairs: Column) -> Column:
+        values = F.transform(pairs, lambda p: F.get(p, F.lit(1)))
+        return content(F.transform(pairs, property_name), F.array(values))
+
+    def as_rows(sub: Column, grid: Column, total: Column, headers: Column) -> Column:
+        return content(
+            headers, sample_rows(sub, first_id, grid, total, headers, limit, div_classes)
+        )
+
+    def record(sub: Column, is_vertical: Column, found: Column) -> Column:
         return F.struct(
             position.cast("int").alias("table_id"),
             F.when(element["tag"] == "table", "table").otherwise("div").alias("kind"),
             caption(nodes, sub, first_id, element).alias("caption"),
-            F.size(headers).alias("column_count"),
-            F.size(rows).alias("row_count"),
-            headers.alias("headers"),
-            rows.alias("rows"),
+            F.size(found["headers"]).alias("column_count"),
+            F.size(found["rows"]).alias("row_count"),
+            found["headers"].alias("headers"),
+            found["rows"].alias("rows"),
             is_vertical.alias("is_vertical"),
             F.lit(None).cast(TABLE_TYPE["properties"].dataType).alias("properties"),
         )
 
-    def with_grid(sub: Column, row_nodes: Column, grid: Column) -> Column:
+    def with_flag(sub: Column, row_nodes: Column, grid: Column, flag: Column) -> Column:
         total = F.size(row_nodes)
-        flag = looks_vertical(grid, total) if vertical else F.lit(False)
-
-        def as_vertical(pairs: Column) -> Column:
-            return record(
-                sub, grid, F.lit(True),
-                F.transform(pairs, property_name),
-                F.array(F.transform(pairs, lambda p: F.get(p, F.lit(1)))),
-            )
-
-        def as_rows(headers: Column) -> Column:
-            return bind(
-                sample_rows(sub, first_id, grid, total, headers, limit, div_classes),
-                lambda rows: record(sub, grid, F.lit(False), headers, rows),
-            )
+        names = header_texts(sub, first_id, F.get(grid, F.lit(0)), div_classes)
+        found = bind(bind(names, dedupe), lambda headers: as_rows(sub, grid, total, headers))
+        if vertical:
+            whole = F.transform(row_nodes, lambda r: row_cells(sub, r, first_id))
+            found = F.when(flag, bind(property_rows(whole), as_vertical)).otherwise(found)
+        return bind(found, lambda f: record(sub, flag, f))
 
-        first_row = F.get(grid, F.lit(0))
-        plain = bind(dedupe_bound(header_texts(sub, first_id, first_row, div_classes)), as_rows)
+    def with_grid(sub: Column, row_nodes: Column, grid: Column) -> Column:
         if not vertical:
-            return plain
-        whole = F.transform(row_nodes, lambda r: row_cells(sub, r, first_id))
-        return F.when(flag, bind(property_rows(whole), as_vertical)).otherwise(plain)
+            return with_flag(sub, row_nodes, grid, F.lit(False))
+        flag = looks_vertical(grid, F.size(row_nodes))
+        return bind(flag, lambda f: with_flag(sub, row_nodes, grid, f))
 
     def with_rows(sub: Column, row_nodes: Column) -> Column:
         seen = F.slice(row_nodes, 1, max(limit + 1, 5))
@@ -284,10 +287,6 @@ def table_record(
     )
 
 
-def dedupe_bound(names: Column) -> Column:
-    return bind(names, dedupe)
-
-
 # --- operators ----------------------------------------------------------------------------
 
 
