@@ -26,6 +26,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+class Tucked:
+    """A frame whose columns have names no operator uses, so that nothing can clash.
+
+    ``frame`` is renamed by position; ``self[name]`` is a column of the input in it, and
+    ``back(*replaced)`` restores the input's columns but for the replaced ones.
+    """
+
+    def __init__(self, frame: DataFrame):
+        self.names = frame.columns
+        self.frame = frame.toDF(*[f"_in{i}" for i in range(len(self.names))])
+
+    def name(self, column: str) -> str:
+        return f"_in{self.names.index(column)}"
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(self.name(column))
+
+    def back(self, *replaced: str) -> list[Column]:
+        return [F.col(f"_in{i}").alias(c) for i, c in enumerate(self.names) if c not in replaced]
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage is cut, later jobs
     read the same rows whatever executors are lost, and it holds no memory."""

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagetables.llm.common import Tucked
+
 SLOTS = 4
 LEAST_BUCKETS = 256
 MOST_KICKS = 200
@@ -194,8 +196,8 @@ def delete(index: DataFrame, gone: DataFrame, remaining: DataFrame, text: str =
     their new largest key.  Only the remaining rows of these digests are read again.
     """
     touched = entries_of(gone, text, key).select("digest")
-    again = remaining.withColumn("_d", digest_of(F.col(text))).join(
-        touched, F.col("_d") == F.col("digest"), "left_semi"
+    again = remaining.select(F.col(text), F.col(key), digest_of(F.col(text)).alias("_own")).join(
+        touched.withColumnRenamed("digest", "_touched"), F.col("_own") == F.col("_touched"), "left_semi"
     )
     steps = (
         index.select("digest", "keep_id", "group_size", F.lit(0).alias("step"))
@@ -224,11 +226,11 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     partitions Spark splits.
     """
     added = ("keep_id", "group_size", "kept", "text_sha256")
-    keep = [c for c in docs.columns if c not in added]
-    rows = docs.select(*keep, digest_of(F.col(text)).alias("_digest"))
+    tucked = Tucked(docs)
+    rows = tucked.frame.withColumn("own", digest_of(tucked[text]))
     index = insert(None, docs, text, key)
-    return rows.join(index, F.col("_digest") == F.col("digest")).select(
-        *keep, "keep_id", "group_size", F.col(key).eqNullSafe(F.col("keep_id")).alias("kept"),
+    return rows.join(index, F.col("own") == F.col("digest")).select(
+        *tucked.back(*added), "keep_id", "group_size", tucked[key].eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
@@ -239,6 +241,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     Rows and index meet by digest and key, which spreads the copies of a hot text.
     """
     index = insert(None, docs, text, key).select("digest", "keep_id")
-    rows = docs.withColumn("_digest", digest_of(F.col(text)))
-    same = (F.col("_digest") == F.col("digest")) & F.col(key).eqNullSafe(F.col("keep_id"))
-    return rows.join(index, same, "left_semi").drop("_digest")
+    tucked = Tucked(docs)
+    rows = tucked.frame.withColumn("own", digest_of(tucked[text]))
+    same = (F.col("own") == F.col("digest")) & tucked[key].eqNullSafe(F.col("keep_id"))
+    return rows.join(index, same, "left_semi").select(*tucked.back())

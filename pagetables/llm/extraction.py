@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import by_bytes
+from pagetables.llm.common import Tucked
 from pagetables.llm.blocks import Block, leaf_blocks
 
 LABELLED = 240
@@ -262,17 +263,17 @@ def main_text(html: str, field: Field) -> str:
 def extract(pages: DataFrame, html: str = "html", field: Field | None = None) -> DataFrame:
     """All rows and columns with ``text`` and ``n_chars``.  Narrow."""
     trained = field or default_field()
-    keep = [c for c in pages.columns if c not in ("text", "n_chars")]
-    rows = pages.select(*keep)
-    at = keep.index(html)
-    schema = rows.withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
+    tucked = Tucked(pages)
+    at = tucked.names.index(html)
+    schema = tucked.frame.withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, at, BATCH_BYTES):
             texts = [main_text(h, trained) for h in batch.column(at).fill_null("").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
-                names=[*keep, "text", "n_chars"],
+                names=schema.names,
             )
 
-    return rows.mapInArrow(read, schema)
+    found = tucked.frame.mapInArrow(read, schema)
+    return found.select(*tucked.back("text", "n_chars"), "text", "n_chars")

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import by_bytes
+from pagetables.llm.common import Tucked
 
 HIDDEN = 8
 WINDOW = 128
@@ -281,10 +282,13 @@ def teaching_sample(docs: DataFrame, text: str, lang: str, key: str, per_languag
 
 def predict(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
     """All rows with ``lang_pred`` and ``score``.  Narrow."""
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*keep)
-    at = keep.index(text)
-    schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    tucked = Tucked(docs)
+    return _labelled(tucked, net, text).select(*tucked.back("lang_pred", "score"), "lang_pred", "score")
+
+
+def _labelled(tucked: Tucked, net: Network, text: str) -> DataFrame:
+    at = tucked.names.index(text)
+    schema = tucked.frame.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, at, BATCH_BYTES):
@@ -296,9 +300,9 @@ def predict(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
                 if ok:
                     best = int(chances[i].argmax())
                     names[i], scores[i] = net.languages[best], min(1.0, round(float(chances[i][best]), 6))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(scores, pa.float64())], names=schema.names)
 
-    return rows.mapInArrow(label, schema)
+    return tucked.frame.mapInArrow(label, schema)
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", **sizes) -> DataFrame:
@@ -306,8 +310,10 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
     return predict(docs, train(teaching_sample(docs, text, lang, key, **sizes)), text)
 
 
-def recognised(docs: DataFrame, text: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+def recognised(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
+               least: float = LEAST_SCORE) -> DataFrame:
     """The rows in a known language, with the columns of the input; the others are rejected:
     texts without a letter and those no language has more than ``least`` of."""
-    found = identify(docs, text)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > least)).select(*docs.columns)
+    tucked = Tucked(docs)
+    found = _labelled(tucked, train(teaching_sample(docs, text, lang, key)), text)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > least)).select(*tucked.back())

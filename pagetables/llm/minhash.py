@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import by_bytes
-from pagetables.llm.common import stored
+from pagetables.llm.common import Tucked, stored
 from pagetables.llm.components import components
 
 WORDS = 5
@@ -302,5 +302,6 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows that stay: one document of each group, with the columns of the input."""
-    gone = groups(docs, text, key).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    gone = groups(docs, text, key).filter(~F.col("kept")).select(F.col("doc_id").alias("gone"))
+    tucked = Tucked(docs)
+    return tucked.frame.join(gone, tucked[key] == F.col("gone"), "left_anti").select(*tucked.back())

@@ -19,12 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import SPACE, count_words, unit
+from pagetables.llm.common import SPACE, Tucked, count_words, unit
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2
 ROWS_PER_RANGE = 8192
+ADDED = ("size", "source_size", "target", "taken")
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
@@ -65,18 +66,38 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        size: Column | None = None, seed: str = "mix", rows_per_range: int = ROWS_PER_RANGE,
-        **shares) -> DataFrame:
+        seed: str = "mix", rows_per_range: int = ROWS_PER_RANGE, **shares) -> DataFrame:
     """Every row with ``size``, ``source_size``, ``target`` and ``taken`` words."""
-    added = ("size", "source_size", "target", "taken")
-    keep = [c for c in docs.columns if c not in added]
-    order = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.col(text), F.lit("")))
-    rows = docs.select(
-        *[F.col(c).alias(f"_{c}") for c in keep],
-        F.col(source).alias("source"),
-        (size if size is not None else count_words(F.col(text))).alias("size"),
+    tucked = Tucked(docs)
+    mixed = _mixed(tucked, key, text, source, seed, rows_per_range, **shares)
+    return mixed.select(*tucked.back(*ADDED), *ADDED)
+
+
+def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+            seed: str = "mix", rows_per_range: int = ROWS_PER_RANGE, **shares) -> DataFrame:
+    """The mix itself, with the input's columns: a row for every epoch of a document; of a
+    document that the budget cuts, the text up to the last word taken."""
+    tucked = Tucked(docs)
+    mixed = _mixed(tucked, key, text, source, seed, rows_per_range, **shares)
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
+    left = F.col("taken") - whole * F.col("size")
+    copies = F.concat(
+        F.array_repeat(F.col("size"), whole.cast("int")),
+        F.when(left > 0, F.array(left)).otherwise(F.array().cast("array<bigint>")),
+    )
+    taken = mixed.withColumn("words", F.explode(copies))
+    cut = F.when(F.col("words") < F.col("size"), first_words(tucked[text], F.col("words"))).otherwise(tucked[text])
+    return taken.withColumn(tucked.name(text), cut).select(*tucked.back())
+
+
+def _mixed(tucked: Tucked, key: str, text: str, source: str, seed: str, rows_per_range: int, **shares) -> DataFrame:
+    order = F.concat_ws("|", F.lit(seed), F.coalesce(tucked[key].cast("string"), tucked[text], F.lit("")))
+    rows = tucked.frame.select(
+        "*",
+        tucked[source].alias("source"),
+        count_words(tucked[text]).alias("size"),
         F.md5(order).alias("place_key"),
-        F.xxhash64(F.col(text)).alias("tie"),
+        F.xxhash64(tucked[text]).alias("tie"),
         unit(order).alias("place"),
     )
     # One row for each source, from per-task sums.  Sources are told apart null-safely.
@@ -97,7 +118,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         F.coalesce(F.sum("range_size").over(ahead), F.lit(0)).alias("range_start"),
     )
     inside = (
-        Window.partitionBy("source", "range_no").orderBy("place_key", F.col(f"_{key}"), "tie", "size")
+        Window.partitionBy("source", "range_no").orderBy("place_key", tucked[key], "tie", "size")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = ranged.withColumn("end", F.sum("size").over(inside)).join(
@@ -105,27 +126,10 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     )
     begin = F.col("range_start") + F.col("end") - F.col("size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - begin))
-    return placed.select(
-        *[F.col(f"_{c}").alias(c) for c in keep],
-        "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
-    )
+    return placed.withColumn("taken", (F.col("epochs") * F.col("size") + part).cast("long"))
 
 
 def first_words(text: Column, count: Column) -> Column:
     """The text up to the end of its ``count``-th word."""
     pieces = F.split(F.ltrim(text), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     return F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), count.cast("int")), ""), SPACE + "$", "")
-
-
-def repeated(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """The mix itself: a row for every epoch of a document, the part taken of a cut one."""
-    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
-    left = F.col("taken") - whole * F.col("size")
-    copies = F.concat(
-        F.array_repeat(F.col("size"), whole.cast("int")),
-        F.when(left > 0, F.array(left)).otherwise(F.array().cast("array<bigint>")),
-    )
-    words = mixed.withColumn("words", F.explode(copies))
-    cut = F.when(F.col("words") < F.col("size"), first_words(F.col(text), F.col("words"))).otherwise(F.col(text))
-    return words.withColumn(text, cut)

@@ -27,7 +27,7 @@ from pagetables.llm.common import stored
 
 CAPACITY = 1024
 END = 2
-GROUP = 32_768
+GROUP = 8_192
 BATCH_BYTES = 4 * 1024 * 1024
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 PLACES = "row bigint, sequence_id bigint, offset bigint"
@@ -136,7 +136,8 @@ class Search:
 
     The least filled bin gives: one or two of its items go to a bin filled as much or more,
     against one smaller item or none.  It gives as long as something raises the sum; then the
-    next one does.  A bin that ran empty lets all others try again.
+    next one does.  Where a bin has more room than before, less filled ones try again; a bin
+    that ran empty lets all others try again.
     """
 
     def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
@@ -157,13 +158,16 @@ class Search:
             if not len(trying):
                 break
             low = int(trying[self.fill[trying].argmin()])
+            before = self.fill[low]
             while self.fill[low] and self.improve(low):
                 pass
-            if self.fill[low]:
-                stuck[low] = True
-            else:
+            if not self.fill[low]:
                 self.count -= 1
                 stuck[:] = False
+            else:
+                if self.fill[low] < before:  # less filled ones may have found room here
+                    stuck[self.fill <= self.fill[low]] = False
+                stuck[low] = True
         for members in self.bins:
             members.sort(key=lambda i: (-self.size[i], i))
         return [b for b in self.bins if b]

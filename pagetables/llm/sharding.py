@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import stored, utf8_bytes
+from pagetables.llm.common import Tucked, stored, utf8_bytes
 
 BUCKET_BYTES = 64 * 1024 * 1024
 LEAST_BUCKETS = 16
@@ -58,13 +58,12 @@ def fisher_yates(n: int, seed: int) -> np.ndarray:
 def shuffled(docs: DataFrame, buckets: int, seed: int = 0, key: str = "doc_id",
              out: str | None = None) -> DataFrame:
     """Both passes: all rows with ``bucket`` and ``bucket_slot``, written and read back."""
-    keep = [c for c in docs.columns if c not in (*ADDED, "_place")]
-    hashed = docs.select(
-        *keep,
-        F.xxhash64(F.lit(seed), F.col(key), F.monotonically_increasing_id()).alias("_place"),
-    ).withColumn("bucket", F.pmod("_place", F.lit(buckets)).cast("int"))
+    tucked = Tucked(docs)
+    hashed = tucked.frame.select(
+        "*", F.xxhash64(F.lit(seed), tucked[key], F.monotonically_increasing_id()).alias("place")
+    ).withColumn("bucket", F.pmod("place", F.lit(buckets)).cast("int"))
     scattered = hashed.repartitionById(buckets, F.col("bucket"))
-    schema = scattered.select(*keep, "bucket", F.lit(0).cast("long").alias("bucket_slot")).schema
+    schema = scattered.drop("place").withColumn("bucket_slot", F.lit(0).cast("long")).schema
 
     def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -72,22 +71,22 @@ def shuffled(docs: DataFrame, buckets: int, seed: int = 0, key: str = "doc_id",
             return
         bucket = pa.Table.from_batches(held)
         del held
-        places, numbers = (bucket.column(c).to_numpy() for c in ("_place", "bucket"))
+        places, numbers = (bucket.column(c).to_numpy() for c in ("place", "bucket"))
         by_hash = np.lexsort((places, numbers))
         starts = np.flatnonzero(np.r_[True, np.diff(numbers[by_hash]) != 0])
         for begin, end in zip(starts, np.r_[starts[1:], len(numbers)]):
             rows = by_hash[begin:end]
             order = rows[fisher_yates(len(rows), (seed << 32) + int(numbers[rows[0]]))]
             for at in range(0, len(order), 1024):
-                part = bucket.take(pa.array(order[at : at + 1024])).drop_columns(["_place"])
+                part = bucket.take(pa.array(order[at : at + 1024])).drop_columns(["place"])
                 slots = pa.array(np.arange(at, at + part.num_rows))
                 yield from part.append_column("bucket_slot", slots).combine_chunks().to_batches()
 
-    done = scattered.mapInArrow(permute, schema)
+    done = scattered.mapInArrow(permute, schema).select(*tucked.back(*ADDED), *ADDED)
     if out is None:
         return stored(done, "shuffled")
     done.write.parquet(out)
-    return docs.sparkSession.read.schema(schema).parquet(out)
+    return docs.sparkSession.read.schema(done.schema).parquet(out)
 
 
 def shards(docs: DataFrame, n_shards: int, text: str = "text", key: str = "doc_id", seed: int = 0,
@@ -95,17 +94,17 @@ def shards(docs: DataFrame, n_shards: int, text: str = "text", key: str = "doc_i
     """All rows and columns with ``shard`` and ``slot``, the slots of a shard gapless from 0."""
     buckets = bucket_count(docs, record_size(F.col(text)), bucket_bytes)
     rows = shuffled(docs, buckets, seed, key)
-    ahead = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    tucked = Tucked(rows)
+    ahead = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each bucket: the input's bytes divided by ``bucket_bytes``.
-    starts = rows.groupBy(F.col("bucket").alias("_of")).agg(F.count("*").alias("_n")).select(
-        "_of", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start")
+    starts = rows.groupBy(F.col("bucket").alias("of")).agg(F.count("*").alias("n")).select(
+        "of", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start")
     )
-    place = F.col("_start") + F.col("bucket_slot")
-    return (
-        rows.join(starts, F.col("bucket") == F.col("_of"))
-        .withColumn("shard", F.pmod(place, F.lit(n_shards)).cast("int"))
-        .withColumn("slot", F.floor(place / n_shards).cast("long"))
-        .drop("_of", "_start", *ADDED)
+    place = F.col("start") + tucked["bucket_slot"]
+    return tucked.frame.join(starts, tucked["bucket"] == F.col("of")).select(
+        *tucked.back(*ADDED, "shard", "slot"),
+        F.pmod(place, F.lit(n_shards)).cast("int").alias("shard"),
+        F.floor(place / n_shards).cast("long").alias("slot"),
     )
 
 

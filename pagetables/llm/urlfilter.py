@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import stored
+from pagetables.llm.common import Tucked, stored
 from pagetables.llm.components import components
 
 # The rules of the contract.
@@ -68,9 +68,9 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     """``(a, b)``: a page's node and the node of its canonical link or refresh target."""
     links = F.array(*[F.regexp_extract(html, pattern, 1) for pattern in (CANONICAL, REFRESH)])
     linked = F.col(html).rlike(r"(?i)canonical|refresh")
-    found = pages.filter(linked & F.col(url).contains("://")).select(url, F.explode(links).alias("link"))
-    target = node_of(resolved(F.col(url), F.replace("link", F.lit("&amp;"), F.lit("&"))))
-    return found.filter("link <> ''").select(node_of(F.col(url)).alias("a"), target.alias("b")).filter(
+    found = pages.filter(linked & F.col(url).contains("://")).select(F.col(url).alias("page"), F.explode(links).alias("link"))
+    target = node_of(resolved(F.col("page"), F.replace("link", F.lit("&amp;"), F.lit("&"))))
+    return found.filter("link <> ''").select(node_of(F.col("page")).alias("a"), target.alias("b")).filter(
         F.col("b").isNotNull() & (F.col("a") != F.col("b"))
     )
 
@@ -107,10 +107,10 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     ``redirects(a, b)`` are pairs of URLs; edges of the pages' own html are added if given.
     """
     added = ("host", "path", "rule", "verdict")
-    keep = [c for c in pages.columns if c not in added]
-    rows = pages.select(
-        *[F.col(c).alias(f"_{c}") for c in keep],
-        host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), node_of(F.col(url)).alias("node"),
+    tucked = Tucked(pages)
+    address = tucked[url]
+    rows = tucked.frame.select(
+        "*", host_of(address).alias("host"), path_of(address).alias("path"), node_of(address).alias("node")
     )
     edges = page_edges(pages, url, html) if html else None
     if redirects is not None:
@@ -118,14 +118,14 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
         edges = given if edges is None else edges.unionByName(given)
     best = stored(best_rules(rows.select("host", "path").distinct(), rules), "rules")
     ruled = rows.join(
-        best.withColumnsRenamed({"host": "_h", "path": "_p"}), (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left"
-    ).drop("_h", "_p")
+        best, ["host", "path"], "left"
+    )
     if edges is None:
         spread = ruled.withColumn("aliases", F.lit(None).cast("string"))
     else:
         spread = _with_aliases(ruled, edges, rules)
     verdict = F.coalesce("ruled", "aliases", F.lit("allow"))
-    return spread.select(*[F.col(f"_{c}").alias(c) for c in keep], "host", "path", "rule", verdict.alias("verdict"))
+    return spread.select(*tucked.back(*added), "host", "path", "rule", verdict.alias("verdict"))
 
 
 def _with_aliases(ruled: DataFrame, edges: DataFrame, rules: DataFrame) -> DataFrame:
