@@ -11,9 +11,9 @@ import sys
 
 from pyspark import cloudpickle
 
-from pagetables.session import get_session, spread
+from pagetables.session import get_session
 
 # What runs in Python tasks is sent by value, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-__all__ = ["get_session", "spread"]
+__all__ = ["get_session"]

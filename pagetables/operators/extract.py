@@ -1,7 +1,8 @@
 """Nodes to tables, without leaving the document's row.
 
-The functions that take and return columns work on ``nodes`` arrays (see ``shred``); the
-DataFrame operators at the end apply them.  Because a table is found, sampled and captioned
+The functions that take and return columns work on ``nodes`` arrays and the page's text (see
+``shred``); the DataFrame operators at the end apply them.  Cells stay elements, which say
+where their text is, until it is known which of them are returned.  Because a table is found, sampled and captioned
 inside its page's row, extraction needs no exchange, however many pages there are and
 however they are distributed over sites.
 """
@@ -17,9 +18,10 @@ from pagetables.functions.text import bind, contains_any, strip
 
 # First cells that mark a property-value row.
 PROPERTY_WORDS = (
-    "name type description id key column property attribute field constraint value default "
-    "null nullable required format length min max"
-).split()
+    "name", "type", "description", "id", "key", "column", "property", "attribute", "field",
+    "constraint", "value", "default", "null", "nullable", "required", "format", "length", "min",
+    "max",
+)
 
 TABLE_TYPE = T.StructType(
     [
@@ -42,6 +44,7 @@ TABLE_TYPE = T.StructType(
     ]
 )
 TABLES_TYPE = T.ArrayType(TABLE_TYPE)
+NOT_KEPT = ("status", "nodes", "page_text")
 
 
 # --- elements ---------------------------------------------------------------------------
@@ -52,9 +55,13 @@ def inside(nodes: Column, element: Column, first_id: Column | int = 0) -> Column
     return F.slice(nodes, element["id"] + 2 - first_id, element["last"] - element["id"])
 
 
-def element_text(nodes: Column, element: Column, first_id: Column | int = 0) -> Column:
-    """The element's stripped text nodes joined without a separator."""
-    return F.array_join(inside(nodes, element, first_id)["text"], "")
+def element_text(text: Column, element: Column) -> Column:
+    """The element's stripped texts joined without a separator: a part of the page's text."""
+    return F.substring(text, element["start"] + 1, element["end"] - element["start"]).cast("string")
+
+
+def texts(text: Column, elements: Column) -> Column:
+    return F.transform(elements, lambda e: element_text(text, e))
 
 
 def tagged(nodes: Column, *tags: str) -> Column:
@@ -80,21 +87,16 @@ def table_elements(nodes: Column, implicit: bool = True, div_classes: bool = Tru
 
 
 def row_cells(sub: Column, row: Column, first_id: Column) -> Column:
-    """Texts of the ``td`` and ``th`` elements inside a row."""
-    return F.transform(
-        tagged(inside(sub, row, first_id), "td", "th"), lambda c: element_text(sub, c, first_id)
-    )
+    """The ``td`` and ``th`` elements inside a row."""
+    return tagged(inside(sub, row, first_id), "td", "th")
 
 
-def header_texts(
+def header_elements(
     sub: Column, first_id: Column, first_row: Column, div_classes: bool = True
 ) -> Column:
     """Header cascade: every ``th``; else the first row of the first ``thead``; else the
     first row; else ``div`` elements classed as headers."""
 
-    def texts(elements: Column) -> Column:
-        return F.transform(elements, lambda e: element_text(sub, e, first_id))
-
     def in_thead(heads: Column) -> Column:
         rows = tagged(inside(sub, F.get(heads, F.lit(0)), first_id), "tr")
         return bind(F.get(rows, F.lit(0)), lambda row: row_cells(sub, row, first_id))
@@ -103,13 +105,13 @@ def header_texts(
         return F.when(F.size(cells) > 0, cells)
 
     steps = [
-        bind(texts(tagged(sub, "th")), some),
+        bind(tagged(sub, "th"), some),
         bind(tagged(sub, "thead"), lambda h: F.when(F.size(h) > 0, bind(in_thead(h), some))),
         some(first_row),
     ]
     if div_classes:
-        steps.append(texts(classed(sub, "header")))
-    return F.coalesce(*steps, F.array().cast("array<string>"))
+        steps.append(classed(sub, "header"))
+    return F.coalesce(*steps, F.filter(sub, lambda _: F.lit(False)))
 
 
 def dedupe(names: Column) -> Column:
@@ -151,7 +153,7 @@ def dedupe(names: Column) -> Column:
 
 def keep_filled(rows: Column) -> Column:
     """Drop rows without cells and rows whose cells are all blank."""
-    return F.filter(rows, lambda r: F.exists(r, lambda c: c != ""))
+    return F.filter(rows, lambda r: F.exists(r, lambda c: c["end"] > c["start"]))
 
 
 def sample_rows(
@@ -160,40 +162,44 @@ def sample_rows(
     grid: Column,
     row_total: Column,
     headers: Column,
-    limit: int,
+    limit: int | None,
     div_classes: bool = True,
 ) -> Column:
-    """The first rows after the header row, blank ones dropped after the cut.
+    """The first rows after the header row (all without a limit), blank ones dropped after the
+    cut; a row is its cells' elements.
 
     ``grid`` holds the cells of at least the first ``limit + 1`` rows.  Without any
     filled row, ``div`` elements classed as rows and cells are taken instead.
     """
     start = F.when((F.size(headers) > 0) & (row_total > 1), 2).otherwise(1)
-    rows = keep_filled(F.slice(grid, start, limit))
+    rows = keep_filled(F.slice(grid, start, F.size(grid) if limit is None else limit))
     if not div_classes:
         return rows
+    div_nodes = classed(sub, "row")
     div_rows = keep_filled(
         F.transform(
-            F.slice(classed(sub, "row"), 1, limit),
-            lambda r: F.transform(
-                classed(inside(sub, r, first_id), "cell", "col"),
-                lambda c: element_text(sub, c, first_id),
-            ),
+            div_nodes if limit is None else F.slice(div_nodes, 1, limit),
+            lambda r: classed(inside(sub, r, first_id), "cell", "col"),
         )
     )
     return bind(rows, lambda r: F.when(F.size(r) > 0, r).otherwise(div_rows))
 
 
-def looks_vertical(grid: Column, row_total: Column) -> Column:
+def looks_vertical(text: Column, grid: Column, row_total: Column) -> Column:
     """Property-value test on the first five rows of the uncut grid."""
 
+    def is_name(first: Column) -> Column:
+        return (F.char_length(first) < 30) & (
+            first.endswith(":") | F.lower(first).isin(*PROPERTY_WORDS)
+        )
+
     def is_property(cells: Column) -> Column:
+        # A name of under 30 characters has at most 116 bytes: longer texts aren't cut out.
         first = F.get(cells, F.lit(0))
-        return (
-            (F.size(cells) == 2)
-            & (F.char_length(first) < 30)
-            & (first.endswith(":") | F.lower(first).isin(*PROPERTY_WORDS))
-        )
+        return F.when(
+            (F.size(cells) == 2) & (first["end"] - first["start"] <= 116),
+            bind(element_text(text, first), is_name),
+        ).otherwise(False)
 
     checked = F.least(F.lit(5), row_total)
     hits = F.size(F.filter(F.slice(grid, 1, 5), is_property))
@@ -205,29 +211,27 @@ def property_rows(grid: Column) -> Column:
     return F.filter(grid, lambda r: F.size(r) >= 2)
 
 
-def property_name(cells: Column) -> Column:
-    first = F.get(cells, F.lit(0))
+def property_name(first: Column) -> Column:
     return F.when(first.endswith(":"), strip(F.regexp_replace(first, ":$", ""))).otherwise(first)
 
 
-def caption(nodes: Column, sub: Column, first_id: Column, element: Column) -> Column:
+def caption(nodes: Column, text: Column, sub: Column, element: Column) -> Column:
     """The text of the heading in force where the table starts, which is the nearest ``h1``
     before any ``h2`` and ``h3``; else the table's own caption; else empty."""
     heading = F.when(
         element["head"] >= 0,
-        bind(F.get(nodes, element["head"]), lambda h: element_text(nodes, h)),
-    )
-    own = F.transform(
-        F.slice(tagged(sub, "caption"), 1, 1), lambda c: element_text(sub, c, first_id)
+        bind(F.get(nodes, element["head"]), lambda h: element_text(text, h)),
     )
+    own = texts(text, F.slice(tagged(sub, "caption"), 1, 1))
     return F.coalesce(heading, F.get(own, F.lit(0)), F.lit(""))
 
 
 def table_record(
     nodes: Column,
+    text: Column,
     element: Column,
     position: Column,
-    limit: int = 5,
+    limit: int | None = 5,
     vertical: bool = True,
     div_classes: bool = True,
 ) -> Column:
@@ -238,19 +242,19 @@ def table_record(
         return F.struct(headers.alias("headers"), rows.alias("rows"))
 
     def as_vertical(pairs: Column) -> Column:
-        values = F.transform(pairs, lambda p: F.get(p, F.lit(1)))
-        return content(F.transform(pairs, property_name), F.array(values))
+        names = texts(text, F.transform(pairs, lambda p: F.get(p, F.lit(0))))
+        values = texts(text, F.transform(pairs, lambda p: F.get(p, F.lit(1))))
+        return content(F.transform(names, property_name), F.array(values))
 
     def as_rows(sub: Column, grid: Column, total: Column, headers: Column) -> Column:
-        return content(
-            headers, sample_rows(sub, first_id, grid, total, headers, limit, div_classes)
-        )
+        rows = sample_rows(sub, first_id, grid, total, headers, limit, div_classes)
+        return content(headers, F.transform(rows, lambda r: texts(text, r)))
 
     def record(sub: Column, is_vertical: Column, found: Column) -> Column:
         return F.struct(
             position.cast("int").alias("table_id"),
             F.when(element["tag"] == "table", "table").otherwise("div").alias("kind"),
-            caption(nodes, sub, first_id, element).alias("caption"),
+            caption(nodes, text, sub, element).alias("caption"),
             F.size(found["headers"]).alias("column_count"),
             F.size(found["rows"]).alias("row_count"),
             found["headers"].alias("headers"),
@@ -261,8 +265,8 @@ def table_record(
 
     def with_flag(sub: Column, row_nodes: Column, grid: Column, flag: Column) -> Column:
         total = F.size(row_nodes)
-        names = header_texts(sub, first_id, F.get(grid, F.lit(0)), div_classes)
-        found = bind(bind(names, dedupe), lambda headers: as_rows(sub, grid, total, headers))
+        names = header_elements(sub, first_id, F.get(grid, F.lit(0)), div_classes)
+        found = bind(bind(texts(text, names), dedupe), lambda headers: as_rows(sub, grid, total, headers))
         if vertical:
             whole = F.transform(row_nodes, lambda r: row_cells(sub, r, first_id))
             found = F.when(flag, bind(property_rows(whole), as_vertical)).otherwise(found)
@@ -271,11 +275,11 @@ def table_record(
     def with_grid(sub: Column, row_nodes: Column, grid: Column) -> Column:
         if not vertical:
             return with_flag(sub, row_nodes, grid, F.lit(False))
-        flag = looks_vertical(grid, F.size(row_nodes))
+        flag = looks_vertical(text, grid, F.size(row_nodes))
         return bind(flag, lambda f: with_flag(sub, row_nodes, grid, f))
 
     def with_rows(sub: Column, row_nodes: Column) -> Column:
-        seen = F.slice(row_nodes, 1, max(limit + 1, 5))
+        seen = row_nodes if limit is None else F.slice(row_nodes, 1, max(limit + 1, 5))
         return bind(
             F.transform(seen, lambda r: row_cells(sub, r, first_id)),
             lambda grid: with_grid(sub, row_nodes, grid),
@@ -292,7 +296,7 @@ def table_record(
 
 def extract_tables(
     dom: DataFrame,
-    sample: int = 5,
+    sample: int | None = 5,
     implicit: bool = True,
     div_classes: bool = True,
     vertical: bool = True,
@@ -300,15 +304,15 @@ def extract_tables(
     """``shred`` output to documents: ``(…, status, tables_count, tables)``.
 
     ``status`` is ``Success``, ``No tables found`` or the error that stopped the page, and
-    every page of the input has exactly one row.
+    every page of the input has exactly one row.  ``sample=None`` takes all rows.
     """
-    nodes = F.col("nodes")
+    nodes, text = F.col("nodes"), F.col("page_text")
     found = F.transform(
         table_elements(nodes, implicit, div_classes),
-        lambda e, i: table_record(nodes, e, i, sample, vertical, div_classes),
+        lambda e, i: table_record(nodes, text, e, i, sample, vertical, div_classes),
     )
     tables = F.when(F.col("status").isNull(), found).cast(TABLES_TYPE)
-    return with_status(once(dom, tables=tables).drop("nodes"))
+    return with_status(once(dom, tables=tables).drop("nodes", "page_text"))
 
 
 def with_status(documents: DataFrame) -> DataFrame:
@@ -317,22 +321,44 @@ def with_status(documents: DataFrame) -> DataFrame:
     tables = F.coalesce(F.col("tables"), F.array().cast(TABLES_TYPE))
     return documents.select(*keep, "status", tables.alias("tables")).select(
         *keep,
-        F.coalesce(
-            F.col("status"),
-            F.when(F.size("tables") > 0, "Success").otherwise("No tables found"),
-        ).alias("status"),
+        status_of(F.col("status"), F.size("tables")).alias("status"),
         F.size("tables").alias("tables_count"),
         "tables",
     )
 
 
+def status_of(error: Column, count: Column) -> Column:
+    return F.coalesce(error, F.when(count > 0, "Success").otherwise("No tables found"))
+
+
+def find_status(dom: DataFrame, implicit: bool = True, div_classes: bool = True) -> DataFrame:
+    """``(…, status, tables_count)`` of each page, without the content of its tables."""
+    keep = [c for c in dom.columns if c not in NOT_KEPT]
+    found = F.size(table_elements(F.col("nodes"), implicit, div_classes))
+    count = F.when(F.col("status").isNull(), F.coalesce(found, F.lit(0))).otherwise(0)
+    counted = once(dom, tables_count=count)
+    return counted.select(*keep, status_of(F.col("status"), F.col("tables_count")).alias("status"), "tables_count")
+
+
+def find_captions(dom: DataFrame, implicit: bool = True, div_classes: bool = True) -> DataFrame:
+    """``(…, table_id, caption)`` of each table, without the rest of its content."""
+    keep = [c for c in dom.columns if c not in NOT_KEPT]
+    nodes, text = F.col("nodes"), F.col("page_text")
+    found = F.transform(
+        table_elements(nodes, implicit, div_classes),
+        lambda e: bind(inside(nodes, e), lambda sub: caption(nodes, text, sub, e)),
+    )
+    wanted = F.when(F.col("status").isNull(), found)
+    return dom.select(*keep, F.posexplode(wanted).alias("table_id", "caption"))
+
+
 def page_status(documents: DataFrame, key: str = "doc_id") -> DataFrame:
     return documents.select(key, "status", "tables_count")
 
 
 def find_tables(dom: DataFrame, implicit: bool = True, div_classes: bool = True) -> DataFrame:
     """``(…, table_id, kind, node_id)``: the tables of each page without their content."""
-    keep = [c for c in dom.columns if c not in ("status", "nodes")]
+    keep = [c for c in dom.columns if c not in NOT_KEPT]
     found = F.transform(
         table_elements(F.col("nodes"), implicit, div_classes), lambda e: F.struct(e["id"], e["tag"])
     )
@@ -346,10 +372,11 @@ def find_tables(dom: DataFrame, implicit: bool = True, div_classes: bool = True)
 
 def texts_of(dom: DataFrame, *tags: str) -> DataFrame:
     """``(…, node_id, tag, text)`` of all elements with one of the tags."""
-    keep = [c for c in dom.columns if c not in ("status", "nodes")]
-    nodes = F.col("nodes")
+    keep = [c for c in dom.columns if c not in NOT_KEPT]
+    text = F.col("page_text")
     found = F.transform(
-        tagged(nodes, *tags), lambda e: F.struct(e["id"], e["tag"], element_text(nodes, e).alias("text"))
+        tagged(F.col("nodes"), *tags),
+        lambda e: F.struct(e["id"], e["tag"], element_text(text, e).alias("text")),
     )
     return dom.select(*keep, F.explode(found).alias("e")).select(
         *keep, F.col("e.id").alias("node_id"), F.col("e.tag").alias("tag"), F.col("e.text").alias("text")

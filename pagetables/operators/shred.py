@@ -1,13 +1,16 @@
 """Markup to nodes: the one stage that needs a parser.
 
-``shred`` turns the markup column into ``nodes``, an array in document order.  Only
-elements that table extraction can ask about are kept, with the text inside them:
+``shred`` turns the markup column into ``nodes``, an array in document order, and
+``page_text``, the UTF-8 bytes of the text inside cells, captions and headings, stripped text
+by stripped text.  Only elements that table extraction can ask about are nodes:
 
 * ``id`` is the node's position in the array and ``last`` the position of its last
   descendant, so the descendants of an element are one ``slice`` of the array;
 * ``head`` is the heading in force: the last ``h1`` so far, else the last ``h2``, else the
   last ``h3``, else -1;
-* ``cls`` is the lower-cased class attribute, ``text`` the stripped text of a ``#text``.
+* ``cls`` is the lower-cased class attribute;
+* ``start`` and ``end`` are where the element's text is in ``page_text``, so that a text is one
+  ``substring`` however many elements it spans.
 
 The tree rules are those of the standard library's event parser without any repair: no end
 tag is implied, an end tag closes everything up to its nearest open start tag and is
@@ -38,6 +41,9 @@ VOID = frozenset(
 STRUCTURE = frozenset("table thead tr td th caption h1 h2 h3".split())
 READABLE = frozenset("td th caption h1 h2 h3".split())
 SILENT = frozenset("script style template rt rp".split())
+# The texts of a page's cells may repeat one another where cells are left open; a page in which
+# they add up to more than this could not be a row, and gets an error status.
+MOST_CELL_BYTES = 256 * 1024 * 1024
 RAW_TEXT = frozenset(
     "script style textarea title iframe noembed noframes noscript xmp plaintext".split()
 )
@@ -55,7 +61,8 @@ NODE_TYPE = T.StructType(
         T.StructField("head", T.IntegerType(), False),
         T.StructField("tag", T.StringType(), False),
         T.StructField("cls", T.StringType()),
-        T.StructField("text", T.StringType()),
+        T.StructField("start", T.IntegerType(), False),
+        T.StructField("end", T.IntegerType(), False),
     ]
 )
 NODES_TYPE = T.ArrayType(NODE_TYPE, False)
@@ -67,19 +74,25 @@ _ARROW_NODE = pa.struct(
         pa.field("head", pa.int32(), False),
         pa.field("tag", pa.string(), False),
         pa.field("cls", pa.string()),
-        pa.field("text", pa.string()),
+        pa.field("start", pa.int32(), False),
+        pa.field("end", pa.int32(), False),
     ]
 )
 _ARROW_NODES = pa.list_(pa.field("element", _ARROW_NODE, False))
 
 
 class _Events(HTMLParser):
-    """The nodes of one document: ``last`` by node, and ``nodes`` of (head, tag, cls, text)."""
+    """The nodes of one document: ``nodes`` of (head, tag, cls), ``last``, ``start`` and ``end``
+    by node, and the document's ``texts``."""
 
     def __init__(self):
         super().__init__(convert_charrefs=False)
         self.last: list[int] = []
-        self.nodes: list[tuple[int, str, str | None, str | None]] = []
+        self.start: list[int] = []
+        self.end: list[int] = []
+        self.nodes: list[tuple[int, str, str | None]] = []
+        self.texts: list[bytes] = []
+        self.at = 0
         self.path: list[tuple[str, int, bool]] = []  # name, node id or -1, readable
         self.open: dict[str, int] = {}
         self.silent = self.readable = 0
@@ -145,17 +158,20 @@ class _Events(HTMLParser):
     def updatepos(self, i, j):
         return j  # line numbers are not kept
 
-    def _node(self, tag, cls=None, text=None) -> int:
+    def _node(self, tag, cls=None) -> int:
         node_id = len(self.last)
         self.last.append(node_id)
-        self.nodes.append((self.head, tag, cls, text))
+        self.start.append(self.at)
+        self.end.append(self.at)
+        self.nodes.append((self.head, tag, cls))
         return node_id
 
     def _end_text(self):
         if self.readable and not self.silent:
             text = "".join(self.pending).strip()
             if text:
-                self._node("#text", text=text)
+                self.texts.append(text.encode())
+                self.at += len(self.texts[-1])
         self.pending.clear()
 
     def handle_starttag(self, tag, attrs):
@@ -195,6 +211,7 @@ class _Events(HTMLParser):
             self.silent -= 1
         if node_id >= 0:
             self.last[node_id] = len(self.last) - 1
+            self.end[node_id] = self.at
         return tag
 
     def handle_endtag(self, tag):
@@ -233,10 +250,12 @@ class _Events(HTMLParser):
 
 
 _CHARSET = re.compile(rb"""<meta[^>]+charset\s*=\s*["']?([\w.:-]+)""", re.I)
+_XML_CHARSET = re.compile(rb"""\A\s*<\?xml[^>]+encoding\s*=\s*["']([\w.:-]+)""", re.I)
 
 
 def decode_markup(content: bytes) -> str:
-    """Bytes to text: byte order mark, declared charset, UTF-8, then Windows-1252."""
+    """Bytes to text: byte order mark, declared charset (of the XML declaration, then of the
+    first such element), UTF-8, then Windows-1252."""
     for mark, name in (
         (codecs.BOM_UTF8, "utf-8"),
         (codecs.BOM_UTF16_LE, "utf-16-le"),
@@ -244,8 +263,8 @@ def decode_markup(content: bytes) -> str:
     ):
         if content.startswith(mark):
             return content[len(mark):].decode(name, "replace")
-    declared = _CHARSET.search(content)
-    names = [declared.group(1).decode("ascii")] if declared else []
+    declared = [_XML_CHARSET.search(content), _CHARSET.search(content)]
+    names = [found.group(1).decode("ascii") for found in declared if found]
     for name in (*names, "utf-8"):
         try:
             return content.decode(name)
@@ -254,29 +273,44 @@ def decode_markup(content: bytes) -> str:
     return content.decode("cp1252", "replace")
 
 
-def shred_batch(markup: pa.Array) -> tuple[pa.Array, pa.Array]:
-    """Node lists and error messages for one Arrow array of markup."""
-    ids, lasts, nodes, offsets, errors = [], [], [], [0], []
+def cell_bytes(events: _Events) -> int:
+    """Length of all cells' texts; a text counts for every cell around it."""
+    return sum(
+        end - start
+        for (_, tag, _), start, end in zip(events.nodes, events.start, events.end)
+        if tag in ("td", "th")
+    )
+
+
+def shred_batch(markup: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Node lists, texts and error messages for one Arrow array of markup."""
+    ids, lasts, nodes, starts, ends, offsets, texts, errors = [], [], [], [], [], [0], [], []
     for value in markup:
-        content, error = value.as_py(), None
+        content, text, error = value.as_py(), None, None
         if content is not None:
             events = _Events()
             try:
                 events.read(content if isinstance(content, str) else decode_markup(content))
+                if (size := cell_bytes(events)) > MOST_CELL_BYTES:
+                    raise ValueError(f"Cells left open repeat {size} bytes of text")
                 ids.extend(range(len(events.last)))
                 lasts.extend(events.last)
                 nodes.extend(events.nodes)
+                starts.extend(events.start)
+                ends.extend(events.end)
+                text = b"".join(events.texts)
             except Exception as problem:  # a bad page becomes a status, never a failed job
                 error = f"Error: {problem}"
         offsets.append(len(ids))
+        texts.append(text)
         errors.append(error)
-    columns = [ids, lasts, *(zip(*nodes) if nodes else [[]] * 4)]
+    columns = [ids, lasts, *(zip(*nodes) if nodes else [[]] * 3), starts, ends]
     structs = pa.StructArray.from_arrays(
         [pa.array(values, field.type) for values, field in zip(columns, _ARROW_NODE)],
         fields=list(_ARROW_NODE),
     )
     lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs, type=_ARROW_NODES)
-    return lists, pa.array(errors, pa.string())
+    return lists, pa.array(texts, pa.binary()), pa.array(errors, pa.string())
 
 
 def may_hold_table(markup: Column) -> Column:
@@ -290,7 +324,7 @@ def may_hold_table(markup: Column) -> Column:
 
 
 def shred(pages: DataFrame, content: str = "html", prefilter: bool = False) -> DataFrame:
-    """``pages(…, html)`` to ``(…, status, nodes)``; every page keeps its row.
+    """``pages(…, html)`` to ``(…, status, nodes, page_text)``; every page keeps its row.
 
     Rows that already have a ``status`` (rejected by an earlier guard) are not parsed.
     With ``prefilter`` neither are pages that cannot hold a table.
@@ -307,14 +341,14 @@ def shred(pages: DataFrame, content: str = "html", prefilter: bool = False) -> D
             wanted = wanted & may_hold_table(F.col(content))
     feed = pages.select(*keep, "status", F.when(wanted, F.col(content)).alias(content))
     schema = T.StructType([pages.schema[c] for c in keep])
-    schema = schema.add("status", T.StringType()).add("nodes", NODES_TYPE)
+    schema = schema.add("status", T.StringType()).add("nodes", NODES_TYPE).add("page_text", T.BinaryType())
     names = schema.names
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, len(keep) + 1):
-            nodes, errors = shred_batch(batch.column(len(keep) + 1))
+            nodes, texts, errors = shred_batch(batch.column(len(keep) + 1))
             status = pc.coalesce(batch.column(len(keep)).cast(pa.string()), errors)
             columns = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*columns, status, nodes], names=names)
+            yield pa.RecordBatch.from_arrays([*columns, status, nodes, texts], names=names)
 
     return feed.mapInArrow(parse, schema)

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.corpus import page_documents
 from pagetables.operators.extract import (
     align_rows,
     aligned_cells,
     cells_of,
     extract_tables,
+    find_captions,
+    find_status,
     find_tables,
     headers_of,
-    page_status,
     tables_of,
     texts_of,
     to_wide,
@@ -21,7 +21,15 @@ from pagetables.operators.extract import (
 from pagetables.operators.shred import shred
 from pagetables.plans import render
 from pagetables.plans.reading import raw_pages
-from pagetables.plans.registry import LINE_CELLS, LINES, ORDER_ROWS, day, money, query
+from pagetables.plans.registry import (
+    DOCUMENT_CELLS,
+    DOCUMENT_HEADERS,
+    LINES,
+    ORDER_ROWS,
+    day,
+    money,
+    query,
+)
 
 
 def tables(pages: DataFrame, **options) -> DataFrame:
@@ -60,7 +68,7 @@ def implicit_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT page_id AS doc_id, 'No tables found' AS status, 0 AS tables_count FROM pages")
 def page_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status of the given pages; the filter before the parser keeps their rows."""
-    return page_status(page_documents(raw_pages(spark, sf_dir)))
+    return find_status(shred(raw_pages(spark, sf_dir), prefilter=True)).drop("source")
 
 
 @query("""
@@ -83,14 +91,10 @@ def header_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers_of(tables(render.order_pages(spark, sf_dir)))
 
 
-@query(f"""
-  SELECT doc_id, 0 AS table_id, pos, CASE WHEN k > 0 THEN value || '_' || k ELSE value END AS name
-  FROM (SELECT doc_id, pos, value, row_number() OVER (PARTITION BY doc_id, value ORDER BY pos) - 1 AS k
-        FROM {LINE_CELLS} WHERE line_no = 0 AND doc_id % 2 <> 0)
-  UNION ALL SELECT doc_id, 0, unnest([0, 1]), unnest(['line', 'text']) FROM documents WHERE doc_id % 2 = 0""")
+@query(f"SELECT * FROM {DOCUMENT_HEADERS}")
 def header_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers from ``thead`` or from the first row, repeats numbered."""
-    return headers_of(tables(render.document_pages(spark, sf_dir)).filter("table_id = 0"))
+    return headers_of(tables(render.document_pages(spark, sf_dir)))
 
 
 @query("SELECT p_partkey AS doc_id, 0 AS table_id, 0 AS pos, '' AS name FROM part")
@@ -99,24 +103,28 @@ def header_divs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return headers_of(tables(render.part_pages(spark, sf_dir)))
 
 
-@query(f"""
-  SELECT doc_id, 0 AS table_id, CAST(line_no - first_line AS INTEGER) AS row_no, pos, value
-  FROM (SELECT *, CASE WHEN doc_id % 2 = 0 OR line_count = 1 THEN 0 ELSE 1 END AS first_line FROM {LINE_CELLS})
-  WHERE line_no >= first_line AND line_no < first_line + 5""")
+@query(f"SELECT * FROM {DOCUMENT_CELLS} WHERE row_no < 5")
 def sample_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of the first five rows after the header row."""
-    return cells_of(tables(render.document_pages(spark, sf_dir)).filter("table_id = 0"))
+    return cells_of(tables(render.document_pages(spark, sf_dir)))
 
 
-@query(f"""
-  SELECT doc_id, 0 AS table_id, CAST(line_no - first_line AS INTEGER) AS row_no, pos, value
-  FROM (SELECT *, CASE WHEN doc_id % 2 = 0 OR line_count = 1 THEN 0 ELSE 1 END AS first_line FROM {LINE_CELLS})
-  WHERE line_no >= first_line""")
+@query(f"SELECT * FROM {DOCUMENT_CELLS}")
 def all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same without a practical row limit: whole texts through markup and back."""
-    return cells_of(
-        tables(render.document_pages(spark, sf_dir), sample=1_000_000).filter("table_id = 0")
-    )
+    """The same without a limit: whole texts through markup and back."""
+    return cells_of(tables(render.document_pages(spark, sf_dir), sample=None))
+
+
+@query("""
+  SELECT doc_id, 0 AS table_id, CAST(n AS INTEGER) AS pos,
+         array_to_string(c[n + 1:], '') || chr(124) || array_to_string(rest, '') AS value
+  FROM (SELECT doc_id, c, rest, unnest(range(len(c))) AS n
+        FROM (SELECT doc_id, string_split(ls[1], ' ') AS c, string_split(array_to_string(ls[2:], ' '), ' ') AS rest
+              FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))""")
+def unclosed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells and rows that are never closed: each holds all that follow it."""
+    found = tables(render.unclosed_pages(spark, sf_dir), sample=0)
+    return found.select("doc_id", "table_id", F.posexplode("headers").alias("pos", "value"))
 
 
 @query("""
@@ -188,7 +196,7 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     parts = [pages.withColumn("origin", F.lit(name)) for name, pages in sources.items()]
     whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return tables(whole).select("doc_id", "origin", "table_id", "caption")
+    return find_captions(shred(whole))
 
 
 @query(f"""
@@ -210,15 +218,15 @@ def assembled_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-  SELECT g.doc_id, CAST(g.row_no AS INTEGER) AS row_no, h.pos, h.name, coalesce(c.value, '') AS value
-  FROM (SELECT DISTINCT doc_id, line_no AS row_no FROM {LINES} WHERE doc_id % 2 = 0 AND line_no < 5) g
-  CROSS JOIN (SELECT 0 AS pos, 'line' AS name UNION ALL SELECT 1, 'text') h
-  LEFT JOIN (SELECT doc_id, line_no, pos, value FROM {LINE_CELLS}) c
-    ON c.doc_id = g.doc_id AND c.line_no = g.row_no AND c.pos = h.pos""")
+  WITH cells AS (SELECT * FROM {DOCUMENT_CELLS} WHERE row_no < 5)
+  SELECT g.doc_id, g.table_id, g.row_no, h.pos, h.name, coalesce(c.value, '') AS value
+  FROM (SELECT DISTINCT doc_id, table_id, row_no FROM cells) g
+  JOIN {DOCUMENT_HEADERS} h ON h.doc_id = g.doc_id AND h.table_id = g.table_id
+  LEFT JOIN cells c ON c.doc_id = g.doc_id AND c.table_id = g.table_id AND c.row_no = g.row_no AND c.pos = h.pos""")
 def aligned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sample rows padded and cut to two headers."""
-    found = tables(render.document_pages(spark, sf_dir)).filter("table_id = 0 and doc_id % 2 = 0")
-    return aligned_cells(found).select("doc_id", "row_no", "pos", "name", "value")
+    """Sample rows padded and cut to the headers."""
+    found = tables(render.document_pages(spark, sf_dir))
+    return aligned_cells(found).select("doc_id", "table_id", "row_no", "pos", "name", "value")
 
 
 @query(f"""

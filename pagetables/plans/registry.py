@@ -47,6 +47,27 @@ LINE_CELLS = f"""(
   SELECT doc_id, line_no, line_count, CAST(unnest(range(len(c))) AS INTEGER) AS pos, unnest(c) AS value
   FROM (SELECT *, list_prepend(CAST(line_no AS VARCHAR), string_split(line, ' ')) AS c FROM {LINES}))"""
 
+# The three tables of ``document_pages``: the text by lines, and one table inside another.
+# Their header names, repeats numbered, and the filled rows after the header row.
+DOCUMENT_HEADERS = f"""(
+  SELECT doc_id, table_id, pos, CASE WHEN k > 0 THEN value || '_' || k ELSE value END AS name
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, table_id, value ORDER BY pos) - 1 AS k
+    FROM (
+      SELECT doc_id, 0 AS table_id, pos, value FROM {LINE_CELLS} WHERE line_no = 0 AND doc_id % 2 <> 0
+      UNION ALL SELECT doc_id, 0, unnest([0, 1]), unnest(['line', 'text']) FROM documents WHERE doc_id % 2 = 0
+      UNION ALL SELECT doc_id, 1, unnest([0, 1, 2, 3, 4, 5]),
+        unnest([lang, source || n_chars || 'x', source, CAST(n_chars AS VARCHAR), 'x', 'z']) FROM documents
+      UNION ALL SELECT doc_id, 2, unnest([0, 1, 2]), unnest([source, CAST(n_chars AS VARCHAR), 'x']) FROM documents)))"""
+
+DOCUMENT_CELLS = f"""(
+  SELECT doc_id, 0 AS table_id, CAST(line_no - first_line AS INTEGER) AS row_no, pos, value
+  FROM (SELECT *, CASE WHEN doc_id % 2 = 0 OR line_count = 1 THEN 0 ELSE 1 END AS first_line FROM {LINE_CELLS})
+  WHERE line_no >= first_line
+  UNION ALL
+  SELECT doc_id, unnest([1, 1, 1, 2, 2, 2]), 0, unnest([0, 1, 2, 0, 1, 2]),
+         unnest([source, CAST(n_chars AS VARCHAR), 'x', source, CAST(n_chars AS VARCHAR), 'x']) FROM documents)"""
+
 # Field rows of ``order_pages``: number, name, value.
 ORDER_ROWS = f"""(
   SELECT o_orderkey AS doc_id, unnest([0, 1, 2, 3, 4, 5]) AS row_no,

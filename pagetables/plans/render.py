@@ -9,13 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetables.session import spread
+from pagetables.session import PARTITIONS
 
 MONEY = "decimal(18,2)"
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+def load(spark: SparkSession, sf_dir: str, table: str, partitions: int | None = None) -> DataFrame:
+    """A table, dealt to ``partitions`` tasks if that is given here or set in the session."""
+    frame = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    wanted = partitions or int(spark.conf.get(PARTITIONS, "0"))
+    return frame.repartition(wanted) if wanted else frame
 
 
 def escape(col: Column) -> Column:
@@ -209,6 +212,23 @@ def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unclosed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per document, whose first line's words are cells that nothing closes; the other
+    words follow in the last of them.
+
+    In the header row of ``n`` cells the k-th holds the words from k on, then all others.
+    """
+    docs = load(spark, sf_dir, "documents")
+    lines = F.split("text", "\n")
+    tds = F.transform(words(F.get(lines, F.lit(0))), lambda w: F.concat(F.lit("<td>"), escape(w)))
+    rest = F.split(F.array_join(F.slice(lines, F.lit(2), F.size(lines)), " "), " ")
+    spans = F.transform(rest, lambda w: element("i", escape(w)))
+    return docs.select(
+        "doc_id",
+        F.concat(F.lit("<table><tr>"), F.array_join(tds, ""), F.lit("<b>|</b>"), F.array_join(spans, "")).alias("html"),
+    )
+
+
 def quoted(col: Column) -> Column:
     """A CSV field in quotes."""
     return F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))

@@ -1,15 +1,14 @@
-"""Session settings and the size-checked spreading of small inputs."""
+"""Session settings of tests and the benchmark."""
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-# Inputs are dealt out to all cores only below both of these: one task's worth of input for
-# every core, and a total that is cheap to shuffle on any cluster.
-BYTES_PER_TASK = 128 * 1024 * 1024
-SPREAD_LIMIT = 1024 * 1024 * 1024
+# How many tasks queries deal the small tables of tests and of the benchmark to, before they
+# render and parse them.  Unset, and so on a cluster, inputs stay as their files are split.
+PARTITIONS = "spark.pagetables.partitions"
 
 
 def get_session(app: str = "pagetables", cores: str = "*") -> SparkSession:
@@ -22,6 +21,7 @@ def get_session(app: str = "pagetables", cores: str = "*") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", os.environ.get("SHUFFLE_PARTITIONS", "8"))
+        .config(PARTITIONS, cores if cores.isdigit() else str(os.cpu_count()))
         .config("spark.driver.memory", os.environ.get("DRIVER_MEMORY", "12g"))
         # A row holds a whole page, so Arrow batches are bounded by bytes, not by rows.
         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(16 * 1024 * 1024))
@@ -29,24 +29,3 @@ def get_session(app: str = "pagetables", cores: str = "*") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; for file scans, the bytes of the files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out to every core before an expensive per-row stage.
-
-    A few megabytes arrive as one file split and would be parsed on one core.  Larger
-    inputs come in enough splits and are returned unchanged, so at scale there is no
-    exchange, and what is shuffled here is never more than SPREAD_LIMIT.  Streaming inputs
-    are left alone, their splits are the trigger's files.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and input_bytes(df) < min(cores * BYTES_PER_TASK, SPREAD_LIMIT):
-        return df.repartition(cores)
-    return df

@@ -1,5 +1,7 @@
 """Extraction on small markup with results worked out by hand."""
 
+import time
+
 
 def table(*rows):
     return "<table>" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>"
@@ -91,6 +93,35 @@ def test_tree_without_repair(extract):
     assert self_closed["headers"] == ["", "y", "z"]
 
 
+def test_unclosed_cells_take_linear_time(extract):
+    """Pages next to each other: one with a megabyte of open cells in closed rows, one whose
+    cells would repeat gigabytes, and a good one."""
+    closed = "<table>" + "".join(f"<tr><td>a{i}<td>b<td>c</tr>" for i in range(45_000)) + "</table>"
+    endless = "<table><tr>" + "<td>x" * 200_000
+    small = "<table><tr>" + "<td>xy" * 8_000
+    assert len(closed) > 1_000_000 and len(endless) == 1_000_011
+    begin = time.perf_counter()
+    found = extract(closed, endless, small, "<h1>People</h1>" + table(*PEOPLE))
+    assert time.perf_counter() - begin < 60
+    assert found[0]["tables"][0]["headers"] == ["a0bc", "bc", "c"]
+    assert [r[0] for r in found[0]["tables"][0]["rows"]] == [f"a{i}bc" for i in range(1, 6)]
+    assert found[1]["status"].startswith("Error: Cells left open repeat") and found[1]["tables"] == []
+    headers = found[2]["tables"][0]["headers"]
+    assert len(headers) == 8_000 and headers[0] == "xy" * 8_000 and headers[-1] == "xy"
+    assert found[3]["tables"][0]["rows"] == [["John", "30", "New York"], ["Jane", "25", "Chicago"]]
+
+
+def test_all_rows_without_a_limit(extract):
+    found = one(extract, table(*[cells("r", str(i), "x") for i in range(300)]), sample=None)
+    assert [r[1] for r in found["rows"]] == [str(i) for i in range(1, 300)]
+    assert len(one(extract, DIVS.replace("</div></div></div>", "</div></div>" + '<div class="row"><div class="cell">z</div></div>' * 20 + "</div>"), sample=None)["rows"]) == 21
+
+
+def test_large_pages_are_read(extract):
+    html = "<table>" + "".join(f"<tr><td>{i}</td><td>{'x' * 100_000}</td><td>y</td></tr>" for i in range(110)) + "</table>"
+    assert len(html) > 10 * 1024 * 1024 and extract(html)[0]["status"] == "Success"
+
+
 def test_nested_tables(extract):
     inner = table(cells("i1"), cells("i2"))
     found = extract("<h2>far</h2><h3>near</h3>" + table(cells("o", inner)))[0]["tables"]

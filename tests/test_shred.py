@@ -23,7 +23,11 @@ class Plain(stage._Events):
 def nodes(events_class, markup):
     events = events_class()
     events.read(markup)
-    return [(last, tag, cls, text, head) for last, (head, tag, cls, text) in zip(events.last, events.nodes)]
+    whole = b"".join(events.texts)
+    return [
+        (last, tag, cls, whole[start:end].decode(), head, start, end)
+        for last, (head, tag, cls), start, end in zip(events.last, events.nodes, events.start, events.end)
+    ]
 
 
 PIECES = st.sampled_from(
@@ -45,11 +49,10 @@ def test_documents_are_read_as_the_parser_reads_them(pieces):
 @given(st.lists(PIECES, max_size=40))
 def test_spans_are_nested(pieces):
     found = nodes(stage._Events, "".join(pieces))
-    for i, (last, tag, *_) in enumerate(found):
-        assert i <= last < len(found)
-        assert tag != "#text" or last == i
+    for i, (last, *_, start, end) in enumerate(found):
+        assert i <= last < len(found) and start <= end
         for j in range(i + 1, last + 1):
-            assert found[j][0] <= last
+            assert found[j][0] <= last and start <= found[j][-2] <= found[j][-1] <= end
 
 
 GRID = st.integers(1, 4).flatmap(
@@ -71,20 +74,20 @@ def test_rendered_grids_come_back(grid):
         "<tr>" + "".join(f"<td>{escaped(c)}</td>" for c in row) + "</tr>" for row in grid
     ) + "</table>"
     found = nodes(stage._Events, html)
-    texts = []
-    for i, (last, tag, *_) in enumerate(found):
-        if tag == "td":
-            texts.append("".join(found[j][3] for j in range(i + 1, last + 1) if found[j][1] == "#text"))
+    texts = [text for _, tag, _, text, *_ in found if tag == "td"]
     assert texts == [c.strip() for row in grid for c in row]
 
 
 def test_batch_keeps_documents_apart():
-    lists, errors = stage.shred_batch(pa.array(["<td>a", None, "<h1>b</h1>", "x"]))
-    assert [len(v) for v in lists.to_pylist()] == [2, 0, 2, 0]
+    lists, texts, errors = stage.shred_batch(pa.array(["<td>a", None, "<h1>b</h1>", "x"]))
+    assert [len(v) for v in lists.to_pylist()] == [1, 0, 1, 0]
+    assert texts.to_pylist() == [b"a", None, b"b", b""]
     assert lists.to_pylist()[2][0]["id"] == 0 and errors.null_count == 4
 
 
 def test_decoding():
+    xml = '<?xml version="1.0" encoding="iso-8859-1"?><h1>é</h1>'.encode("latin-1")
+    assert "é" in stage.decode_markup(xml)
     latin = '<meta charset="iso-8859-1"><h1>é</h1>'.encode("latin-1")
     for content in (latin, "\ufeff<h1>é</h1>".encode(), "<h1>é</h1>".encode(),
                     "\ufeff<h1>é</h1>".encode("utf-16-le"), "<h1>é</h1>".encode("cp1252")):
