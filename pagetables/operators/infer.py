@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import once
-from pagetables.functions.text import bind, strip
+from pagetables.functions.text import bind, json_text, strip
 
 KINDS = ["int", "float", "date", "boolean", "object", "array", "string"]
 
-INT = r"^[+-]?[0-9]{1,18}$"
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?$"
+INT = r"^[+-]?[0-9]+$"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Whole numbers are compared exactly up to this many digits, beyond as doubles.
+WHOLE = "decimal(38,0)"
 BOOLEAN = r"(?i)^(true|false)$"
 
 # Date formats in order of preference; the expression is checked before the calendar.
@@ -36,8 +38,8 @@ DATE_FORMATS = {
 }
 MAYBE_DATE = r"^[0-9]{2,4}[-/.][0-9]{2}[-/.][0-9]{2,4}"
 
-# Longer values are prose and follow no pattern, nor do values with control characters.
-SHAPEABLE = r"^[^\x00-\x1f]{1,64}$"
+# Values with control characters, line ends among them, follow no pattern.
+SHAPEABLE = r"^[^\x00-\x1f]+$"
 
 # Names to types for columns without values; the first match wins.
 NAME_RULES = [
@@ -124,6 +126,7 @@ def fact(v: Column, kind: Column, dates: Column) -> dict[str, Column]:
     return {
         "kind": kind,
         "number": F.when(kind.isin("int", "float"), v.try_cast("double")),
+        "whole": F.when(kind == "int", v.try_cast(WHOLE)),
         "dates": dates,
         "shape": F.when((kind == "string") & v.rlike(SHAPEABLE), shape(v)),
     }
@@ -160,6 +163,9 @@ def row_votes() -> Column:
         .alias("formats"),
         F.min("number").alias("minimum"),
         F.max("number").alias("maximum"),
+        F.count("whole").alias("wholes"),
+        F.min("whole").alias("least"),
+        F.max("whole").alias("most"),
         F.count_if((kind == "string") & shaped.isNull()).alias("shapeless"),
         F.min(shaped).alias("first_shape"),
         F.max(shaped).alias("last_shape"),
@@ -179,7 +185,9 @@ def array_votes(values: Column) -> Column:
     def hits(dates: Column, i: int) -> Column:
         return count(dates, lambda d: d.bitwiseAND(1 << i) != 0)
 
-    def counted(kinds: Column, dates: Column, numbers: Column, shapes: Column) -> Column:
+    def counted(
+        kinds: Column, dates: Column, numbers: Column, wholes: Column, shapes: Column
+    ) -> Column:
         strings = count(kinds, lambda k: F.coalesce(k == "string", F.lit(False)))
         return F.struct(
             F.array_sort(F.array_compact(F.array_distinct(kinds))).alias("kinds"),
@@ -192,6 +200,9 @@ def array_votes(values: Column) -> Column:
             ).alias("formats"),
             F.array_min(numbers).alias("minimum"),
             F.array_max(numbers).alias("maximum"),
+            F.size(F.array_compact(wholes)).cast("bigint").alias("wholes"),
+            F.array_min(wholes).alias("least"),
+            F.array_max(wholes).alias("most"),
             (strings - F.size(F.array_compact(shapes))).alias("shapeless"),
             F.array_min(shapes).alias("first_shape"),
             F.array_max(shapes).alias("last_shape"),
@@ -200,12 +211,15 @@ def array_votes(values: Column) -> Column:
     def with_kinds(vs: Column, dates: Column, kinds: Column) -> Column:
         only_strings = ~F.exists(kinds, lambda k: F.coalesce(k != "string", F.lit(False)))
         numbers = by(lambda v, k: fact(v, k, k)["number"], vs, kinds)
+        any_whole = F.array_contains(F.array_compact(kinds), "int")
+        wholes = F.when(any_whole, by(lambda v, k: fact(v, k, k)["whole"], vs, kinds))
         shapes = F.when(only_strings, by(lambda v, k: fact(v, k, k)["shape"], vs, kinds))
         none = F.array().cast("array<string>")
         return bind(
             numbers,
             lambda n: bind(
-                F.coalesce(shapes, none), lambda s: counted(kinds, dates, n, s)
+                F.coalesce(wholes, F.array().cast(f"array<{WHOLE}>")),
+                lambda w: bind(F.coalesce(shapes, none), lambda s: counted(kinds, dates, n, w, s)),
             ),
         )
 
@@ -236,12 +250,17 @@ def resolved_type(kinds: Column) -> Column:
 
 
 def constraints_of(minimum: Column, maximum: Column, pattern: Column) -> Column:
-    """Constraints as a variant without absent members; NULL when there is none."""
-    given = minimum.isNotNull() | maximum.isNotNull() | pattern.isNotNull()
-    members = F.struct(
-        minimum.alias("minimum"), maximum.alias("maximum"), pattern.alias("pattern")
+    """Constraints as a variant without absent members; NULL when there is none.  Bounds are
+    given as they are written in JSON."""
+    members = F.array_compact(
+        F.array(
+            F.concat(F.lit('"minimum":'), minimum),
+            F.concat(F.lit('"maximum":'), maximum),
+            F.concat(F.lit('"pattern":'), json_text(pattern)),
+        )
     )
-    return F.when(given, F.parse_json(F.to_json(members)))
+    text = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    return F.when(F.size(members) > 0, F.try_parse_json(text))
 
 
 def described(name: Column) -> Column:
@@ -249,7 +268,9 @@ def described(name: Column) -> Column:
 
 
 def resolve(v: Column) -> Column:
-    """Votes to ``struct<type, nullable, confidence, format, minimum, maximum, pattern>``."""
+    """Votes to ``struct<type, nullable, confidence, format, minimum, maximum, least, most,
+    pattern>``; ``least`` and ``most`` are the exact bounds as text, NULL where there are none
+    or where a whole number has more digits than are compared exactly."""
     filled = v["total"] - v["blank"]
 
     def rest(kind: Column) -> Column:
@@ -260,6 +281,7 @@ def resolve(v: Column) -> Column:
             F.array_position(v["formats"], most).cast("int") - 1,
         )
         numeric = kind.isin("int", "float")
+        exact = (kind == "int") & (v["wholes"] == filled)
         one_shape = (
             (kind == "string")
             & (v["strings"] == filled)
@@ -275,6 +297,8 @@ def resolve(v: Column) -> Column:
             F.when(kind == "date", form).otherwise("").alias("format"),
             F.when(numeric, v["minimum"]).alias("minimum"),
             F.when(numeric, v["maximum"]).alias("maximum"),
+            F.when(exact, v["least"].cast("string")).alias("least"),
+            F.when(exact, v["most"].cast("string")).alias("most"),
             F.when(one_shape, v["first_shape"]).alias("pattern"),
         )
 
@@ -312,7 +336,11 @@ def valued_column(name: Column, found: Column, samples: Column) -> Column:
         found["confidence"].alias("confidence"),
         F.lit(False).alias("inferred"),
         found["format"].alias("format"),
-        constraints_of(found["minimum"], found["maximum"], found["pattern"]).alias("constraints"),
+        constraints_of(
+            F.coalesce(found["least"], found["minimum"].cast("string")),
+            F.coalesce(found["most"], found["maximum"].cast("string")),
+            found["pattern"],
+        ).alias("constraints"),
         samples.alias("sample_values"),
     ).cast(COLUMN_DDL)
 

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from pagetables.operators.extract import aligned_cells, extract_tables, headers_of, tables_of
 from pagetables.operators.infer import (
-    BOOLEAN,
-    DATE_FORMATS,
-    INT,
-    NUMBER,
     infer_from_names,
     infer_tables,
     normalise_types,
@@ -23,7 +19,13 @@ from pagetables.operators.shred import shred
 from pagetables.plans import render
 from pagetables.plans.registry import day, money, query
 
-ISO_DAY = DATE_FORMATS["yyyy-MM-dd"]
+# The rules in SQL, written apart from the engine's.
+SQL_INT = "^[+-]?\\d+$"
+SQL_NUMBER = "^[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?$"
+SQL_BOOLEAN = "^(true|false|True|False|TRUE|FALSE)$"
+SQL_DAY = "^\\d{4}-\\d{2}-\\d{2}$"
+SQL_SECOND = "^\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}$"
+CONTROL = "[\\x00-\\x1F]"
 MARKED = "\u0001\u0002\u0003"
 
 
@@ -62,7 +64,6 @@ def profile_sql(table: str, fields: dict[str, Callable], group: str | None = Non
     values = ", ".join(f"trim({SQL_OF[fields[c]](c)})" for c in columns)
     by = f"{group}, " if group else ""
     key = f"{SQL_OF[fields[group]](group)} AS {group}, " if group else ""
-    iso_second = DATE_FORMATS["yyyy-MM-dd HH:mm:ss"]
     return f"""
   WITH cells AS (
     SELECT {key}unnest([{', '.join(str(i) for i in range(len(columns)))}]) AS pos,
@@ -70,10 +71,10 @@ def profile_sql(table: str, fields: dict[str, Callable], group: str | None = Non
     FROM {table}),
   facts AS (
     SELECT {by}pos, name, v, CASE WHEN v IS NULL OR v = '' THEN NULL
-      WHEN regexp_matches(v, '{INT}') THEN 'int' WHEN regexp_matches(v, '{NUMBER}') THEN 'float'
-      WHEN regexp_matches(v, '{BOOLEAN}') THEN 'boolean'
-      WHEN regexp_matches(v, '{ISO_DAY}') AND try_strptime(v, '%Y-%m-%d') IS NOT NULL THEN 'date'
-      WHEN regexp_matches(v, '{iso_second}') AND try_strptime(v, '%Y-%m-%d %H:%M:%S') IS NOT NULL THEN 'date'
+      WHEN regexp_matches(v, '{SQL_INT}') THEN 'int' WHEN regexp_matches(v, '{SQL_NUMBER}') THEN 'float'
+      WHEN regexp_matches(v, '{SQL_BOOLEAN}') THEN 'boolean'
+      WHEN regexp_matches(v, '{SQL_DAY}') AND try_strptime(v, '%Y-%m-%d') IS NOT NULL THEN 'date'
+      WHEN regexp_matches(v, '{SQL_SECOND}') AND try_strptime(v, '%Y-%m-%d %H:%M:%S') IS NOT NULL THEN 'date'
       WHEN v LIKE '{{%}}' AND json_valid(v) THEN 'object' WHEN v LIKE '[%]' AND json_valid(v) THEN 'array'
       ELSE 'string' END AS kind FROM cells),
   votes AS (
@@ -82,9 +83,11 @@ def profile_sql(table: str, fields: dict[str, Callable], group: str | None = Non
            count(*) FILTER (kind = 'date' AND length(v) = 10) AS day_n,
            min(CASE WHEN kind IN ('int', 'float') THEN CAST(v AS DOUBLE) END) AS lo,
            max(CASE WHEN kind IN ('int', 'float') THEN CAST(v AS DOUBLE) END) AS hi,
-           count(*) FILTER (kind = 'string' AND length(v) > 64) AS long_n,
-           min(CASE WHEN kind = 'string' AND length(v) <= 64 THEN {shape_sql('v')} END) AS s1,
-           max(CASE WHEN kind = 'string' AND length(v) <= 64 THEN {shape_sql('v')} END) AS s2
+           min(CASE WHEN kind = 'int' THEN CAST(v AS HUGEINT) END) AS whole_lo,
+           max(CASE WHEN kind = 'int' THEN CAST(v AS HUGEINT) END) AS whole_hi,
+           count(*) FILTER (kind = 'string' AND regexp_matches(v, '{CONTROL}')) AS odd_n,
+           min(CASE WHEN kind = 'string' AND NOT regexp_matches(v, '{CONTROL}') THEN {shape_sql('v')} END) AS s1,
+           max(CASE WHEN kind = 'string' AND NOT regexp_matches(v, '{CONTROL}') THEN {shape_sql('v')} END) AS s2
     FROM facts GROUP BY ALL),
   typed AS (
     SELECT *, total - blank AS filled, CASE WHEN total = blank THEN 'null' WHEN int_n = total - blank THEN 'int'
@@ -96,7 +99,9 @@ def profile_sql(table: str, fields: dict[str, Callable], group: str | None = Non
          CASE WHEN type <> 'date' THEN '' WHEN day_n >= date_n - day_n THEN 'yyyy-MM-dd' ELSE 'yyyy-MM-dd HH:mm:ss' END AS format,
          CASE WHEN type IN ('int', 'float') THEN lo END AS minimum,
          CASE WHEN type IN ('int', 'float') THEN hi END AS maximum,
-         CASE WHEN type = 'string' AND string_n = filled AND long_n = 0 AND s1 = s2 THEN s1 END AS pattern,
+         CASE WHEN type = 'int' THEN CAST(whole_lo AS VARCHAR) END AS least,
+         CASE WHEN type = 'int' THEN CAST(whole_hi AS VARCHAR) END AS most,
+         CASE WHEN type = 'string' AND string_n = filled AND odd_n = 0 AND s1 = s2 THEN s1 END AS pattern,
          'Column containing ' || name || ' data' AS description
   FROM typed"""
 
@@ -138,6 +143,23 @@ profiled("lineitem", "l_returnflag")
 profiled("events", "event_type")
 
 
+@query(profile_sql(
+    "(SELECT CAST(CAST(l_orderkey AS HUGEINT) * 1000000000000000000000 + l_linenumber AS VARCHAR) AS long_key, "
+    "'row ' || repeat(CAST(l_linenumber AS VARCHAR) || ' is ', 40) || 'long' AS long_text FROM lineitem)",
+    {c: render.text for c in ("long_key", "long_text")}))
+def profile_long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers of over 18 digits with exact bounds, and a pattern of long values."""
+    items = render.load(spark, sf_dir, "lineitem")
+    key = F.col("l_orderkey").cast("decimal(16,0)") * F.lit("1" + "0" * 21).cast("decimal(22,0)") + F.col("l_linenumber")
+    number = render.text("l_linenumber")
+    return profile(
+        items.select(
+            key.cast("decimal(38,0)").cast("string").alias("long_key"),
+            F.concat(F.lit("row "), F.repeat(F.concat(number, F.lit(" is ")), F.lit(40)), F.lit("long")).alias("long_text"),
+        )
+    )
+
+
 @query(profile_sql(
     "(SELECT CASE WHEN e.event_id % 7 = 0 THEN '' ELSE CAST(e.event_id AS VARCHAR) END AS id, "
     "CASE WHEN e.event_id % 5 = 0 THEN '  ' WHEN e.value > 100 THEN 'high' ELSE CAST(CAST(e.value AS DECIMAL(18,2)) AS VARCHAR) END AS reading, "

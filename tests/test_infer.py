@@ -16,8 +16,8 @@ from pagetables.operators.infer import (
 from pagetables.operators.schemas import sql_type
 
 KINDS = {
-    "12": "int", "-7": "int", "+0012": "int", " 3 ": "int", "9" * 18: "int", "9" * 19: "float",
-    "1.5": "float", ".5": "float", "5.": "float", "1e5": "float", "1E-05": "float", "1f": "string", "NaN": "string",
+    "12": "int", "-7": "int", "+0012": "int", " 3 ": "int", "9" * 18: "int", "9" * 19: "int", "-" + "9" * 60: "int",
+    "1.5": "float", ".5": "float", "5.": "float", "1e5": "float", "1E-05": "float", "1e-0005": "float", "1f": "string", "NaN": "string",
     ".": "string", "1,000": "string", "TRUE": "boolean", "false": "boolean", "t": "string", "1": "int",
     "2024-02-29": "date", "2023-02-29": "string", "2024-01-01 10:11:12": "date", "2024-01-01T10:11:12": "date",
     "31/12/2024": "date", "12/31/2024": "date", "31.12.2024": "date", "2024/01/02": "date", "2020": "int",
@@ -40,7 +40,7 @@ COLUMNS = {
     "codes": (["AB-12", "XYZ-7"], ("string", False, 1.0, "", None, None, "^[A-Z]+-\\d+$")),
     "dots": (["a.b", "c.d"], ("string", False, 1.0, "", None, None, "^[a-z]+\\.[a-z]+$")),
     "mostly numbers": (["1", "2", "x"], ("string", False, 0.333, "", None, None, None)),
-    "long": (["x" * 70, "y" * 70], ("string", False, 1.0, "", None, None, None)),
+    "long": (["x" * 70, "y" * 70], ("string", False, 1.0, "", None, None, "^[a-z]+$")),
     "flags": (["true", "FALSE"], ("boolean", False, 1.0, "", None, None, None)),
     "objects": (["{}", '{"a":1}'], ("object", False, 1.0, "", None, None, None)),
 }
