@@ -129,15 +129,48 @@ def definition_columns(definitions: Column) -> Column:
 # --- versions -----------------------------------------------------------------------------
 
 
+def _original_name(name: Column, round_no: Column, renames: Column) -> Column:
+    """What a column was called before all renames that come before a round.
+
+    ``renames`` are of one schema, the last first; one pass follows a name back.
+    """
+    start = F.struct(name.alias("name"), round_no.alias("round"))
+
+    def back(at: Column, r: Column) -> Column:
+        hit = (r["to"] == at["name"]) & (r["round"] < at["round"])
+        return F.when(hit, F.struct(r["name"].alias("name"), r["round"].alias("round"))).otherwise(at)
+
+    return F.coalesce(F.aggregate(renames, start, back)["name"], name)
+
+
 def fold_patches(patches: DataFrame) -> DataFrame:
     """The last value per schema, column and field over all feedback rounds, one row per
-    schema and column.  Maxima combine before the exchange, so a schema with very many
-    patches sends one row per task."""
+    schema and column, by the name the column had at first.
+
+    NULL values say nothing.  A round works on the result of the one before, so a patch may
+    use the name an earlier round gave.  The log is reduced to one row per schema, round and
+    column in each task before anything else; only its renames are gathered by schema.
+    """
+    given = F.col("value").isNotNull()
+    rounds = patches.groupBy("schema_id", "round", "column_name").agg(
+        # A collected set makes Spark hash the groups; maxima of texts alone would sort them.
+        F.size(F.collect_set("field")).alias("n_fields"),
+        *[F.max(F.when((F.col("field") == f) & given, F.col("value"))).alias(f) for f in PATCH_FIELDS],
+    )
+    renamed = rounds.filter(F.col("name").isNotNull() & (F.col("name") != F.col("column_name")))
+    renames = renamed.groupBy("schema_id").agg(
+        F.sort_array(
+            F.collect_list(F.struct("round", F.col("column_name").alias("name"), F.col("name").alias("to"))),
+            asc=False,
+        ).alias("renames")
+    )
+    named = rounds.join(renames, "schema_id", "left").withColumn(
+        "column_name", _original_name(F.col("column_name"), F.col("round"), F.col("renames"))
+    )
     last = [
-        F.max(F.when(F.col("field") == f, F.struct("round", "value")))["value"].alias(f)
-        for f in PATCH_FIELDS
+        F.max(F.when(F.col(f).isNotNull(), F.struct("round", f)))[f].alias(f) for f in PATCH_FIELDS
     ]
-    return patches.groupBy("schema_id", "column_name").agg(*last)
+    return named.groupBy("schema_id", "column_name").agg(*last)
 
 
 def patch_column(column: Column, patch: Column) -> Column:
@@ -321,24 +354,27 @@ def yaml_scalar(col: Column) -> Column:
 def to_yaml_docs(schemas: DataFrame, key: str = "schema_id") -> DataFrame:
     """``(schema_id, doc)``: each schema as YAML; strings are always quoted."""
 
-    def line(name: str, value: Column, indent: str = "") -> Column:
-        return F.concat(F.lit(f"{indent}{name}: "), value, F.lit("\n"))
+    def member(name: str, value: Column) -> Column:
+        """``name: value``; NULL, and so left out, without a value."""
+        return F.concat(F.lit(f"{name}: "), value)
 
-    def some(value: Column) -> Column:
-        return F.coalesce(value, F.lit(""))
+    def lines(indent: str, *members: Column) -> Column:
+        return F.array_join(F.array_compact(F.array(*members)), "\n" + indent)
 
     def column(c: Column) -> Column:
         sparse = sparse_column(c)
-        return F.concat(
-            line("- name", yaml_scalar(c["name"])),
-            line("type", yaml_scalar(c["type"]), "  "),
-            line("description", yaml_scalar(c["description"]), "  "),
-            line("nullable", c["nullable"].cast("string"), "  "),
-            some(line("confidence", sparse["confidence"].cast("string"), "  ")),
-            some(line("inferred", sparse["inferred"].cast("string"), "  ")),
-            some(line("format", yaml_scalar(sparse["format"]), "  ")),
-            some(line("constraints", yaml_json(F.to_json(sparse["constraints"])), "  ")),
+        members = lines(
+            "  ",
+            member("name", yaml_scalar(c["name"])),
+            member("type", yaml_scalar(c["type"])),
+            member("description", yaml_scalar(c["description"])),
+            member("nullable", c["nullable"].cast("string")),
+            member("confidence", sparse["confidence"].cast("string")),
+            member("inferred", sparse["inferred"].cast("string")),
+            member("format", yaml_scalar(sparse["format"])),
+            member("constraints", yaml_json(F.to_json(sparse["constraints"]))),
         )
+        return F.concat(F.lit("- "), F.coalesce(F.nullif(members, F.lit("")), F.lit("{}")), F.lit("\n"))
 
     columns = F.when(
         F.size("columns") > 0,
@@ -358,10 +394,10 @@ def to_yaml_docs(schemas: DataFrame, key: str = "schema_id") -> DataFrame:
     return schemas.select(
         key,
         F.concat(
-            line("name", yaml_scalar(F.col("name"))),
-            line("description", yaml_scalar(F.col("description"))),
-            columns,
-            metadata,
+            F.coalesce(F.concat(member("name", yaml_scalar(F.col("name"))), F.lit("\n")), F.lit("")),
+            F.coalesce(F.concat(member("description", yaml_scalar(F.col("description"))), F.lit("\n")), F.lit("")),
+            F.coalesce(columns, F.lit("")),
+            F.coalesce(metadata, F.lit("")),
         ).alias("doc"),
     )
 

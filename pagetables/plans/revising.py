@@ -188,22 +188,23 @@ PATCHES = """(
   FROM events JOIN part ON p_partkey = user_id)"""
 
 
-def event_patches(spark: SparkSession, sf_dir: str, schemas: DataFrame) -> DataFrame:
+def event_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as patches of the parts; a third of them patch the column named as the part's
+    brand."""
     number = F.col("event_id")
     events = render.load(spark, sf_dir, "events").withColumnRenamed("user_id", "schema_id")
-    brands = schemas.select(F.col("schema_id"), F.get("columns", F.lit(0))["name"].alias("brand"))
-    return (
-        events.join(brands, "schema_id")
-        .select(
-            "schema_id",
-            number.alias("round"),
-            F.when(number % 3 == 0, "size").when(number % 3 == 1, "absent").otherwise(F.col("brand"))
-            .alias("column_name"),
-            F.get(F.array(*[F.lit(f) for f in ("type", "nullable", "description", "format")]),
-                  (number % 4).cast("int")).alias("field"),
-            F.when(number % 4 == 1, F.when(number % 8 == 1, "false").otherwise("true"))
-            .otherwise(F.col("event_type")).alias("value"),
-        )
+    brands = render.load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("schema_id"), F.col("p_brand").alias("brand")
+    )
+    return events.join(brands, "schema_id").select(
+        "schema_id",
+        number.alias("round"),
+        F.when(number % 3 == 0, "size").when(number % 3 == 1, "absent").otherwise(F.col("brand"))
+        .alias("column_name"),
+        F.get(F.array(*[F.lit(f) for f in ("type", "nullable", "description", "format")]),
+              (number % 4).cast("int")).alias("field"),
+        F.when(number % 4 == 1, F.when(number % 8 == 1, "false").otherwise("true"))
+        .otherwise(F.col("event_type")).alias("value"),
     )
 
 
@@ -218,8 +219,29 @@ FOLDED = f"""(
 @query(f"SELECT * FROM {FOLDED} f")
 def folded_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last value per schema, column and field over all rounds."""
-    patches = event_patches(spark, sf_dir, part_schemas(spark, sf_dir))
-    return fold_patches(patches).drop("name", "constraints")
+    return fold_patches(event_patches(spark, sf_dir)).drop("name", "constraints")
+
+
+@query("""
+  SELECT conv_id AS schema_id, 'c' || min(turn) AS column_name, 'c' || (max(turn) + 1) AS name,
+         max_by(text, turn) FILTER (length(text) % 3 <> 0) AS description,
+         max_by(role, turn) FILTER (turn % 2 = 1) AS type
+  FROM conversations GROUP BY conv_id""")
+def renamed_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of a conversation is a round: it renames the column by the name the round
+    before gave, describes it by that name, with no value at times, and gives odd rounds' type."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    name = F.concat(F.lit("c"), F.col("turn").cast("string"))
+    described = F.when(F.char_length("text") % 3 != 0, F.col("text"))
+    fields = F.array(
+        F.struct(F.lit("name").alias("field"), F.concat(F.lit("c"), (F.col("turn") + 1).cast("string")).alias("value")),
+        F.struct(F.lit("description").alias("field"), described.alias("value")),
+        F.struct(F.lit("type").alias("field"), F.when(F.col("turn") % 2 == 1, F.col("role")).alias("value")),
+    )
+    patches = turns.select(
+        F.col("conv_id").alias("schema_id"), F.col("turn").alias("round"), name.alias("column_name"), F.inline(fields)
+    )
+    return fold_patches(patches).select("schema_id", "column_name", "name", "description", "type")
 
 
 @query(f"""
@@ -233,7 +255,7 @@ def folded_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def patched_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feedback applied: patches of absent columns do nothing, patched schemas get a version."""
     schemas = part_schemas(spark, sf_dir)
-    revised = apply_patches(schemas, event_patches(spark, sf_dir, schemas))
+    revised = apply_patches(schemas, event_patches(spark, sf_dir))
     count = F.try_variant_get(F.try_element_at("metadata", F.lit("refinement_version")), "$", "int")
     return revised.select(
         "schema_id", "version", count.alias("refinement_version"), F.posexplode("columns").alias("pos", "c")
