@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,27 +12,49 @@ from pagetables.functions.text import basename, bind
 from pagetables.operators.csvschema import csv_tables, definition_rows, describes_schema, roles
 from pagetables.operators.extract import extract_tables
 from pagetables.operators.infer import table_columns
-from pagetables.operators.parse import HEADER_NAME, HEADER_TEXT
+from pagetables.operators.parse import (
+    HEADER_NAME,
+    HEADER_TEXT,
+    NO_HEADERS,
+    fallback_schema,
+    load_strict,
+    normalise_schema,
+    parse_schema_text,
+)
+from pagetables.operators.prompts import (
+    RESPONSE_COLUMNS,
+    kind_of,
+    refine_prompts,
+    run_model,
+    table_prompt,
+)
 from pagetables.operators.schemas import (
     attach_metadata,
     definition_columns,
+    refine,
     source_metadata,
     table_metadata,
+    to_json_docs,
 )
-from pagetables.operators.select import select_tables
+from pagetables.operators.select import analysis_prompt, recommended_index, select_tables
 from pagetables.operators.shred import shred
 from pagetables.sources.csvtext import parse_csv
-from pagetables.sources.files import DEFAULT_MAX_MB, guard_size
+from pagetables.sources.files import guard_size
 
 
-def page_documents(pages: DataFrame, max_mb: float = DEFAULT_MAX_MB, **options) -> DataFrame:
-    """``pages(doc_id, source, html)`` to documents.  Narrow: one stage, no exchange."""
-    return extract_tables(shred(guard_size(pages, max_mb), prefilter=True), **options)
+def page_documents(pages: DataFrame, max_mb: float | None = None, **options) -> DataFrame:
+    """``pages(doc_id, source, html)`` to documents.  Narrow: one stage, no exchange.
 
+    Pages of any size are read; files have passed the guard of ``read_files``.
+    """
+    guarded = pages if max_mb is None else guard_size(pages, max_mb)
+    return extract_tables(shred(guarded, prefilter=True), **options)
 
-def csv_documents(files: DataFrame, max_mb: float = DEFAULT_MAX_MB, sample: int = 5) -> DataFrame:
+
+def csv_documents(files: DataFrame, max_mb: float | None = None, sample: int = 5) -> DataFrame:
     """``files(doc_id, source, content)`` to documents.  Narrow as well."""
-    return csv_tables(parse_csv(guard_size(files, max_mb, "content")), sample)
+    guarded = files if max_mb is None else guard_size(files, max_mb, "content")
+    return csv_tables(parse_csv(guarded), sample)
 
 
 def described_schemas(files: DataFrame) -> DataFrame:
@@ -55,23 +79,80 @@ def described_schemas(files: DataFrame) -> DataFrame:
     ).drop("source")
 
 
+def advised_documents(
+    documents: DataFrame, model_fn: Callable[[str, dict], dict], **options
+) -> DataFrame:
+    """Documents with a model's ``recommended`` table beside them, for ``select_tables``.
+
+    The answer arrives in the document's row, so pages are parsed once and nothing is joined.
+    """
+    answers = run_model(documents.withColumn("prompt", analysis_prompt()), model_fn, **options)
+    return answers.select(*documents.columns, recommended_index(F.col("content")).alias("recommended"))
+
+
+def model_schemas(
+    documents: DataFrame, model_fn: Callable[[str, dict], dict], kind: str = "url", **options
+) -> DataFrame:
+    """The schema of each document's selected table as a model describes it.
+
+    Prompt, call, parsing, defaults and metadata happen in the document's row: nothing is
+    joined, and every page is parsed once.  Tables without headers are not asked about.  A
+    failed call or an unusable answer falls back to the headers, with its status.  The usage
+    columns of ``run_model`` stay beside the schema; ``metrics.metrics_of`` makes log rows of
+    them.  Write the result before using it twice: a plan that runs again asks again.
+    """
+    table = F.col("table")
+    asked = once(select_tables(documents), ready=F.col("status")).drop("status", "tables", "tables_count")
+    kinds = F.when(F.col("ready") == "Success", kind_of(table))
+    prompts = asked.withColumn("prompt", table_prompt(table, kinds))
+    answers = parse_schema_text(run_model(prompts, model_fn, **options))
+    sampled = answers.withColumns(
+        {"has_sample": F.size(table["rows"]) > 0, "headers": F.coalesce(table["headers"], F.array().cast("array<string>"))}
+    )
+    schemas = fallback_schema(normalise_schema(sampled, "has_sample"))
+    failed = F.when(
+        F.col("ready") != "Success", F.concat(F.lit("Error: "), F.regexp_replace("ready", "^Error: ", ""))
+    ).when(table.isNull(), "Error: No table selected")
+    flat = schemas.select(
+        F.col("doc_id").alias("schema_id"),
+        F.lit(0).alias("version"),
+        F.coalesce(failed, F.when(F.col("status") == "parsed", "Success").otherwise(F.col("status"))).alias("status"),
+        "source", "table_index", "table", "name", "description", "columns",
+        *[c for c in RESPONSE_COLUMNS if c != "content"],
+    )
+    members = {**table_metadata(table), **source_metadata(F.lit(kind), F.col("source"), F.col("table_index"))}
+    return attach_metadata(flat, **members).drop("source", "table_index", "table")
+
+
+def revised_schemas(
+    schemas: DataFrame, feedback: DataFrame, model_fn: Callable[[str, dict], dict], **options
+) -> DataFrame:
+    """One round of feedback through a model: prompt, call, strict reading, new version.
+
+    ``feedback(schema_id, text)`` has one row a schema; schemas without one, and those whose
+    answer can't be read, stay as they are.  For several rounds, write each result and give
+    it to the next call.
+    """
+    prompts = refine_prompts(to_json_docs(schemas), feedback)
+    answers = run_model(prompts, model_fn, **options).select("schema_id", F.col("content").alias("doc"))
+    return refine(schemas, load_strict(answers))
+
+
 def document_schemas(
     documents: DataFrame,
-    recommendations: DataFrame | None = None,
-    choices: DataFrame | None = None,
     kind: str = "url",
 ) -> DataFrame:
-    """Select one table per document and infer its schema.
+    """Select one table per document (see ``select_tables``) and infer its schema.
 
     Documents without a selectable table keep their row, with an error status.  ``kind``
     says what ``source`` is: ``url``, ``file`` or ``dataset``.
     """
-    selected = select_tables(documents, recommendations, choices)
+    selected = select_tables(documents)
     table = F.col("table")
     status = (
         F.when(F.col("status") != "Success", F.concat(F.lit("Error: "), F.regexp_replace("status", "^Error: ", "")))
         .when(table.isNull(), "Error: No table selected")
-        .when(F.size(table["headers"]) == 0, "Error: No headers found in table data")
+        .when(F.size(table["headers"]) == 0, NO_HEADERS)
         .otherwise("Success")
     )
     staged = selected.withColumn("status", status)

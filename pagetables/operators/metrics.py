@@ -29,6 +29,21 @@ def _rounded(value: Column, places: int) -> Column:
     return F.round(value, places).cast("double")
 
 
+def metrics_of(
+    responses: DataFrame, run_id: Column, agent: str, phase: str, key: str = "doc_id"
+) -> DataFrame:
+    """Log rows of a model's responses (``run_model``): one operation for every call.
+
+    ``run_id`` is a column of the responses or a literal; the key orders a run's operations.
+    Rows that were not asked about have no model and no operation.
+    """
+    return responses.filter(F.col("model").isNotNull()).select(
+        run_id.alias("run_id"), F.col(key).alias("seq"), F.lit(agent).alias("agent"), F.lit(phase).alias("phase"),
+        "latency_s", F.lit(None).cast("double").alias("memory_mb"), "prompt_tokens", "completion_tokens",
+        "total_tokens", "model",
+    )
+
+
 def append_metrics(log: DataFrame, batch: DataFrame, phase: str, agent: str | None = None) -> DataFrame:
     """The log with a batch of operations, marked with their phase and agent."""
     marked = batch.withColumn("phase", F.lit(phase))

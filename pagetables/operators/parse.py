@@ -27,6 +27,8 @@ NULL_NAME = "Empty Schema"
 NULL_TEXT = "This schema was created when a null schema was encountered."
 HEADER_NAME = "CSV Data Schema"
 HEADER_TEXT = "Automatically generated schema for CSV data"
+NO_HEADERS = "Error: No headers found in table data"
+BROKEN_TEXT = "Placeholder for column that failed to parse"
 UNKNOWN_NAME = "Unknown"
 
 
@@ -131,7 +133,7 @@ def lenient_column(item: Column, position: Column, has_sample: Column) -> Column
     broken = F.struct(
         placeholder.alias("name"),
         F.lit("string").alias("type"),
-        F.lit("Placeholder for column that failed to parse").alias("description"),
+        F.lit(BROKEN_TEXT).alias("description"),
         F.lit(True).alias("nullable"),
         F.lit(0.5).alias("confidence"),
         F.lit(True).alias("inferred"),
@@ -219,7 +221,7 @@ def fallback_schema(schemas: DataFrame, headers: str = "headers") -> DataFrame:
     keep = [c for c in schemas.columns if c not in ("name", "description", "columns", "status")]
     return schemas.select(
         *keep,
-        F.when(missing & ~known, "Error: No headers found in table data")
+        F.when(missing & ~known, NO_HEADERS)
         .otherwise(F.col("status"))
         .alias("status"),
         F.when(missing & known, HEADER_NAME).otherwise(F.col("name")).alias("name"),

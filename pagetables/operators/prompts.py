@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -129,7 +130,9 @@ RESPONSE_DDL = (
     "content string, error string, prompt_tokens bigint, completion_tokens bigint, "
     "total_tokens bigint, latency_s double, model string"
 )
+RESPONSE_COLUMNS = [field.split(" ")[0] for field in RESPONSE_DDL.split(", ")]
 _ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64()}
+BATCH = 32
 _USAGE = ("prompt_tokens", "completion_tokens", "total_tokens")
 
 
@@ -140,12 +143,15 @@ def run_model(
     system: str = SYSTEM_TEXT,
     max_tokens: int = 2000,
     temperature: float = 0.0,
+    calls: int = 4,
 ) -> DataFrame:
     """Ask ``model_fn(prompt, options)`` for every prompt; every prompt gets a response row.
 
-    ``model_fn`` returns ``{"content": …}`` with optional token counts.  What it raises
-    becomes ``content = "Error: …"`` and ``error``.  It runs once per row and again when a
-    task is retried, so write the responses before using them more than once.
+    ``model_fn`` returns ``{"content": …}`` with optional token counts; it is called from
+    ``calls`` threads at once in each task, and answers are passed on after ``BATCH`` prompts.
+    What it raises, and a reply that can't be read, becomes ``content = "Error: …"`` and
+    ``error``.  Rows without a prompt aren't asked about and get NULLs.  It runs once per row and again when a task is retried, so write the responses
+    before using them more than once.
     """
     keep = [c for c in prompts.columns if c != "prompt"]
     answer = StructType.fromDDL(RESPONSE_DDL)
@@ -156,24 +162,33 @@ def run_model(
         "model": model, "system": system, "max_tokens": max_tokens, "temperature": temperature,
     }
 
-    def ask(prompt: str) -> dict:
+    def ask(prompt: str | None) -> dict:
+        if prompt is None:  # not asked
+            return {}
         begin = time.perf_counter()
         try:
             reply = model_fn(prompt, options)
+            content = reply["content"]
+            if not isinstance(content, str):
+                raise TypeError(f"content is {type(content).__name__}, not text")
+            usage = {name: int(reply[name]) for name in _USAGE if reply.get(name) is not None}
+            answer = {"content": content, **usage}
         except Exception as problem:  # kept as a row
-            return {"content": f"Error: {problem}", "error": str(problem)}
-        usage = {name: int(reply.get(name) or 0) for name in _USAGE}
+            answer = {"content": f"Error: {problem}", "error": str(problem) or type(problem).__name__}
         seconds = round(time.perf_counter() - begin, 3)
-        return {"content": reply.get("content"), "latency_s": seconds, "model": model, **usage}
+        return {**answer, "latency_s": seconds, "model": model}
 
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            replies = [ask(p) for p in batch.column(len(keep)).to_pylist()]
-            columns = [
-                pa.array([r.get(name) for r in replies], kind)
-                for name, kind in zip(names[len(keep):], types)
-            ]
-            passed = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*passed, *columns], names=names)
+        with ThreadPoolExecutor(calls) as threads:
+            for batch in batches:
+                for begin in range(0, batch.num_rows, BATCH):
+                    part = batch.slice(begin, BATCH)
+                    replies = list(threads.map(ask, part.column(len(keep)).to_pylist()))
+                    columns = [
+                        pa.array([r.get(name) for r in replies], kind)
+                        for name, kind in zip(names[len(keep):], types)
+                    ]
+                    passed = [part.column(i) for i in range(len(keep))]
+                    yield pa.RecordBatch.from_arrays([*passed, *columns], names=names)
 
     return prompts.select(*keep, "prompt").mapInArrow(call, schema)

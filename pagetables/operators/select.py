@@ -35,20 +35,32 @@ def describe_tables(tables: DataFrame, key: str = "doc_id") -> DataFrame:
     return tables.select(key, "table_id", describe(record).alias("text"))
 
 
-def analysis_prompts(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One prompt per page with tables; pages without any are not asked about."""
+def analysis_prompt() -> Column:
+    """What is asked about a page; NULL for pages without tables."""
     descriptions = F.array_join(F.transform("tables", describe), "\n\n")
-    return documents.filter((F.col("status") == "Success") & (F.col("tables_count") > 0)).select(
-        key,
+    return F.when(
+        (F.col("status") == "Success") & (F.col("tables_count") > 0),
         F.concat(
             F.lit("A web page holds "), F.col("tables_count").cast("string"),
             F.lit(" tables, described below.\n\n"), descriptions,
             F.lit("\n\nWhich one carries the page's main, most useful structured data?\n"),
             F.lit(ANSWER_FORMAT),
-        ).alias("prompt"),
+        ),
     )
 
 
+def analysis_prompts(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One prompt per page with tables; pages without any are not asked about."""
+    asked = documents.select(key, analysis_prompt().alias("prompt"))
+    return asked.filter(F.col("prompt").isNotNull())
+
+
+def recommended_index(text: Column) -> Column:
+    """The position of the table an answer names."""
+    number = F.nullif(F.regexp_extract(text, r"(?U)Main Table:\s*(\d+)", 1), F.lit(""))
+    return number.try_cast("int") - 1
+
+
 def parse_analysis(responses: DataFrame, key: str = "doc_id") -> DataFrame:
     """``(doc_id, table_index, reasoning, table_type)`` from the three-line answers."""
     text = F.col("content")
@@ -56,12 +68,11 @@ def parse_analysis(responses: DataFrame, key: str = "doc_id") -> DataFrame:
     def group(pattern: str) -> Column:
         return F.regexp_extract(text, pattern, 1)
 
-    number = F.nullif(group(r"(?U)Main Table:\s*(\d+)"), F.lit(""))
     kind = F.nullif(group(r"(?U)Table Type:\s*(\w+)"), F.lit(""))
     reasoning = strip(group(r"(?s)Reasoning:(.*?)(?:Table Type:|$)"))
     return responses.select(
         key,
-        (number.try_cast("int") - 1).alias("table_index"),
+        recommended_index(text).alias("table_index"),
         F.when(text.contains("Reasoning:"), reasoning)
         .otherwise("No reasoning provided.")
         .alias("reasoning"),
@@ -114,40 +125,39 @@ def selection(count: Column, recommended: Column, choice: Column, accept: bool =
     return F.when(count == 1, 0).when(count > 1, F.coalesce(*steps, in_range(choice)))
 
 
-def select_tables(
-    documents: DataFrame,
+def with_advice(
+    pages: DataFrame,
     recommendations: DataFrame | None = None,
     choices: DataFrame | None = None,
-    accept: bool = True,
     key: str = "doc_id",
 ) -> DataFrame:
+    """Pages with the columns ``recommended`` and ``choice`` that ``select_tables`` goes by.
+
+    Recommendations and choices have one row per document and are kept apart from the pages;
+    they meet them before the pages are parsed, so no extracted table is moved.
+    """
+    for name, advice in (("recommended", recommendations), ("choice", choices)):
+        if advice is not None:
+            pages = pages.join(advice.select(key, F.col("table_index").alias(name)), key, "left")
+    return pages
+
+
+def select_tables(documents: DataFrame, accept: bool = True) -> DataFrame:
     """Add ``table_index`` and the selected ``table``; NULL when nothing is selected.
 
-    Without recommendations the native ranking is used, in the same row.  Recommendations
-    and choices have one row per document.
+    Columns ``recommended`` and ``choice`` of the documents (see ``with_advice``; a model's
+    answer brings ``recommended`` as well) say which; without a recommendation the native
+    ranking is used.  A projection: nothing is joined.
     """
-    joined = documents
-    if recommendations is None:
-        joined = joined.withColumn(
-            "recommended", F.when(F.col("tables_count") > 0, best_table(F.col("tables")))
-        )
-    else:
-        joined = joined.join(
-            recommendations.select(key, F.col("table_index").alias("recommended")), key, "left"
-        )
-    if choices is None:
-        joined = joined.withColumn("choice", F.lit(None).cast("int"))
-    else:
-        joined = joined.join(
-            choices.select(key, F.col("table_index").alias("choice")), key, "left"
-        )
-    index = selection(
-        F.col("tables_count"), F.col("recommended"), F.col("choice"), accept
-    )
+    given = documents.columns
+    ranked = F.when(F.col("tables_count") > 0, best_table(F.col("tables")))
+    recommended = F.col("recommended") if "recommended" in given else ranked
+    choice = F.col("choice") if "choice" in given else F.lit(None).cast("int")
+    index = selection(F.col("tables_count"), recommended, choice, accept)
     return once(
-        joined, table_index=F.when(F.col("status") == "Success", index).cast("int")
+        documents, table_index=F.when(F.col("status") == "Success", index).cast("int")
     ).select(
-        *documents.columns,
+        *[c for c in given if c not in ("recommended", "choice")],
         "table_index",
         F.get("tables", F.col("table_index")).alias("table"),
     )
@@ -156,17 +166,15 @@ def select_tables(
 def select_files(files: DataFrame, choices: DataFrame | None = None, group: str = "dataset") -> DataFrame:
     """``(dataset, path)``: the chosen (1-based) file of each dataset, else its first.
 
-    The first file is a plain minimum.  Only choices need ranks, and only up to the
-    largest one: the literal bound lets every task drop the rest before the exchange, so a
-    dataset with very many files does not end up in one task.
+    The first file is a plain minimum, reduced in each task.  Only datasets with a choice
+    beyond the first are ranked, each up to its own choice; all others never meet a window.
     """
+    firsts = files.groupBy(group).agg(F.min("path").alias("path"))
     if choices is None:
-        return files.groupBy(group).agg(F.min("path").alias("path"))
-    deepest = choices.agg(F.max("choice")).first()[0] or 1
-    ranked = files.select(
-        group, "path", F.row_number().over(W.partitionBy(group).orderBy("path")).alias("place")
-    ).filter(F.col("place") <= int(max(deepest, 1)))
-    picked = ranked.join(choices.select(group, "choice"), group, "left").filter(
-        (F.col("place") == 1) | (F.col("place") == F.col("choice"))
+        return firsts
+    deeper = choices.filter(F.col("choice") > 1).select(group, "choice")
+    ranked = files.select(group, "path").join(deeper, group).withColumn(
+        "place", F.row_number().over(W.partitionBy(group).orderBy("path"))
     )
-    return picked.groupBy(group).agg(F.max_by("path", "place").alias("path"))
+    chosen = ranked.filter(F.col("place") == F.col("choice")).select(group, F.col("path").alias("chosen"))
+    return firsts.join(chosen, group, "left").select(group, F.coalesce("chosen", "path").alias("path"))

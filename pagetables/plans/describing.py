@@ -23,11 +23,19 @@ from pagetables.operators.select import (
     rank_tables,
     select_files,
     select_tables,
+    with_advice,
 )
 from pagetables.operators.shred import shred
 from pagetables.plans import render
 from pagetables.plans.reading import raw_pages
-from pagetables.plans.registry import LINES, ORDER_ROWS, query, text_literal
+from pagetables.plans.registry import (
+    DOCUMENT_CELLS,
+    DOCUMENT_HEADERS,
+    LINES,
+    ORDER_ROWS,
+    query,
+    text_literal,
+)
 from pagetables.sources.csvtext import parse_csv
 
 TYPE_WORD = "int|varchar|char|text|date|time|float|decimal"
@@ -157,6 +165,25 @@ def described_schema_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- tables: description, recommendation, selection ----------------------------------------
 
+@query(f"""
+  SELECT doc_id, basename AS caption, 1 AS column_count, CAST(least(5, n) AS INTEGER) AS row_count,
+         CAST(line_no AS INTEGER) AS row_no, line AS value
+  FROM (SELECT *, 'plain_' || doc_id || '.csv' AS basename, line_count AS n FROM {LINES}) WHERE line_no < 5""")
+def csv_plain_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV texts whose only header names both name and type: read as plain tables."""
+    docs = render.load(spark, sf_dir, "documents")
+    lines = F.transform(F.split("text", "\n"), render.quoted)
+    files = docs.select(
+        "doc_id",
+        F.concat(F.lit("plain_"), F.col("doc_id").cast("string"), F.lit(".csv")).alias("source"),
+        F.concat(F.lit("Name and data type\n"), F.array_join(lines, "\n")).alias("content"),
+    )
+    found = tables_of(csv_tables(parse_csv(files)))
+    return found.filter(F.col("properties").isNull()).select(
+        "doc_id", "caption", "column_count", "row_count", F.posexplode("rows").alias("row_no", "cells")
+    ).select("doc_id", "caption", "column_count", "row_count", "row_no", F.get("cells", F.lit(0)).alias("value"))
+
+
 ORDER_DESCRIPTION = """'Table 1' || chr(10) || 'Context: Order ' || o_orderkey || chr(10) ||
   'Columns (3): Attr, Label, Attr_1' || chr(10) || 'Rows: 5' || chr(10) ||
   'First row: 0 | o_orderkey | ' || o_orderkey"""
@@ -167,31 +194,26 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
+  WITH heads AS (
+    SELECT doc_id, table_id, list(name ORDER BY pos) AS heads FROM {DOCUMENT_HEADERS} GROUP BY ALL),
+  firsts AS (
+    SELECT doc_id, table_id, count(DISTINCT row_no) AS row_count,
+           string_agg(value, ' | ' ORDER BY pos) FILTER (WHERE row_no = 0) AS first_row
+    FROM {DOCUMENT_CELLS} WHERE row_no < 5 GROUP BY ALL)
   SELECT o_orderkey AS doc_id, 0 AS table_id, {ORDER_DESCRIPTION} AS text FROM orders
   UNION ALL
-  SELECT doc_id, 0, 'Table 1' || chr(10) || 'Context: ' || CASE WHEN doc_id % 2 = 0 THEN lang || 'one' ELSE '' END
+  SELECT doc_id, table_id, 'Table ' || (table_id + 1) || chr(10) || 'Context: '
+         || CASE WHEN doc_id % 2 = 0 THEN lang || 'one' WHEN table_id = 1 THEN source ELSE '' END
          || chr(10) || 'Columns (' || len(heads) || '): ' || array_to_string(heads[1:10], ', ')
          || CASE WHEN len(heads) > 10 THEN '...' ELSE '' END || chr(10) || 'Rows: ' || row_count
-         || chr(10) || 'First row: ' || array_to_string(first_row, ' | ')
-  FROM (
-    SELECT doc_id, lang,
-           CASE WHEN doc_id % 2 = 0 THEN ['line', 'text'] ELSE h.heads END AS heads,
-           CASE WHEN doc_id % 2 = 0 OR n = 1 THEN least(n, 5) ELSE least(n - 1, 5) END AS row_count,
-           list_prepend(CASE WHEN doc_id % 2 = 0 OR n = 1 THEN '0' ELSE '1' END,
-                        string_split(ls[CASE WHEN doc_id % 2 = 0 OR n = 1 THEN 1 ELSE 2 END], ' ')) AS first_row
-    FROM (SELECT doc_id, lang, ls, len(ls) AS n FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS ls FROM documents)) d
-    JOIN (SELECT doc_id, list(name ORDER BY pos) AS heads FROM (
-            SELECT doc_id, pos, CASE WHEN k > 0 THEN value || '_' || k ELSE value END AS name
-            FROM (SELECT doc_id, pos, value, row_number() OVER (PARTITION BY doc_id, value ORDER BY pos) - 1 AS k
-                  FROM (SELECT doc_id, unnest(range(len(c))) AS pos, unnest(c) AS value FROM (
-                    SELECT doc_id, list_prepend('0', string_split(string_split(text, chr(10))[1], ' ')) AS c FROM documents))))
-          GROUP BY doc_id) h USING (doc_id))""")
+         || chr(10) || 'First row: ' || first_row
+  FROM heads JOIN firsts USING (doc_id, table_id) JOIN documents USING (doc_id)""")
 def table_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables as text; more than ten headers end in an ellipsis."""
     pages = render.order_pages(spark, sf_dir).select("doc_id", "html").unionByName(
         render.document_pages(spark, sf_dir)
     )
-    return describe_tables(tables_of(extract_tables(shred(pages))).filter("table_id = 0"))
+    return describe_tables(tables_of(extract_tables(shred(pages))))
 
 
 @query(f"""
@@ -264,20 +286,21 @@ def table_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT doc_id, CAST(CASE WHEN rec BETWEEN 0 AND 2 THEN rec WHEN choice BETWEEN 0 AND 2 THEN choice END AS INTEGER) AS table_index,
-         CASE WHEN rec BETWEEN 0 AND 2 OR choice BETWEEN 0 AND 2 THEN
-           [CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 0 END, 6, 3][CASE WHEN rec BETWEEN 0 AND 2 THEN rec ELSE choice END + 1]
-         END AS column_count
-  FROM (SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN doc_id % 7 - 1 END AS rec,
-               CASE WHEN doc_id % 5 < 4 THEN doc_id % 5 END AS choice FROM documents WHERE doc_id % 2 = 0)""")
+  SELECT doc_id, CAST(picked AS INTEGER) AS table_index,
+         CAST([CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 + words END, 6, 3][picked + 1] AS INTEGER) AS column_count
+  FROM (SELECT *, CASE WHEN rec BETWEEN 0 AND 2 THEN rec WHEN choice BETWEEN 0 AND 2 THEN choice END AS picked
+        FROM (SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN doc_id % 7 - 1 END AS rec,
+                     CASE WHEN doc_id % 5 < 4 THEN doc_id % 5 END AS choice,
+                     len(string_split(string_split(text, chr(10))[1], ' ')) AS words FROM documents))""")
 def table_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recommendations that are in range win over choices that are."""
-    pages = render.document_pages(spark, sf_dir).filter("doc_id % 2 = 0")
+    pages = render.document_pages(spark, sf_dir)
     ids = pages.select("doc_id")
     number = F.col("doc_id")
     recommended = ids.filter(number % 3 < 2).withColumn("table_index", (number % 7 - 1).cast("int"))
     chosen = ids.filter(number % 5 < 4).withColumn("table_index", (number % 5).cast("int"))
-    selected = select_tables(extract_tables(shred(pages)), recommended, chosen)
+    advised = with_advice(pages, recommended, chosen)
+    selected = select_tables(extract_tables(shred(advised)))
     return selected.select("doc_id", "table_index", F.col("table.column_count").alias("column_count"))
 
 

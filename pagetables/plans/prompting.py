@@ -145,9 +145,12 @@ def refinement_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def echo_model(prompt: str, options: dict) -> dict:
-    """A stand-in for a model: the prompt backwards, or a failure on long ones."""
-    if len(prompt) > options["max_tokens"]:
-        raise ValueError(f"prompt of {len(prompt)} characters")
+    """A stand-in for a model: the prompt backwards; it fails, or replies with nothing, where a
+    mark at the front of the prompt says so."""
+    if prompt.startswith("fail:"):
+        raise ValueError(f"prompt of {len(prompt) - 5} characters")
+    if prompt.startswith("none:"):
+        return None
     return {
         "content": prompt[::-1], "prompt_tokens": len(prompt), "completion_tokens": 1,
         "total_tokens": len(prompt) + 1,
@@ -155,23 +158,27 @@ def echo_model(prompt: str, options: dict) -> dict:
 
 
 @query("""
-  SELECT doc_id, CASE WHEN length(text) > 500 THEN 'Error: prompt of ' || length(text) || ' characters'
-                      ELSE lang || ':' || length(text) END AS content,
-         CASE WHEN length(text) > 500 THEN 'prompt of ' || length(text) || ' characters' END AS error,
-         CASE WHEN length(text) <= 500 THEN length(text) + 1 END AS total_tokens
+  SELECT doc_id, CASE doc_id % 5 WHEN 3 THEN 'Error: prompt of ' || length(text) || ' characters'
+                      WHEN 4 THEN 'Error: ' ELSE lang || ':' || length(text) END AS content,
+         CASE doc_id % 5 WHEN 3 THEN 'prompt of ' || length(text) || ' characters' WHEN 4 THEN '' END AS error,
+         CASE WHEN doc_id % 5 < 3 THEN length(text) + 1 END AS total_tokens
   FROM documents""")
 def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch call with a stand-in model: whole texts in, answers or errors out."""
     prompts = render.load(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.col("text").alias("prompt")
+        "doc_id", "lang",
+        F.concat(F.when(F.col("doc_id") % 5 == 3, "fail:").when(F.col("doc_id") % 5 == 4, "none:").otherwise(""), "text")
+        .alias("prompt"),
     )
-    answers = run_model(prompts, echo_model, max_tokens=500)
+    answers = run_model(prompts, echo_model)
+    # What the parser of a reply of nothing says is Python's own wording.
+    told = F.regexp_replace(F.col("error"), r"^'NoneType' .*$", "")
     return answers.select(
         "doc_id",
-        F.when(F.col("error").isNotNull(), F.col("content"))
+        F.when(F.col("error").isNotNull(), F.concat(F.lit("Error: "), told))
         .otherwise(F.concat("lang", F.lit(":"), F.char_length("content").cast("string")))
         .alias("content"),
-        "error",
+        told.alias("error"),
         "total_tokens",
     )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +23,7 @@ _ARROW_GRID = pa.list_(pa.list_(pa.string()))
 def rows_of(content: bytes | str) -> list[list[str]]:
     """All rows of one CSV text, with universal line ends and without a byte order mark."""
     text = content if isinstance(content, str) else content.decode("utf-8-sig")
+    csv.field_size_limit(sys.maxsize)  # the parser's own limit is 131,072 characters
     text = text.removeprefix("\ufeff").replace("\r\n", "\n").replace("\r", "\n")
     return list(csv.reader(io.StringIO(text, newline="")))
 
