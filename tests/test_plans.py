@@ -1,13 +1,19 @@
 """Plans: what moves data, what is pushed down, and streams."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
-from pagetables.corpus import csv_documents, document_schemas, page_documents
+import pagetables
+from pagetables.corpus import csv_documents, document_schemas, model_schemas, page_documents
+from pagetables.operators.extract import find_captions, find_status
 from pagetables.operators.metrics import phase_summary
 from pagetables.operators.schemas import apply_patches, to_json_docs
+from pagetables.operators.select import select_tables, with_advice
+from pagetables.operators.shred import shred
 from pagetables.plans import measuring, reading, render, revising
-from pagetables.session import BYTES_PER_TASK, input_bytes, spread
+from pagetables.session import PARTITIONS
 from pagetables.streaming.arrivals import PAGES_SCHEMA, page_stream, schema_stream, write_stream
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -41,11 +47,41 @@ def test_extraction_is_not_repeated_by_filters(spark):
     assert text.count("INSET") == 1  # the word list of the property-value test
 
 
-def test_small_inputs_are_spread_and_large_ones_are_not(spark):
-    small = spark.read.parquet(f"{SF_DIR}/pages.parquet")
-    assert input_bytes(small) < BYTES_PER_TASK and "RoundRobin" in plan_of(spread(small))
-    large = spark.range(BYTES_PER_TASK * 4)
-    assert spread(large) is large
+def test_inputs_are_dealt_out_only_where_the_session_says_so(spark):
+    assert "RoundRobinPartitioning(4)" in plan_of(render.load(spark, SF_DIR, "pages"))
+    assert "RoundRobinPartitioning(3)" in plan_of(render.load(spark, SF_DIR, "pages", 3))
+    elsewhere = spark.newSession()
+    elsewhere.conf.unset(PARTITIONS)
+    assert "Exchange" not in plan_of(render.load(elsewhere, SF_DIR, "pages"))
+
+
+def test_headings_and_statuses_do_not_read_rows(spark):
+    dom = shred(pages(spark), prefilter=True)
+    for frame in (find_captions(dom), find_status(dom)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "INSET" not in plan and "constraint" not in plan  # the property-value words
+        assert "thead" not in plan and "cell" not in plan
+
+
+def test_advice_meets_raw_pages(spark):
+    advice = pages(spark).select("doc_id", F.lit(0).alias("table_index"))
+    frame = select_tables(page_documents(with_advice(pages(spark), advice, advice)))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Join")  # printed from the top
+
+
+def test_no_driver_action_or_private_access_in_operators():
+    found = []
+    for file in (pathlib.Path(pagetables.__file__).parent).rglob("*.py"):
+        if "llm" not in file.parts:
+            found += [(file.name, word) for word in (".first()", ".collect()", "_jdf", "localCheckpoint") if word in file.read_text()]
+    assert found == []
+
+
+def test_model_path_is_one_narrow_run(spark):
+    frame = model_schemas(page_documents(pages(spark)), lambda prompt, options: {"content": "{}"})
+    plan = plan_of(frame)
+    assert "Exchange" not in plan and plan.count("MapInArrow") == 2  # parsing and asking
 
 
 def test_metrics_combine_before_one_exchange(spark):

@@ -19,8 +19,8 @@ from pagetables.operators.parse import (
     strip_fences,
 )
 from pagetables.operators.prompts import run_model
-from pagetables.operators.schemas import apply_patches, metadata_map, to_json_docs, to_yaml_docs
-from pagetables.operators.select import parse_analysis, select_files, select_tables
+from pagetables.operators.schemas import apply_patches, fold_patches, metadata_map, to_json_docs, to_yaml_docs
+from pagetables.operators.select import parse_analysis, select_files, select_tables, with_advice
 from pagetables.sources.documents import read_docs, read_schema_docs, resolve_format, write_docs
 
 GOOD = '{"name":"n","columns":[{"name":"a","type":"int","constraints":{"pattern":"^\\d+$"}},{"column_name":"b"},{"name":null},5]}'
@@ -208,6 +208,44 @@ def test_patches(spark):
     assert found[0].metadata["refinement_version"].toPython() == 1 and "refinement_version" not in found[1].metadata
 
 
+def test_rounds_follow_renames(spark):
+    log = [
+        (1, 1, "a", "name", "b"), (1, 2, "b", "type", "int"), (1, 3, "b", "name", "c"), (1, 4, "d", "name", "b"),
+        (1, 5, "b", "type", "date"), (1, 6, "c", "format", "f"), (1, 2, "a", "format", "of a new a"),
+        (2, 1, "x", "type", "int"), (2, 2, "x", "type", None), (2, 3, "y", "name", None),
+    ]
+    patches = spark.createDataFrame(log, "schema_id int, round int, column_name string, field string, value string")
+    found = {(r.schema_id, r.column_name): (r.name, r.type, r.format) for r in fold_patches(patches).collect()}
+    assert found == {
+        (1, "a"): ("c", "int", "f"), (1, "d"): ("b", "date", None), (2, "x"): (None, "int", None), (2, "y"): (None, None, None),
+    }
+    hot = spark.range(100_000).selectExpr(
+        "7 as schema_id", "cast(id % 50 as int) as round", "concat('c', id % 9) as column_name", "'type' as field", "concat('t', id) as value"
+    )
+    assert fold_patches(hot).count() == 9
+
+
+def test_bad_replies_are_rows(spark):
+    replies = {"none": None, "number": {"content": 5}, "count": {"content": "x", "total_tokens": "many"}, "empty": {}, "good": {"content": "y", "total_tokens": "3"}}
+
+    def model(prompt, options):
+        return replies[prompt]
+
+    frame = spark.createDataFrame([(k,) for k in replies] + [(None,)], "prompt string").withColumn("doc", F.col("prompt"))
+    found = {r.doc: r for r in run_model(frame, model, calls=2).collect()}
+    assert all(found[k].content.startswith("Error: ") and found[k].error and found[k].latency_s is not None for k in ("none", "number", "count", "empty"))
+    assert (found["good"].content, found["good"].total_tokens, found["good"].prompt_tokens) == ("y", 3, None)
+    assert found[None].content is None and found[None].model is None
+
+
+def test_yaml_keeps_columns_with_missing_members(spark):
+    schemas = [{"name": None, "description": "d", "caption": None, "columns": [
+        {"name": "a", "type": None, "description": None, "nullable": None, "confidence": 1.0, "inferred": False, "format": None, "pattern": None},
+        {"name": None, "type": "int", "description": None, "nullable": True, "confidence": None, "inferred": None, "format": "", "pattern": None}]}]
+    doc = to_yaml_docs(frame_of(spark, schemas)).first().doc
+    assert doc.startswith('description: "d"\ncolumns:\n- name: "a"\n- type: "int"\n  nullable: true\n')
+
+
 def test_selection(spark):
     documents = spark.createDataFrame(
         [(1, "Success", 3), (2, "Success", 1), (3, "No tables found", 0), (4, "Success", 2), (5, "Success", 2)],
@@ -216,7 +254,8 @@ def test_selection(spark):
     recommended = spark.createDataFrame([(1, 2), (2, 5), (3, 0), (4, 9), (5, None)], "doc_id int, table_index int")
     choices = spark.createDataFrame([(1, 0), (4, 1), (5, 7)], "doc_id int, table_index int")
     def index(accept):
-        rows = select_tables(documents, recommended, choices, accept).orderBy("doc_id").collect()
+        advised = with_advice(documents, recommended, choices)
+        rows = select_tables(advised, accept).orderBy("doc_id").collect()
         return [r.table_index for r in rows]
     assert index(True) == [2, 0, None, 1, None]
     assert index(False) == [0, 0, None, 1, None]
@@ -238,7 +277,7 @@ def test_model_calls_keep_failures(spark):
 
     frame = spark.createDataFrame([(1, "ok"), (2, "bad")], "doc_id int, prompt string")
     good, bad = run_model(frame, model, model="m").orderBy("doc_id").collect()
-    assert (good.content, good.prompt_tokens, good.completion_tokens, good.total_tokens, good.error) == ("okm", 2, 0, 3, None)
+    assert (good.content, good.prompt_tokens, good.completion_tokens, good.total_tokens, good.error) == ("okm", 2, None, 3, None)
     assert (bad.content, bad.error, bad.total_tokens) == ("Error: down", "down", None)
 
 
