@@ -16,6 +16,8 @@ MOST_ROUNDS = 60
 
 
 def _star(arcs: DataFrame, least: DataFrame) -> DataFrame:
+    """Arcs with the least node around their first end.  The minima are stored tables, so both
+    sides of the join are dealt anew, and Spark can split the arcs of one busy node."""
     return arcs.join(least.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a")).drop("_a")
 
 
@@ -23,6 +25,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node around it."""
     arcs = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = arcs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stored(least, "least")
     return _star(arcs.filter("b > a"), least).filter("m <> b").select(F.col("m").alias("a"), "b").distinct()
 
 
@@ -30,6 +33,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them."""
     arcs = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     least = arcs.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(least, "least")
     moved = _star(arcs, least).filter("m <> b").select(F.col("m").alias("a"), "b")
     return moved.unionByName(least.select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct()
 

@@ -10,11 +10,16 @@ out after reading 64 bytes of each.  The rest are confirmed on their whole sets.
 Bands miss a pair at similarity 0.75 with probability (1 - 0.75^6)^64 < 4e-6; the bitmaps keep
 candidates down to an estimate of 0.55, five deviations under the threshold.
 
-Equal sets are one class from the start, represented by its smallest key.  Members of a bucket
-are never paired off one against all others.  They are tested against the bucket's smallest
-member first; those that are still in another component than it against three more members;
-and only those left over against the members outside their own component.  What this leaves
-out are pairs inside a component, so components are those of all confirmed links.
+Equal sets are one class from the start, represented by its smallest key.  The members of a
+bucket are not written out as pairs.  They are tested against the bucket's smallest member
+first; those that are still in another component than it, the strays, against three more
+members; and strays that are left against all members outside their own component.  Buckets of
+over ``SMALL`` members do this last step in blocks of bounded numbers of sets, which give out
+links only.  What all of this leaves out are pairs inside a component, so components are those
+of all confirmed links.
+
+The sets of the documents in question are made from their texts where those are read: a bitmap
+of fixed size, of hashes of the wanted keys, says which texts to pass over.
 
 Defined cases: sets of NULL, empty or blank texts are empty and linked with nothing; fewer
 than five words are one shingle; rows without a key are never linked (component NULL, kept);
@@ -45,6 +50,9 @@ SKETCH_BITS = 512
 LEAST, OF = 75, 100
 ESTIMATE = 0.55
 BATCH_BYTES = 2 * 1024 * 1024
+SMALL = 64  # members of a bucket whose strays meet the others as pairs
+BLOCK = 256  # strays, or members, of one block of a larger bucket
+FILTER_BITS = 1 << 26
 SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>, odd array<bigint>"
 
 _rng = np.random.default_rng(20)
@@ -182,20 +190,77 @@ def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sign, SIGNATURE)
 
 
-def whole_sets(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``(doc_id, hashes)``."""
+def wanted_bits(ids: DataFrame) -> dict[int, bytes]:
+    """A bitmap of the keys' hashes, in parts of 4 KB: at most ``FILTER_BITS / 8`` bytes."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    parts = ids.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    return {r["part"]: bytes(r["bits"]) for r in parts.collect()}
+
+
+def whole_sets(docs: DataFrame, text: str, key: str, ids: DataFrame) -> DataFrame:
+    """``(doc_id, hashes)`` of the documents with one of the ``ids``, and of few others."""
+    bits = wanted_bits(ids)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
 
     def hash_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros((FILTER_BITS // 32768 + 2, 4096), dtype=np.uint8)
+        for part, some_bits in bits.items():
+            table[part] = np.frombuffer(some_bits, dtype=np.uint8)
         for batch in by_bytes(batches, 1, BATCH_BYTES):
-            sets = [s.view(np.int64) for s in shingle_sets(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "hashes"]
-            )
-
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+            parts, positions = (batch.column(c).to_numpy() for c in (2, 3))
+            wanted = (table[parts, positions >> 3] >> (positions & 7).astype(np.uint8)) & 1
+            some = batch.filter(pa.array(wanted.astype(bool)))
+            if some.num_rows:
+                sets = [s.view(np.int64) for s in shingle_sets(some.column(1))]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "hashes"]
+                )
+
+    named = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = named.filter("doc_id is not null").select(
+        "*", F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("at")
+    )
     return rows.mapInArrow(hash_all, "doc_id bigint, hashes array<bigint>")
 
 
+def links_of_block(key, strays, members):
+    """``(a, b)`` of the strays and members of a block that are similar enough, and not in one
+    component already.
+
+    Common hashes are counted by products of membership matrices, some hashes at a time.
+    """
+    names = ["a", "b"]
+    none = pa.table([pa.array([], pa.int64())] * 2, names=names)
+    if not strays.num_rows or not members.num_rows:
+        return none
+    sets = [t.column("hashes").combine_chunks() for t in (strays, members)]
+    values = [np.asarray(c.flatten()) for c in sets]
+    sizes = [np.diff(np.asarray(c.offsets)) for c in sets]
+    common = np.intersect1d(*values)
+    both = np.zeros((len(sizes[0]), len(sizes[1])), dtype=np.float64)
+    owners = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    at = [np.searchsorted(common, v) for v in values]
+    known = [(a < len(common)) & (common[np.minimum(a, len(common) - 1)] == v) if len(common) else np.zeros(len(v), bool) for a, v in zip(at, values)]
+    for begin in range(0, len(common), 4096):
+        rows = []
+        for n, owner, a, ok in zip(sizes, owners, at, known):
+            here = ok & (a >= begin) & (a < begin + 4096)
+            matrix = np.zeros((len(n), min(4096, len(common) - begin)), dtype=np.float32)
+            matrix[owner[here], a[here] - begin] = 1
+            rows.append(matrix)
+        both += rows[0] @ rows[1].T
+    either = sizes[0][:, None] + sizes[1][None, :] - both
+    left, right = (t.column("rep").to_numpy() for t in (strays, members))
+    apart = strays.column("own").to_numpy()[:, None] != members.column("own").to_numpy()[None, :]
+    i, j = np.nonzero((both * OF >= either * LEAST) & apart)
+    if not len(i):
+        return none
+    ends = np.stack([left[i], right[j]])
+    return pa.table([pa.array(ends.min(axis=0)), pa.array(ends.max(axis=0))], names=names)
+
+
 def most_odd(estimate: float = ESTIMATE) -> int:
     """The largest XOR bit count at which the estimated similarity is not under ``estimate``."""
     return int(SKETCH_BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - estimate) / SKETCH_BITS)))
@@ -213,6 +278,29 @@ class _Linker:
     def __init__(self, docs: DataFrame, reps: DataFrame, text: str, key: str):
         self.docs, self.reps, self.text, self.key = docs, reps, text, key
 
+    def sets(self, ids: DataFrame, name: str) -> DataFrame:
+        return stored(whole_sets(self.docs, self.text, self.key, ids), f"{name}-sets")
+
+    def confirmed_in_blocks(self, strays: DataFrame, members: DataFrame, name: str) -> DataFrame:
+        """Links of ``strays(key, rep, own)`` with the ``members`` of their buckets."""
+        counts = strays.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("stray_blocks")).join(
+            members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("member_blocks")), "key"
+        )
+        sets = self.sets(members.select(F.col("rep").alias("doc_id")).distinct(), name)
+        hashed = sets.withColumnRenamed("doc_id", "rep")
+        own, other = F.col("stray_blocks"), F.col("member_blocks")
+
+        def dealt(rows: DataFrame, mine: str, n: Column, theirs: str, m: Column) -> DataFrame:
+            block = F.pmod(F.xxhash64("rep"), n).cast("int")
+            return rows.join(counts, "key").select(
+                "key", "rep", "own", block.alias(mine), F.explode(F.sequence(F.lit(0), m - 1)).alias(theirs)
+            ).join(hashed, "rep").select(*[F.col(c).alias(c) for c in ("key", "i", "j", "rep", "own", "hashes")])
+
+        by = ["key", "i", "j"]
+        left = dealt(strays, "i", own, "j", other).groupBy(by)
+        right = dealt(members, "j", other, "i", own).groupBy(by)
+        return stored(left.cogroup(right).applyInArrow(links_of_block, "a bigint, b bigint").distinct(), name)
+
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs ``(a, b)`` whose sizes and bitmaps allow the similarity."""
         sized = self.reps.select("rep", "n_shingles", "odd")
@@ -229,8 +317,7 @@ class _Linker:
         """Pairs that are similar enough on their whole sets."""
         pairs = stored(self.likely(pairs), f"{name}-likely")
         wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = self.docs.select(F.col(self.key).cast("long").alias("doc_id"), F.col(self.text).alias("text"))
-        sets = stored(whole_sets(texts.join(wanted, "doc_id", "left_semi"), "text", "doc_id"), f"{name}-sets")
+        sets = self.sets(wanted, name)
         left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
         both = F.size(F.array_intersect("ha", "hb"))
@@ -257,7 +344,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     bands = reps.select("rep", F.explode("keys").alias("key"))
     turned = [F.col("rep").bitwiseXOR(F.lit(c)) for c in _CENTRES]
     heads = bands.groupBy("key").agg(
-        F.min("rep").alias("head"), F.max("rep").alias("tail"),
+        F.min("rep").alias("head"), F.max("rep").alias("tail"), F.count("*").alias("n_members"),
         *[F.min(t).bitwiseXOR(F.lit(c)).alias(f"head{i}") for i, (t, c) in enumerate(zip(turned, _CENTRES))],
     ).filter("head < tail")
     members = stored(bands.join(heads, "key"), "members")
@@ -280,10 +367,14 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
             others = F.explode(F.array("tail", *[f"head{i}" for i in range(len(_CENTRES))])).alias("other")
             pairs = _pairs(strays.select("rep", others), "other")
         else:
-            held = strays.select("key", "rep", "own", "head")
+            held = strays.filter(F.col("n_members") <= SMALL).select("key", "rep", "own", "head")
             against = apart.select("key", F.col("rep").alias("other"), F.col("own").alias("there"))
             pairs = _pairs(held.join(against, "key").filter("own <> there and other <> head"), "other")
         more = linker.confirmed(pairs, name)
+        hot = strays.filter(F.col("n_members") > SMALL).select("key", "rep", "own")
+        if name == "rest" and not hot.isEmpty():
+            around = apart.select("key", "rep", "own").join(hot.select("key").distinct(), "key", "left_semi")
+            more = more.union(linker.confirmed_in_blocks(hot, stored(around, "around"), "blocks"))
         if not more.isEmpty():
             links = stored(links.union(more).distinct(), "links")
             found = components(links)

@@ -458,3 +458,21 @@ def test_held_out_accuracy(spark):
     found = language.identify(frame).filter(language.held_out(F.col("doc_id")))
     right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
     assert right >= 0.98
+
+
+def test_blocks_of_hot_buckets(spark, monkeypatch):
+    """Strays of large buckets: many members that are nearly, but not quite, near copies."""
+    monkeypatch.setattr(minhash, "SMALL", 8)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, varied(rng, base, rng.choice([1, 2, 3, 4, 5]))) for i in range(120)]
+    want = check_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert 5 < len({c for _, c in want.values()}) < 110
+
+
+def test_bitmap_passes_over_unwanted_texts(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('eins zwei drei vier fünf ', id) as text")
+    ids = spark.range(0, 3000, 100).selectExpr("id as doc_id")
+    found = {r["doc_id"] for r in minhash.whole_sets(docs, "text", "doc_id", ids).collect()}
+    assert set(range(0, 3000, 100)) <= found and len(found) < 40
