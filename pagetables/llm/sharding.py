@@ -96,12 +96,13 @@ def shards(docs: DataFrame, n_shards: int, text: str = "text", key: str = "doc_i
     rows = shuffled(docs, buckets, seed, key)
     tucked = Tucked(rows)
     ahead = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each bucket: the input's bytes divided by ``bucket_bytes``.
+    # One row of 16 bytes for each bucket, so this is a four-millionth of the input: 25 MB of
+    # 100 TB.  It is broadcast, since a join on buckets would move all records once more.
     starts = rows.groupBy(F.col("bucket").alias("of")).agg(F.count("*").alias("n")).select(
         "of", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start")
     )
     place = F.col("start") + tucked["bucket_slot"]
-    return tucked.frame.join(starts, tucked["bucket"] == F.col("of")).select(
+    return tucked.frame.join(F.broadcast(starts), tucked["bucket"] == F.col("of")).select(
         *tucked.back(*ADDED, "shard", "slot"),
         F.pmod(place, F.lit(n_shards)).cast("int").alias("shard"),
         F.floor(place / n_shards).cast("long").alias("slot"),
