@@ -36,7 +36,12 @@ from pagetables.operators.schemas import (
     table_metadata,
     to_json_docs,
 )
-from pagetables.operators.select import analysis_prompt, recommended_index, select_tables
+from pagetables.operators.select import (
+    analysis_prompt,
+    recommended_index,
+    select_files,
+    select_tables,
+)
 from pagetables.operators.shred import shred
 from pagetables.sources.csvtext import parse_csv
 from pagetables.sources.files import guard_size
@@ -57,6 +62,18 @@ def csv_documents(files: DataFrame, max_mb: float | None = None, sample: int = 5
     return csv_tables(parse_csv(guarded), sample)
 
 
+def dataset_schemas(
+    files: DataFrame, choices: DataFrame | None = None, sample: int = 100
+) -> DataFrame:
+    """``files(dataset, path, content)`` to one schema a dataset, from the first rows of its
+    chosen CSV file (see ``select_files``).  The choice is made on names; only the contents of
+    chosen files are parsed."""
+    chosen = select_files(files.select("dataset", "path"), choices)
+    held = files.join(chosen, ["dataset", "path"], "left_semi")
+    texts = held.select(F.col("path").alias("doc_id"), F.col("path").alias("source"), "content")
+    return document_schemas(csv_documents(texts, sample=sample), kind="dataset")
+
+
 def described_schemas(files: DataFrame) -> DataFrame:
     """Schemas as ``parse_csv`` rows describe them; other CSV texts give no row.
 

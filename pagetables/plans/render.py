@@ -238,8 +238,9 @@ def csv_line(*cells: Column | str) -> Column:
     return F.concat_ws(",", *[quoted(F.lit(c) if isinstance(c, str) else c) for c in cells])
 
 
-def document_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One CSV text per document: a header, then per line its number and the whole line."""
+def document_csv(spark: SparkSession, sf_dir: str, dataset: str | None = None) -> DataFrame:
+    """One CSV text per document: a header, then per line its number and the whole line; with
+    the documents' source as the name of its dataset, if that column is asked for."""
     docs = load(spark, sf_dir, "documents")
     lines = F.transform(
         F.split("text", "\n"),
@@ -249,6 +250,7 @@ def document_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.concat(F.lit("corpus/"), text("doc_id"), F.lit(".csv")).alias("source"),
         F.concat(F.lit("no,line\n"), F.array_join(lines, "\n")).alias("content"),
+        *([F.col("source").alias(dataset)] if dataset else []),
     )
 
 
