@@ -37,7 +37,7 @@ TRAIN_BATCH = 192
 STEPS = 240
 UNKNOWN = "und"
 LEAST_SCORE = 0.3
-BATCH_BYTES = 4 * 1024 * 1024
+BATCH_BYTES = 2 * 1024 * 1024
 BATCH_WINDOWS = 2048
 
 
@@ -258,26 +258,27 @@ def held_out(key: Column) -> Column:
 
 
 def teaching_sample(docs: DataFrame, text: str, lang: str, key: str, per_language: int = PER_LANGUAGE) -> list:
-    """``(language, passage)`` of at most ``per_language`` documents of each language.
+    """``(language, passage)`` of at most ``per_language`` documents of each language, the first
+    by hash.
 
-    Documents come by hash; a share of them, from the languages' counts, is ranked, so that
-    what is ranked and brought here has a size that doesn't grow with the table.
+    The languages' cutoffs are found on hashes alone, of which a task sends on no more than it
+    may need; texts are then read where they are, and only the passages come here.
     """
-    known = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(F.col(key)))
-    counts = known.groupBy(F.col(lang).alias("_l")).count()
-    share = F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.col("count")) * F.lit(float(1 << 30))
-    hashed = known.select(
-        F.col(lang).alias("lang"), F.xxhash64(F.col(key).cast("string"), F.lit("teach")).alias("hash"), F.col(text).alias("text")
-    )
-    some = hashed.join(counts, F.col("lang") == F.col("_l")).filter(
-        F.pmod("hash", F.lit(1 << 30)) < share
-    )
-    at = F.pmod(F.shiftright("hash", 30), F.greatest(F.lit(1), F.length("text") - F.lit(PASSAGE))).cast("int") + 1
-    passage = F.substring("text", at, F.lit(PASSAGE))
-    place = Window.partitionBy("lang").orderBy("hash", "passage")
-    ranked = some.select("lang", "hash", passage.alias("passage")).withColumn("n", F.row_number().over(place))
-    rows = ranked.filter(F.col("n") <= per_language).collect()
-    return sorted((r["lang"], (r["passage"] or "").encode()[:PASSAGE]) for r in rows)
+    taught = docs.filter(F.col(lang).isNotNull() & ~held_out(F.col(key)))
+    hashed = F.xxhash64(F.col(key).cast("string"), F.lit("teach"))
+    first = Window.partitionBy("lang").orderBy("hash")
+    ranked = taught.select(F.col(lang).alias("lang"), hashed.alias("hash")).withColumn("n", F.row_number().over(first))
+    cutoffs = ranked.filter(F.col("n") <= per_language).groupBy("lang").agg(F.max("hash").alias("hash")).collect()
+    if not cutoffs:
+        return []
+    last = F.create_map(*[F.lit(x) for r in cutoffs for x in (r["lang"], r["hash"])])
+    some = taught.filter((hashed <= F.try_element_at(last, F.col(lang))) & F.col(text).isNotNull())
+    span = F.greatest(F.lit(1), F.length(text) - F.lit(PASSAGE))
+    at = F.pmod(F.shiftright(hashed, 30), span).cast("int") + 1
+    passages = some.select(F.col(lang).alias("lang"), hashed.alias("hash"), F.substring(text, at, F.lit(PASSAGE)).alias("passage"))
+    # Rows that share a key share its place: one of them teaches.
+    rows = passages.groupBy("lang", "hash").agg(F.min("passage").alias("passage")).collect()
+    return sorted((r["lang"], r["passage"].encode()[:PASSAGE]) for r in rows)
 
 
 def predict(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
