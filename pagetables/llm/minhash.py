@@ -50,7 +50,7 @@ SKETCH_BITS = 512
 LEAST, OF = 75, 100
 ESTIMATE = 0.55
 BATCH_BYTES = 2 * 1024 * 1024
-SMALL = 64  # members of a bucket whose strays meet the others as pairs
+SMALL = 16  # members of a bucket whose strays meet the others as pairs
 BLOCK = 256  # strays, or members, of one block of a larger bucket
 FILTER_BITS = 1 << 26
 SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>, odd array<bigint>"
