@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from html import unescape
 
 # Elements of running text, which don't end a block; elements without content;
-# elements whose content isn't text of the page; what an opening tag ends.
+# elements whose content isn't text of the page; those that may stand in a head, which any other
+# tag ends; what an opening tag ends.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small "
     "span strike strong sub sup time tt u var wbr".split()
@@ -15,6 +16,7 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template iframe svg head title textarea object canvas".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 ENDS = {
     **dict.fromkeys(("li",), frozenset({"li"})),
     **dict.fromkeys(("dt", "dd"), frozenset({"dt", "dd"})),
@@ -57,9 +59,12 @@ class _Reader:
     linked: int = 0
     links: int = 0
     hidden: int = 0
+    drawings: int = 0
     blocks: list[Block] = field(default_factory=list)
 
     def text(self, raw: str) -> None:
+        if raw.strip():
+            self.end_head()
         if raw and not self.hidden:
             text = unescape(raw) if "&" in raw else raw
             self.held.append(text)
@@ -76,7 +81,18 @@ class _Reader:
         self.held.clear()
         self.linked = 0
 
+    def end_head(self) -> None:
+        """Text and tags that may not stand in a head end it: its end tag may be left out."""
+        if self.stack and self.stack[-1].tag == "head":
+            self.pop()
+
+    def self_closed(self, tag: str, attributes: str) -> bool:
+        """Whether a tag is its own end tag, as only those of drawings may be."""
+        return attributes.endswith("/") and (tag == "svg" or self.drawings > 0)
+
     def open(self, tag: str, attributes: str) -> None:
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag in INLINE:
             if tag == "a":
                 self.links = 1
@@ -90,11 +106,12 @@ class _Reader:
         # A block-level element ends an open paragraph.
         if self.stack and self.stack[-1].tag == "p":
             self.pop()
-        if tag in VOID:
+        if tag in VOID or self.self_closed(tag, attributes):
             return
         found = {w for groups in NAMES.findall(attributes) for g in groups for w in WORDS.findall(g.lower())} if attributes else ()
         self.stack.append(_Open(tag, frozenset(found)))
         self.hidden += tag in HIDDEN
+        self.drawings += tag == "svg"
 
     def end_implied(self, tags: frozenset[str], scope: set[str]) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -106,7 +123,9 @@ class _Reader:
                     return
 
     def pop(self) -> None:
-        self.hidden -= self.stack.pop().tag in HIDDEN
+        tag = self.stack.pop().tag
+        self.hidden -= tag in HIDDEN
+        self.drawings -= tag == "svg"
 
     def cut(self, to: int) -> None:
         while len(self.stack) > to:
@@ -146,7 +165,7 @@ def leaf_blocks(html: str) -> list[Block]:
             reader.close(tag)
             continue
         reader.open(tag, found.group(3))
-        if tag in RAW:
+        if tag in RAW and not reader.self_closed(tag, found.group(3)):
             end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
             at = n if end is None else end.end()
             reader.close(tag)

@@ -213,6 +213,23 @@ def test_blocks():
     assert leaf_blocks("") == [] and [b.text for b in leaf_blocks("<p>a</div></b>b<p")] == ["a", "b"]
 
 
+def test_open_heads_and_self_closed_drawings_hide_no_text():
+    article = "<article><h1>T</h1><p>A b.</p></article>"
+    for head in (
+        "<head><meta charset=utf-8><title>no</title><link rel=x><script>no</script><style>p{}</style><template><p>no</p></template>",
+        "<HEAD>\n<title>no</title>\n", "<head></head>",
+    ):
+        for start in ("<body>", "<BODY class=x>", ""):
+            blocks = leaf_blocks(f"<!DOCTYPE html><html>{head}{start}{article}")
+            assert [b.text for b in blocks] == ["T", "A b."], (head, start)
+            assert "head" not in blocks[0].tags and blocks[0].tags[-2:] == ("article", "h1")
+    assert [b.text for b in leaf_blocks("<head><title>no</title>plain <b>text</b></head><p>next")] == ["plain text", "next"]
+    assert [b.text for b in leaf_blocks("<head><meta charset=x><a href=/>link</a><img src=x>after")] == ["linkafter"]
+    for drawing in ("<svg/>", "<svg class='icon' />", '<SVG viewBox="0 0 1 1"/>', "<svg width=1/>", "<svg><title/><g><path d=x /></g><style/></svg>", "<svg><svg/><text>no</text></svg>"):
+        blocks = leaf_blocks(f"<body><div>{drawing}{article}</div><p>end")
+        assert [b.text for b in blocks] == ["T", "A b.", "end"] and blocks[0].tags == ("body", "div", "article", "h1"), drawing
+
+
 def test_unclosed_pages_take_linear_time():
     blocks = leaf_blocks("<td>x" * 100_000)
     assert len(blocks) == 100_000 and len(blocks[-1].tags) == 1
