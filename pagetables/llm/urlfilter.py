@@ -4,7 +4,8 @@ Rules name a host, with all its subdomains, and a path prefix; the longest rule
 URL decides on it.  URLs that redirect to one another, or that name another URL as their
 canonical one, are aliases: the connected components of those edges.  A URL no rule fits is
 blocked if an alias is blocked by a rule, unless an alias is explicitly allowed, which goes
-first; with neither it is allowed.  Fragments are not part of a URL's identity.
+first; with neither it is allowed.  Fragments are not part of a URL's identity.  Targets are
+resolved as browsers do: against the page's URL, or the one its base element names.
 
 Rules meet URLs by an equi-join on host suffixes, then by prefix; only the best rule's place
 is kept, by a partial maximum.  Decisions reach aliases through one boolean pair a component.
@@ -35,6 +36,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*['"]?([^"'\s>]+)"""
 
+BASE = r"""(?is)<base\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)"""
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+ROOT, DOTS = r"(?s)^.*?://[^/?#]*", r"/\.\.?(/|\z)"
+
 
 def host_of(url: Column) -> Column:
     host = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
@@ -50,27 +55,59 @@ def node_of(url: Column) -> Column:
     found = url.contains("://")
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
     scheme = F.translate(F.substring_index(url, "://", 1), UPPER, LOWER)
-    return F.when(found, F.concat(scheme, F.lit("://"), host_of(url), F.when(rest == "", "/").otherwise(rest)))
+    return F.when(found, F.concat(scheme, F.lit("://"), host_of(url), F.when(~rest.startswith("/"), "/").otherwise(""), rest))
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash, without its ``.`` and ``..`` segments."""
+
+    def step(kept: Column, part: Column) -> Column:
+        return (
+            F.when(part == ".", kept)
+            .when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.lit(0), F.size(kept) - 1)))
+            .otherwise(F.concat(kept, F.array(part)))
+        )
+
+    # A dot segment at the end leaves the slash before it.
+    parts = F.split(F.regexp_replace(path, r"(/\.\.?)\z", "$1/"), "/")
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"), step)
+    return F.when(path.rlike(DOTS), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
 
 
 def resolved(base: Column, link: Column) -> Column:
-    """An absolute link as it is; one with a path of its own under the base's host."""
-    root = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*", 0)
+    """An absolute link as it is, any other as seen from the base; NULL if it has no host."""
+    root, here = F.regexp_extract(base, ROOT, 0), F.regexp_extract(base, ROOT + "([^?#]*)", 1)
     scheme = F.concat(F.substring_index(base, "://", 1), F.lit(":"))
+    path, query = F.regexp_extract(link, r"(?s)^[^?#]*", 0), F.regexp_extract(link, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    folder = F.when(here == "", "/").otherwise(F.regexp_extract(here, "(?s)^.*/", 0))
+    local = (
+        F.when(path.startswith("/"), F.concat(without_dots(path), query))
+        .when(path != "", F.concat(without_dots(F.concat(folder, path)), query))
+        .when(query != "", F.concat(here, query))
+        .otherwise(F.regexp_extract(base, ROOT + "([^#]*)", 1))
+    )
     return (
-        F.when(link.contains("://"), link)
+        F.when(link.rlike(SCHEME + "//"), link)
+        .when(link.rlike(SCHEME) | ~base.contains("://"), F.lit(None).cast("string"))
         .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(root, link))
+        .otherwise(F.concat(root, local))
     )
 
 
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(a, b)``: a page's node and the node of its canonical link or refresh target."""
-    links = F.array(*[F.regexp_extract(html, pattern, 1) for pattern in (CANONICAL, REFRESH)])
+    """``(a, b)``: a page's node and the nodes of its canonical links and refresh targets."""
+    links = F.concat(*[F.regexp_extract_all(html, F.lit(pattern), F.lit(1)) for pattern in (CANONICAL, REFRESH)])
     linked = F.col(html).rlike(r"(?i)canonical|refresh")
-    found = pages.filter(linked & F.col(url).contains("://")).select(F.col(url).alias("page"), F.explode(links).alias("link"))
-    target = node_of(resolved(F.col("page"), F.replace("link", F.lit("&amp;"), F.lit("&"))))
-    return found.filter("link <> ''").select(node_of(F.col("page")).alias("a"), target.alias("b")).filter(
+
+    def plain(link: str) -> Column:
+        return F.replace(F.col(link), F.lit("&amp;"), F.lit("&"))
+
+    found = pages.filter(linked & F.col(url).contains("://")).select(
+        F.col(url).alias("page"), F.regexp_extract(html, BASE, 1).alias("base"), F.explode(F.array_distinct(links)).alias("link")
+    )
+    base = F.coalesce(resolved(F.col("page"), plain("base")), F.col("page"))
+    seen = found.select("page", "link", base.alias("base"))
+    return seen.select(node_of(F.col("page")).alias("a"), node_of(resolved(F.col("base"), plain("link"))).alias("b")).filter(
         F.col("b").isNotNull() & (F.col("a") != F.col("b"))
     )
 
@@ -104,7 +141,7 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
           html: str | None = "html") -> DataFrame:
     """All rows with ``host``, ``path``, ``rule`` and ``verdict``.
 
-    ``redirects(a, b)`` are pairs of URLs; edges of the pages' own html are added if given.
+    ``redirects(a, b)`` are pairs of URLs, ``b`` as seen from ``a``; edges of the pages' own html are added if given.
     """
     added = ("host", "path", "rule", "verdict")
     tucked = Tucked(pages)
@@ -114,7 +151,7 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     )
     edges = page_edges(pages, url, html) if html else None
     if redirects is not None:
-        given = redirects.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b"))
+        given = redirects.select(node_of(F.col("a")).alias("a"), node_of(resolved(F.col("a"), F.col("b"))).alias("b"))
         edges = given if edges is None else edges.unionByName(given)
     best = stored(best_rules(rows.select("host", "path").distinct(), rules), "rules")
     ruled = rows.join(

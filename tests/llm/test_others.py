@@ -99,6 +99,42 @@ def test_block_decisions_reach_aliases(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "allow", 8: "block", 9: "block", 10: "block", 11: "block"}
 
 
+def test_links_resolve_as_urllib_does(spark):
+    from urllib.parse import urljoin
+
+    links = ["next.html", "../x", "./x", "..", ".", "a/./b/../c/", "../../../up", "?page=2", "/b/../c?u=http://spam.net/../x", "x?u=a://b#f",
+             "/login?next=http://spam.net/fr/", "//other.org/x", "HTTP://Abs.org/y", "https://abs.org", "/", "#part"]
+    bases = ["http://a.org/d/e/f.html?q=1#z", "https://a.org/d/", "http://a.org/d"]
+    rows = spark.createDataFrame([(b, l) for b in bases for l in links], "base string, link string")
+    got = rows.select("base", "link", urlfilter.node_of(urlfilter.resolved(F.col("base"), F.col("link"))).alias("node")).collect()
+    want = rows.sparkSession.createDataFrame([(b, l, urljoin(b, l)) for b in bases for l in links], "base string, link string, url string")
+    nodes = {(r["base"], r["link"]): r["node"] for r in want.select("base", "link", urlfilter.node_of(F.col("url")).alias("node")).collect()}
+    assert {(r["base"], r["link"]): r["node"] for r in got} == nodes
+    rows = spark.createDataFrame([("http://a.org", "?p=2"), ("http://a.org", "x"), ("http://a.org/", "mailto:x@y"), ("http://a.org/", "data:a://b"), ("a.org", "/x?u=a://b"), ("http://a.org/d", "a//b")], "base string, link string")
+    assert [r[0] for r in rows.select(urlfilter.node_of(urlfilter.resolved(F.col("base"), F.col("link")))).collect()] == ["http://a.org/?p=2", "http://a.org/x", None, None, None, "http://a.org/a//b"]
+
+
+def test_relative_and_repeated_links_reach_aliases(spark):
+    canonical, refresh = "<link rel=canonical href='{}'>", "<meta http-equiv='refresh' content='0;url={}'>"
+    pages = spark.createDataFrame(
+        [
+            (1, "http://l.org/d/a.html", refresh.format("next.html")),
+            (2, "http://l.org/d/next.html", canonical.format("../x")),
+            (3, "http://l.org/x", canonical.format("?page=2")),
+            (4, "http://l.org/x?page=2", canonical.format("http://spam.net/fr/")),
+            (5, "http://m.org/", refresh.format("/login?next=http://spam.net/fr/")),  # stays on its own host
+            (6, "http://n.org/1", canonical.format("http://n.org/0") + canonical.format("http://spam.net/fr/")),
+            (7, "http://n.org/2", refresh.format("/0") + refresh.format("http://spam.net/es/")),
+            (8, "http://o.org/", "<base href='http://spam.net/fr/'>" + canonical.format("1")),
+            (9, "http://p.org/", None),
+        ],
+        "page_id bigint, url string, html string",
+    )
+    redirects = spark.createDataFrame([("http://p.org/", "../q?u=http://good.com/"), ("http://p.org/q?u=http://good.com/", "http://spam.net/fr/")], "a string, b string")
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(pages, urlfilter.rule_table(spark), redirects).collect()}
+    assert got == {i: "allow" if i == 5 else "block" for i in range(1, 10)}
+
+
 # Tool calls
 
 
