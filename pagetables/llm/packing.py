@@ -15,6 +15,7 @@ read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 PLACES = "row bigint, sequence_id bigint, offset bigint"
 # Fixed value: how a byte-level BPE of this kind parts a text before it merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# ``tiktoken`` panics where it has to go back over a million white spaces in a row.
+LONG_SPACE = re.compile(r"(?<!\s)\s{100000}")
 
 
 def default_tokenizer() -> str:
@@ -63,7 +66,8 @@ def merges_of(tokenizer):
 
 class Encoder:
     """Token ids of a tokenizer's file.  Merging is done by ``tiktoken``, which gives the same
-    ids in a fraction of the time; texts that name a special token go to the tokenizer."""
+    ids in a fraction of the time; texts that name a special token or have very long runs of
+    white space go to the tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -74,7 +78,7 @@ class Encoder:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, then the end id."""
-        if any(name in text for name in self.special):
+        if any(name in text for name in self.special) or LONG_SPACE.search(text):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = self.merges.encode_ordinary(text)

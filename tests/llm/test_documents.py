@@ -366,6 +366,12 @@ def test_ids_of_odd_texts():
         assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [packing.END]
 
 
+def test_ids_of_long_runs():
+    encoder = packing.Encoder(packing.default_tokenizer())
+    for text in (" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "a" + " \t\u3000\x85" * 500_000 + "b c", "a" + " " * 99_999 + "b" + " " * 100_001 + "c"):
+        assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [packing.END]
+
+
 @pytest.mark.parametrize("low,high", [(1, 1024), (300, 600), (1, 60), (500, 530)])
 def test_search_only_improves(low, high):
     rng = random.Random(low)
