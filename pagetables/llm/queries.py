@@ -111,14 +111,15 @@ TOOLS = {
 def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as tool calls: what a user or the system says is a call whose arguments hold the
     text, an assistant's turn is the result of the turn before it, and a call's parent is the
-    call two turns earlier."""
+    call two turns earlier.  A turn whose role is NULL is a call of ``instruct``; the SQL, which
+    the given tables are compared with, has no turns without a role."""
     said = table(spark, sf_dir, "conversations")
     number = F.col("turn")
 
     def name(turn):
         return F.concat(F.lit("t"), turn.cast("string"))
 
-    calls = said.filter("role <> 'assistant'").select(
+    calls = said.filter("role is distinct from 'assistant'").select(
         "conv_id", name(number).alias("call_id"), name(number - 2).alias("parent_id"), "turn",
         F.when(F.col("role") == "user", "ask").otherwise("instruct").alias("name"),
         F.to_json(F.struct("turn", count_words(F.col("text")).alias("words"), F.col("text").alias("query"))).alias("arguments"),

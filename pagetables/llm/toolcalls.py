@@ -14,8 +14,8 @@ Statuses, the first that fits: ``no_result``, ``no_call`` (a result of an unknow
 ``ok``.  ``errors`` lists every breach as ``field: what``, sorted.
 
 Defined cases: calls without a conversation or an identifier can't be linked and keep their
-row as ``no_result``; of calls with the same identifier the first by turn counts, the number
-of copies is kept; an unknown parent is none; NULL arguments are ``bad_json``; empty tables
+row as ``no_result``, as such results keep theirs as ``no_call``; of calls with the same
+identifier the first by turn counts, the number of copies is kept; an unknown parent is none; NULL arguments are ``bad_json``; empty tables
 give no rows; columns beyond the named ones are not read.
 """
 
@@ -157,7 +157,12 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
         F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), F.col("name").alias("name"),
         F.col("content").alias("result"),
     )))
-    return checked.select(
+    found = checked.select(
         "conv_id", "call_id", "depth", "turn", "result_turn", "copies", "result_copies", "name", status.alias("status"),
         F.array_join("errors", "; ").alias("errors"), "arguments", "content", call.alias("call_json"),
     )
+    stray = results.filter(F.col("conv_id").isNull() | F.col("call_id").isNull()).select(
+        "conv_id", "call_id", F.col("turn").alias("result_turn"), "content", F.lit(1).cast("long").alias("result_copies"),
+        F.lit("no_call").alias("status"),
+    )
+    return stray.unionByName(found, allowMissingColumns=True).select(*found.columns)

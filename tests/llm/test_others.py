@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pagetables.llm import extraction, toolcalls, topk, urlfilter
+from pagetables.llm import extraction, queries, toolcalls, topk, urlfilter
 from pagetables.llm.blocks import leaf_blocks
 from pagetables.llm.components import components
 
@@ -184,6 +184,28 @@ def test_links_orders_and_validates(spark):
     assert calls_frame_rows[6, "x"]["content"] == "lost" and calls_frame_rows[6, "x"]["result_copies"] == 2
 
 
+def test_results_without_an_identifier_keep_their_rows(spark):
+    calls = spark.createDataFrame([(1, "a", None, 1, "add", '{"x":1}'), (5, None, None, 1, "add", '{"x":1}'), (None, "a", None, 1, "add", '{"x":1}')], CALLS)
+    results = [(1, "a", 2, "ra"), (5, None, 2, "one"), (5, None, 2, "one"), (None, "a", 3, "two"), (None, None, None, None)]
+    rows = toolcalls.link(calls, spark.createDataFrame(results, RESULTS), toolcalls.schema_table(spark, TOOLS)).collect()
+    names = ("conv_id", "call_id", "turn", "result_turn", "result_copies", "status", "content")
+    assert Counter(tuple(r[n] for n in names) for r in rows) == Counter([
+        (1, "a", 1, 2, 1, "ok", "ra"), (5, None, 1, None, None, "no_result", None), (None, "a", 1, None, None, "no_result", None),
+        (5, None, None, 2, 1, "no_call", "one"), (5, None, None, 2, 1, "no_call", "one"), (None, "a", None, 3, 1, "no_call", "two"),
+        (None, None, None, None, 1, "no_call", None),
+    ])
+
+
+def test_every_turn_has_its_row(spark, tmp_path):
+    said = [(1, 0, None, "a b c d e"), (1, 1, "assistant", "yes"), (1, 2, "user", "a b c d e"), (None, 1, "assistant", "lost"), (2, None, "assistant", "too"), (3, None, None, "x")]
+    spark.createDataFrame(said, "conv_id bigint, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = queries.op3_tool_calls(spark, str(tmp_path)).collect()
+    assert Counter((r["conv_id"], r["call_id"], r["name"], r["status"], r["content"]) for r in rows) == Counter([
+        (1, "t0", "instruct", "invalid", "yes"), (1, "t2", "ask", "no_result", None), (None, "t0", None, "no_call", "lost"),
+        (2, None, None, "no_call", "too"), (3, None, "instruct", "no_result", None),
+    ])
+
+
 def test_long_chains_and_empty_tables(spark):
     n = 300
     calls = [(1, f"c{i}", f"c{i - 1}", n - i, "add", '{"x":1}') for i in range(n)]
