@@ -152,11 +152,12 @@ def _weights(net: Network) -> list[np.ndarray]:
 def train(samples: list[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = STEPS, batch: int = TRAIN_BATCH,
           window: int = TRAIN_WINDOW, rate: float = 0.02, seed: int = 11) -> Network:
     """A network from ``(language, passage)`` pairs, the same for the same pairs."""
+    samples = [(lang, p) for lang, p in samples if p]
     languages = sorted({lang for lang, _ in samples})
     net = initial(languages, hidden)
     if len(languages) < 2:
         return net
-    by_language = [[np.frombuffer(p, dtype=np.uint8) for lang, p in samples if lang == name and p] for name in languages]
+    by_language = [[np.frombuffer(p, dtype=np.uint8) for lang, p in samples if lang == name] for name in languages]
     rng = np.random.default_rng(seed)
     first = [np.zeros_like(w) for w in _weights(net)]
     second = [np.zeros_like(w) for w in _weights(net)]
@@ -261,10 +262,10 @@ def teaching_sample(docs: DataFrame, text: str, lang: str, key: str, per_languag
     """``(language, passage)`` of at most ``per_language`` documents of each language, the first
     by hash.
 
-    The languages' cutoffs are found on hashes alone, of which a task sends on no more than it
-    may need; texts are then read where they are, and only the passages come here.
+    NULL and empty texts teach nothing and take no other's place.  The languages' cutoffs are
+    found on hashes alone, of which a task sends on no more than it may need; texts are then read where they are, and only the passages come here.
     """
-    taught = docs.filter(F.col(lang).isNotNull() & ~held_out(F.col(key)))
+    taught = docs.filter(F.col(lang).isNotNull() & ~held_out(F.col(key)) & (F.col(text) != ""))
     hashed = F.xxhash64(F.col(key).cast("string"), F.lit("teach"))
     first = Window.partitionBy("lang").orderBy("hash")
     ranked = taught.select(F.col(lang).alias("lang"), hashed.alias("hash")).withColumn("n", F.row_number().over(first))
@@ -272,7 +273,7 @@ def teaching_sample(docs: DataFrame, text: str, lang: str, key: str, per_languag
     if not cutoffs:
         return []
     last = F.create_map(*[F.lit(x) for r in cutoffs for x in (r["lang"], r["hash"])])
-    some = taught.filter((hashed <= F.try_element_at(last, F.col(lang))) & F.col(text).isNotNull())
+    some = taught.filter(hashed <= F.try_element_at(last, F.col(lang)))
     span = F.greatest(F.lit(1), F.length(text) - F.lit(PASSAGE))
     at = F.pmod(F.shiftright(hashed, 30), span).cast("int") + 1
     passages = some.select(F.col(lang).alias("lang"), hashed.alias("hash"), F.substring(text, at, F.lit(PASSAGE)).alias("passage"))

@@ -458,6 +458,18 @@ def test_sample_leaves_the_held_out_documents_out(spark):
     assert Counter(lang for lang, _ in sample) == {"de": 50, "en": 50}
 
 
+def test_empty_texts_teach_nothing(spark):
+    net = language.train([("de", b"Die Katze"), ("en", b"the cat"), ("xx", b"")], steps=2)
+    assert net.languages == ["de", "en"] and language.train([("xx", b"")]).languages == []
+    # Of the many documents of zz only a few have a text, and they still teach it.
+    rows = [(i, f"text number {i}", "en") for i in range(40)] + [(i, "", "xx") for i in range(40, 80)] + [(i, None, "yy") for i in range(80, 90)]
+    rows += [(i, "zz text" if i % 20 == 0 else "", "zz") for i in range(100, 500)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sample = language.teaching_sample(frame, "text", "lang", "doc_id", per_language=5)
+    assert {lang for lang, _ in sample} == {"en", "zz"} and Counter(lang for lang, _ in sample)["zz"] == 5 and all(p for _, p in sample)
+    assert {r["lang_pred"] for r in language.identify(frame).collect()} <= {"en", "zz", "und"}
+
+
 def test_held_out_accuracy(spark):
     """At least 98 % of the documents that taught nothing."""
     frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
