@@ -17,12 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_folder: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``.  Only a session of one machine may go without:
+    it gets a temporary folder, which a cluster's executors could not share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="pagetables-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        if not _own_folder:
+            _own_folder.append(tempfile.mkdtemp(prefix="pagetables-"))
+        folder = _own_folder[0]
     return folder.rstrip("/")
 
 
@@ -57,6 +64,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def released(*frames: DataFrame) -> None:
+    """Frees the space of ``stored`` frames that nothing will read again."""
+    for frame in frames:
+        files = frame.inputFiles()
+        if files:
+            empty = frame.sparkSession.createDataFrame([], frame.schema)
+            empty.write.mode("overwrite").parquet(files[0].rpartition("/")[0])
+
+
 def count_words(text: Column) -> Column:
     """Number of words; NULL text has none.  ``split`` yields one part more than there are
     gaps; parts before a leading gap and after a trailing one are empty."""

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.llm import (
+    codes,
     exactdedup,
     extraction,
     language,
     minhash,
     mixing,
     packing,
+    secrets,
     sharding,
     toolcalls,
     topk,
@@ -248,3 +250,78 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exactdedup.groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def _code_sql(rounds: int = codes.ROUNDS) -> str:
+    """The rounds one after the other; distances of every part to every entry."""
+    mean = "(s - ((s % n) + n) % n) // n"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+    a{i} AS MATERIALIZED (
+      SELECT r, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS m FROM (
+        SELECT a.r, a.p, a.x, c.e, list_sum(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - c.c[i]) * (a.x[i] - c.c[i]))) AS d
+        FROM parts a JOIN c{i} c ON a.p = c.p) GROUP BY r, p)""")
+        if i < rounds:
+            steps.append(f"""
+    c{i + 1} AS MATERIALIZED (
+      SELECT o.p, o.e, coalesce(w.c, o.c) AS c FROM c{i} o LEFT JOIN (
+        SELECT p, e, list({mean} ORDER BY i) AS c FROM (
+          SELECT p, e, i, sum(y) AS s, count(*) AS n FROM (
+            SELECT p, m.e AS e, unnest(range(len(x))) AS i, unnest(x) AS y FROM a{i}) GROUP BY p, e, i)
+        GROUP BY p, e) w ON o.p = w.p AND o.e = w.e)""")
+    return f"""
+    WITH kept AS (
+      SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+             list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+      SELECT r, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, (SELECT unnest(range(8)) AS p)),
+    c0 AS (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 16),{",".join(steps)},
+    coded AS (
+      SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+    books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})
+    SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, b.codebooks_sha256
+    FROM kept k JOIN coded c ON k.r = c.r, books b"""
+
+
+@query(_code_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def _span_sql() -> str:
+    """The base spans: a match starts after all gaps and matches before it."""
+    words = ("password", "passwd", "secret", "token", "api_?key")
+    either = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in words]
+    assign = f"({'|'.join(either)})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+    kinds = [("assign", assign, 2, 6), ("access", "(AKIA[A-Z0-9]+)", 1, 20), ("hex", "([0-9a-f]{24,})", 1, 24)]
+    found = " UNION ALL ".join(
+        f"SELECT row, {i} AS kind, '{name}' AS name, {least} AS least, regexp_extract_all(text, '{p}') AS ms, "
+        f"regexp_extract_all(text, '{p}', {group}) AS vs, string_split_regex(text, '{p}') AS gaps FROM texts"
+        for i, (name, p, group, least) in enumerate(kinds)
+    )
+    counts = ", ".join(f"count(*) FILTER (kind = {i}) AS n_{name}" for i, (name, *_) in enumerate(kinds))
+    shown = ", ".join(f"CAST(coalesce(n_{name}, 0) AS BIGINT) AS n_{name}" for name, *_ in kinds)
+    return f"""
+    WITH texts AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
+    found AS ({found}),
+    matches AS (
+      SELECT row, kind, name, least, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(vs) AS v, ms, gaps FROM found),
+    spans AS (
+      SELECT row, kind, name, length(m) AS n, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+      FROM matches WHERE length(v) >= least),
+    joined AS (
+      SELECT row, {counts}, string_agg(name || ':' || start || ':' || (start + n), ',' ORDER BY start, kind) AS spans
+      FROM spans GROUP BY row)
+    SELECT t.doc_id, {shown}, CAST(0 AS BIGINT) AS n_confirmed, sha256(coalesce(j.spans, '')) AS base_sha256,
+           coalesce(j.spans, '') AS spans
+    FROM texts t LEFT JOIN joined j ON t.row = j.row"""
+
+
+@query(_span_sql())
+def op12_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL has the base spans alone: the given documents hold no key encoding and no signed
+    token, so nothing is confirmed in them (``tests/llm/test_secrets.py`` has texts that do)."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
