@@ -15,6 +15,7 @@ from pagetables.llm import (
     minhash,
     mixing,
     packing,
+    repair,
     secrets,
     sharding,
     toolcalls,
@@ -325,3 +326,83 @@ def op12_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SQL has the base spans alone: the given documents hold no key encoding and no signed
     token, so nothing is confirmed in them (``tests/llm/test_secrets.py`` has texts that do)."""
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def _repair_sql() -> str:
+    """The grammar as four states, each with its least cost and audit as one text: ten digits,
+    then edits.  e: nothing yet, s: a system's turn, u: a user's, p: pairs."""
+    states = "esup"
+
+    def more(value: str, cost: str, edit: str) -> str:
+        return f"(lpad(CAST(CAST({value}[1:10] AS BIGINT) + {cost} AS VARCHAR), 10, '0') || {value}[11:] || '{edit}')"
+
+    inserted_u = f"least({', '.join(['a[3]', *[more(f'a[{i}]', '3', 'I') for i in (1, 2, 4)]])})"
+    inserted = f"list_transform([[a[1], a[2], {inserted_u}, a[4]]], lambda b: [b[1], b[2], b[3], least(b[4], {more('b[3]', '3', 'I')})])[1]"
+    before_u = "least(c[1], c[2], c[4])"
+    cut = "CASE x[2] WHEN '3' THEN 3 ELSE 0 END"
+    may = "x[2] NOT IN ('1', '2')"
+    deleted = [more(f"c[{i + 1}]", "4", "D") for i in range(4)]
+    s = f"CASE WHEN {may} AND x[1] = 's' THEN {more('c[1]', cut, 'K')} END"
+    u = [f"CASE WHEN {may} AND x[1] = 'u' THEN {more(before_u, cut, 'K')} END", f"CASE WHEN {may} THEN {more(before_u, f'3 + {cut}', 'R')} END"]
+    p = [f"CASE WHEN {may} AND x[1] = 'a' THEN {more('c[3]', cut, 'K')} END", f"CASE WHEN {may} THEN {more('c[3]', f'3 + {cut}', 'R')} END"]
+    step = f"[{deleted[0]}, least({deleted[1]}, {s}), least({', '.join([deleted[2], *u])}), least({', '.join([deleted[3], *p])})]"
+    name = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    # CRC-32 bit by bit: letters of the name are the steps, zeros stand for their eight bits.
+    crc = f"""xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({name}, ''), lambda x: CAST(ord(x) AS BIGINT)),
+               lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, y: xor(d >> 1, (d & 1) * 3988292384))), 4294967295)"""
+    return rf"""
+    WITH cleaned AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {crc} % 20 AS part FROM conversations),
+    damaged AS (
+      SELECT conv_id, turn, CASE WHEN part = 4 THEN 'user' ELSE role END AS role,
+             CASE part WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE part WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM cleaned WHERE part <> 0),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place FROM damaged),
+    marked AS (
+      SELECT *, role[1:1] AS initial,
+             CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 2
+                  WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 3 ELSE 0 END AS fault,
+             lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY place) AS earlier
+      FROM placed),
+    grouped AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+             count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+             count(*) FILTER (earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+             list([initial, CAST(fault AS VARCHAR)] ORDER BY place) AS rows
+      FROM marked GROUP BY conv_id),
+    walked AS (
+      SELECT *, list_reduce(rows, lambda a, x: list_transform([{inserted}], lambda c: {step})[1],
+                            ['0000000000', NULL, NULL, NULL]::VARCHAR[]) AS a FROM grouped),
+    ended AS (SELECT *, list_transform([{inserted}], lambda c: least(c[1], c[4]))[1] AS best FROM walked),
+    audited AS (SELECT *, CAST(best[1:10] AS BIGINT) AS cost, best[11:] AS audit FROM ended),
+    edits AS (
+      SELECT conv_id, unnest(range(1, length(audit) + 1)) AS nth, unnest(string_split(audit, '')) AS edit FROM audited WHERE audit <> ''),
+    numbered AS (
+      SELECT *, sum(CAST(edit <> 'I' AS INT)) OVER sofar AS place, sum(CAST(edit <> 'D' AS INT)) OVER sofar AS seq
+      FROM edits WINDOW sofar AS (PARTITION BY conv_id ORDER BY nth)),
+    joined AS (
+      SELECT n.conv_id, n.seq, n.edit, m.role, m.initial, m.text,
+             max(CASE WHEN n.seq = 1 AND n.edit = 'K' AND m.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY n.conv_id) AS shift
+      FROM numbered n LEFT JOIN marked m ON n.conv_id IS NOT DISTINCT FROM m.conv_id AND n.place = m.place AND n.edit <> 'I' WHERE n.edit <> 'D'),
+    hashed AS (
+      SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (seq - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                        || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY seq)) AS h
+      FROM joined GROUP BY conv_id),
+    ids AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT i.conv_id, CAST(coalesce(a.gaps, 0) AS BIGINT) AS gaps, coalesce(a.blank, 0) AS blank, coalesce(a.duplicate, 0) AS duplicate,
+           coalesce(a.truncated, 0) AS truncated, coalesce(a.illegal, 0) AS illegal, coalesce(a.cost, 0) AS cost,
+           coalesce(a.audit, '') AS audit, coalesce(h.h, sha256('')) AS repaired_sha256
+    FROM ids i LEFT JOIN audited a ON i.conv_id IS NOT DISTINCT FROM a.conv_id
+    LEFT JOIN hashed h ON i.conv_id IS NOT DISTINCT FROM h.conv_id"""
+
+
+@query(_repair_sql())
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair_all(repair.damaged(turns), turns)
