@@ -1,69 +1,110 @@
-"""Leaf blocks of a page: runs of text between block-level tags, with what is above them."""
+"""Leaf blocks of a page: runs of text between block-level tags, with what is above them.
+
+A page is read once, in time linear in its length however its markup is broken: the end of a
+tag is decided once, open elements are a chain whose links share the sets of what is above them,
+and what an opening or closing tag ends is looked up instead of searched for.
+"""
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from collections import Counter
+from dataclasses import dataclass
 from html import unescape
 
-# Elements of running text, which don't end a block; elements without content;
-# elements whose content isn't text of the page; those that may stand in a head, which any other
-# tag ends; what an opening tag ends.
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+# Block-level elements, which end a block; all others, known or not, are part of
+# running text.  Elements without content; elements whose content isn't text of the page, and
+# those of them that are read up to their end tag; those that may stand in a head, which any
+# other tag ends.
+BLOCK = frozenset(
+    "address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset figcaption "
+    "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
+    "pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template iframe svg head title textarea object canvas".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
-ENDS = {
-    **dict.fromkeys(("li",), frozenset({"li"})),
-    **dict.fromkeys(("dt", "dd"), frozenset({"dt", "dd"})),
-    **dict.fromkeys(("tr",), frozenset({"tr", "td", "th"})),
-    **dict.fromkeys(("td", "th"), frozenset({"td", "th"})),
-    **dict.fromkeys(("option",), frozenset({"option"})),
-}
-# Elements that an end tag or an implied end inside them doesn't reach beyond.
-SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL
-)
+# What an opening tag ends, up to an element that this doesn't reach beyond: the
+# nearest item, term or option, but all of a row or a cell.
+ITEMS = (({"li"}, {"ul", "ol", "menu"}), ({"dt", "dd"}, {"dl"}), ({"option"}, {"select"}))
+ROWS = (({"tr", "td", "th"}, {"table"}), ({"td", "th"}, {"table"}))
+ENDS = {"li": 0, "dt": 1, "dd": 1, "option": 2, "tr": 3, "td": 4, "th": 4}
+
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORDS = re.compile(r"[a-z]+")
+TAG_NAME = re.compile(r"[^\s/>]+")
+STOP = re.compile(r"[>=]")
+QUOTE = re.compile(r"=\s*+([\"'])")
+
+
+class _Open:
+    """An open element, the one around it, and what both are inside of."""
+
+    __slots__ = ("tag", "around", "depth", "above", "names", "ends")
+
+    def __init__(self, tag: str, around: _Open | None, names: frozenset[str]):
+        self.tag, self.around = tag, around
+        self.depth = around.depth + 1 if around else 0
+        above = around.above if around else frozenset()
+        self.above = above if tag in above else above | {tag}
+        outer = around.names if around else frozenset()
+        self.names = outer if names <= outer else outer | names
+        # The depth of what each kind of tag would end, or -1.
+        ends = around.ends if around else (-1,) * len(ITEMS + ROWS)
+        self.ends = tuple(
+            -1 if tag in scope
+            else self.depth if tag in tags and (kind < len(ITEMS) or ends[kind] < 0)
+            else ends[kind]
+            for kind, (tags, scope) in enumerate(ITEMS + ROWS)
+        )
 
 
 @dataclass
 class Block:
-    """A leaf block: its text, the tags above it (outermost first), the words in their class,
-    id and role, and the number of its characters that are in links."""
+    """A leaf block: its text, the element it is in, and the number of its characters that are
+    in links."""
 
     text: str
-    tags: tuple[str, ...]
-    names: frozenset[str]
+    place: _Open | None
     linked: int
 
+    @property
+    def tags(self) -> tuple[str, ...]:
+        """The tags above the block, outermost first."""
+        out, place = [], self.place
+        while place is not None:
+            out.append(place.tag)
+            place = place.around
+        return tuple(reversed(out))
 
-@dataclass
-class _Open:
-    tag: str
-    names: frozenset[str]
+    @property
+    def own(self) -> str:
+        return self.place.tag if self.place else "none"
+
+    @property
+    def above(self) -> frozenset[str]:
+        return self.place.above if self.place else frozenset()
+
+    @property
+    def names(self) -> frozenset[str]:
+        """The words in classes, ids and roles above the block."""
+        return self.place.names if self.place else frozenset()
 
 
-@dataclass
 class _Reader:
     """Keeps the open elements and the block being read."""
 
-    stack: list[_Open] = field(default_factory=list)
-    held: list[str] = field(default_factory=list)
-    linked: int = 0
-    links: int = 0
-    hidden: int = 0
-    drawings: int = 0
-    blocks: list[Block] = field(default_factory=list)
+    def __init__(self, known: frozenset[str] | None):
+        self.known = known
+        self.top: _Open | None = None
+        self.count: Counter = Counter()
+        self.held: list[str] = []
+        self.linked = self.links = self.hidden = self.drawings = 0
+        self.blocks: list[Block] = []
 
     def text(self, raw: str) -> None:
-        if raw.strip():
+        if raw and not raw.isspace():
             self.end_head()
         if raw and not self.hidden:
             text = unescape(raw) if "&" in raw else raw
@@ -76,14 +117,16 @@ class _Reader:
             return
         text = " ".join("".join(self.held).split())
         if text:
-            names = frozenset().union(*(o.names for o in self.stack))
-            self.blocks.append(Block(text, tuple(o.tag for o in self.stack), names, min(self.linked, len(text))))
+            place = self.top
+            while place is not None and place.tag not in BLOCK:  # hidden elements that have ended nothing
+                place = place.around
+            self.blocks.append(Block(text, place, min(self.linked, len(text))))
         self.held.clear()
         self.linked = 0
 
     def end_head(self) -> None:
         """Text and tags that may not stand in a head end it: its end tag may be left out."""
-        if self.stack and self.stack[-1].tag == "head":
+        if self.top is not None and self.top.tag == "head":
             self.pop()
 
     def self_closed(self, tag: str, attributes: str) -> bool:
@@ -93,81 +136,123 @@ class _Reader:
     def open(self, tag: str, attributes: str) -> None:
         if tag not in IN_HEAD:
             self.end_head()
-        if tag in INLINE:
+        if tag in BLOCK:
+            self.flush()
+            self.links = 0
+            if tag in ENDS and self.top is not None:
+                self.cut(self.top.ends[ENDS[tag]])
+            # A block-level element ends an open paragraph.
+            if self.top is not None and self.top.tag == "p":
+                self.pop()
+        elif tag not in HIDDEN:
             if tag == "a":
                 self.links = 1
             elif tag == "br":
                 self.held.append(" ")
             return
-        self.flush()
-        self.links = 0
-        if tag in ENDS:
-            self.end_implied(ENDS[tag], SCOPES[tag])
-        # A block-level element ends an open paragraph.
-        if self.stack and self.stack[-1].tag == "p":
-            self.pop()
         if tag in VOID or self.self_closed(tag, attributes):
             return
-        found = {w for groups in NAMES.findall(attributes) for g in groups for w in WORDS.findall(g.lower())} if attributes else ()
-        self.stack.append(_Open(tag, frozenset(found)))
+        found = frozenset()
+        if attributes and tag in BLOCK:
+            found = frozenset(w for groups in NAMES.findall(attributes) for g in groups for w in WORDS.findall(g.lower()))
+            found = found if self.known is None else found & self.known
+        self.top = _Open(tag, self.top, found)
+        self.count[tag] += 1
         self.hidden += tag in HIDDEN
         self.drawings += tag == "svg"
 
-    def end_implied(self, tags: frozenset[str], scope: set[str]) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag in scope:
-                return
-            if self.stack[i].tag in tags:
-                self.cut(i)
-                if tags <= {"li", "dt", "dd", "option"}:
-                    return
-
     def pop(self) -> None:
-        tag = self.stack.pop().tag
+        tag = self.top.tag
+        self.top = self.top.around
+        self.count[tag] -= 1
         self.hidden -= tag in HIDDEN
         self.drawings -= tag == "svg"
 
-    def cut(self, to: int) -> None:
-        while len(self.stack) > to:
+    def cut(self, depth: int) -> None:
+        while depth >= 0 and self.top is not None and self.top.depth >= depth:
             self.pop()
 
     def close(self, tag: str) -> None:
-        if tag in INLINE:
+        if tag not in BLOCK and tag not in HIDDEN:
             if tag == "a":
                 self.links = 0
             return
-        self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                self.cut(i)
+        if tag in BLOCK:
+            self.flush()
+        while self.count[tag]:
+            last = self.top.tag
+            self.pop()
+            if last == tag:
                 return
 
 
-def leaf_blocks(html: str) -> list[Block]:
+class _Tags:
+    """Finds tags; remembers that a quote has no end, so as to look for it once."""
+
+    def __init__(self, html: str):
+        self.html, self.unended = html, set()
+
+    def end(self, at: int) -> int:
+        """Where the tag whose attributes begin here ends: its ``>``, or the end of the page.
+        Between quotes after ``=`` there may be a ``>``; a quote that never ends is a letter."""
+        html = self.html
+        while True:
+            stop = STOP.search(html, at)
+            if stop is None:
+                return len(html)
+            if stop[0] == ">":
+                return stop.start()
+            quoted = QUOTE.match(html, stop.start())
+            at = stop.end()
+            if quoted and quoted[1] not in self.unended:
+                close = html.find(quoted[1], quoted.end())
+                if close < 0:
+                    self.unended.add(quoted[1])
+                else:
+                    at = close + 1
+
+
+def leaf_blocks(html: str, known: frozenset[str] | None = None) -> list[Block]:
     """The leaf blocks of a page in page order; hidden elements have none.
 
-    Time grows with the page's length: every tag is read once.
-    """
-    reader = _Reader()
+    ``known`` bounds the words of classes, ids and roles that blocks keep."""
+    reader, tags = _Reader(known), _Tags(html)
     at, n = 0, len(html)
-    while at < n:
-        found = MARKUP.search(html, at)
-        if found is None:
-            reader.text(html[at:])
-            break
-        reader.text(html[at : found.start()])
-        at = found.end()
-        tag = found.group(2)
-        if tag is None:
+    ends: dict[str, re.Pattern] = {}
+    begin = 0  # of text not yet given to the reader
+    while (start := html.find("<", at)) >= 0:
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            after = n if end < 0 else end + 3
+            name = None
+        elif html[start + 1 : start + 2] in ("!", "?"):
+            end = html.find(">", start)
+            after = n if end < 0 else end + 1
+            name = None
+        else:
+            closing = html.startswith("/", start + 1)
+            letter = html[start + 1 + closing : start + 2 + closing]
+            if not (letter.isascii() and letter.isalpha()):
+                at = start + 1
+                continue
+            name = TAG_NAME.match(html, start + 1 + closing)
+            end = tags.end(name.end())
+            after = min(n, end + 1)
+        reader.text(html[begin:start])
+        begin = at = after
+        if name is None:
             continue
-        tag = tag.lower()
-        if found.group(1):
+        tag, attributes = name[0].lower(), html[name.end() : end]
+        if closing:
             reader.close(tag)
             continue
-        reader.open(tag, found.group(3))
-        if tag in RAW and not reader.self_closed(tag, found.group(3)):
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
-            at = n if end is None else end.end()
+        reader.open(tag, attributes)
+        if tag in RAW and not reader.self_closed(tag, attributes):
+            if tag not in ends:
+                ends[tag] = re.compile(rf"</{tag}\s*+>", re.IGNORECASE)
+            found = ends[tag].search(html, at)
+            begin = at = n if found is None else found.end()
             reader.close(tag)
+    reader.text(html[begin:])
     reader.flush()
     return reader.blocks

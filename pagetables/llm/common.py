@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,16 +57,38 @@ class Tucked:
         return [F.col(f"_in{i}").alias(c) for i, c in enumerate(self.names) if c not in replaced]
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+# The session's bound of the Arrow batches that Python tasks are sent.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def stored(frame: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage is cut, later jobs
-    read the same rows whatever executors are lost, and it holds no memory."""
+    read the same rows whatever executors are lost, and it holds no memory.
+
+    ``batch_bytes`` bounds the Arrow batches of this write, for steps that hold long texts."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     schema = frame.schema
-    frame.write.parquet(path)
+    before = spark.conf.get(BATCH, None)
+    if batch_bytes:
+        spark.conf.set(BATCH, str(batch_bytes))
+    try:
+        frame.write.parquet(path)
+    finally:
+        if batch_bytes and before is not None:
+            spark.conf.set(BATCH, before)
     return spark.read.schema(schema).parquet(path)
 
 
+def once_a_worker(name: str, make: Callable[[], object]) -> object:
+    """A thing that is costly to make, kept by the worker process for its later tasks.  What
+    tasks run is sent by value, so a module of ours would be a new one in each of them."""
+    held = sys.modules.setdefault("_pagetables_held", ModuleType("_pagetables_held"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
+
+
 def released(*frames: DataFrame) -> None:
     """Frees the space of ``stored`` frames that nothing will read again."""
     for frame in frames:

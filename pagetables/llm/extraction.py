@@ -18,8 +18,8 @@ rows each get a row; an empty table gives no rows; columns that clash are replac
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import cache
+from dataclasses import dataclass, replace
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,11 +56,10 @@ def features(block: Block, at: int, n: int) -> list[str]:
     words = size and text.count(" ") + 1
     linked = block.linked / size
     digits = sum(map(text.count, "0123456789")) / size
-    own = block.tags[-1] if block.tags else "none"
     return [
         "any",
-        f"own {own}",
-        *{f"in {t}" for t in block.tags},
+        f"own {block.own}",
+        *(f"in {t}" for t in block.above),
         *(f"named {w}" for w in block.names),
         f"words {min(7, int(np.log2(words)))}",
         f"links {int(linked * 3.99)}",
@@ -79,6 +78,11 @@ class Field:
     weights: dict[str, tuple[float, float]]
     turns: np.ndarray
 
+    @cached_property
+    def known(self) -> frozenset[str]:
+        """The words of classes, ids and roles that have a weight."""
+        return frozenset(name.removeprefix("named ") for name in self.weights if name.startswith("named "))
+
     def scores(self, blocks: list[Block]) -> np.ndarray:
         rows = np.zeros((len(blocks), 2))
         for i, block in enumerate(blocks):
@@ -246,7 +250,7 @@ def labelled_pages(n: int = LABELLED, seed: int = 5) -> list[tuple[list[Block],
     for _ in range(n):
         blocks = leaf_blocks(maker.page())
         labels = [maker.MARK in b.text for b in blocks]
-        pages.append(([Block(b.text.replace(maker.MARK, ""), b.tags, b.names, b.linked) for b in blocks], labels))
+        pages.append(([replace(b, text=b.text.replace(maker.MARK, "")) for b in blocks], labels))
     return [(blocks, labels) for blocks, labels in pages if blocks and all(b.text for b in blocks)]
 
 
@@ -256,7 +260,7 @@ def default_field() -> Field:
 
 
 def main_text(html: str, field: Field) -> str:
-    blocks = leaf_blocks(html)
+    blocks = leaf_blocks(html, field.known)
     return "\n".join(b.text for b, keep in zip(blocks, field.decode(blocks)) if keep)
 
 

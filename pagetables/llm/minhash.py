@@ -49,7 +49,9 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 LEAST, OF = 75, 100
 ESTIMATE = 0.55
-BATCH_BYTES = 2 * 1024 * 1024
+BATCH_BYTES = 256 * 1024  # texts hashed at once; longer ones are hashed in pieces of that size
+BATCH_ROWS = 1024
+ARROW_BYTES = 4 * 1024 * 1024
 SMALL = 16  # members of a bucket whose strays meet the others as pairs
 BLOCK = 256  # strays, or members, of one block of a larger bucket
 FILTER_BITS = 1 << 26
@@ -90,31 +92,90 @@ _tables: dict[str, np.ndarray] = {}
 
 
 def powers(step: np.uint64, n: int) -> np.ndarray:
+    """The first powers of a step; ``n`` is bounded by what is hashed at once."""
     held = _tables.get(str(step))
     if held is None or len(held) < n:
         held = _tables[str(step)] = _powers(step, max(n, 1 << 16))
     return held[:n]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of every word of several texts that lie one after the other.
+def _words_at(data: np.ndarray, border: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, length and polynomial hash of the words in a stretch of bytes.
 
-    Prefix sums of letters times powers of a step give each word's polynomial hash as a
-    difference, times the inverse power of its place.
+    Prefix sums of letters times powers of a step give each word's hash as a difference, times
+    the inverse power of its place.
     """
     n = len(data)
-    if not n:
-        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     solid = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
-    border = np.zeros(n + 1, dtype=bool)
-    border[offsets] = True
-    before = np.r_[False, solid[:-1]] & ~border[:-1]
-    after = np.r_[solid[1:], False] & ~border[1:]
+    before, after = np.r_[False, solid[:-1]], np.r_[solid[1:], False]
+    if border is not None:
+        before, after = before & ~border[:-1], after & ~border[1:]
     starts, ends = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_LETTER[data] * powers(_STEP, n), out=sums[1:])
-    words = mixed((sums[ends] - sums[starts]) * powers(_STEP_BACK, n)[starts] + (ends - starts).astype(np.uint64))
-    return words, np.searchsorted(offsets, starts, side="right") - 1
+    return starts, ends - starts, (sums[ends] - sums[starts]) * powers(_STEP_BACK, n)[starts]
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every word of several texts that lie one after the other."""
+    if not len(data):
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    border = np.zeros(len(data) + 1, dtype=bool)
+    border[offsets] = True
+    starts, lengths, raw = _words_at(data, border)
+    return mixed(raw + lengths.astype(np.uint64)), np.searchsorted(offsets, starts, side="right") - 1
+
+
+def word_hashes_in_pieces(data: np.ndarray, size: int = BATCH_BYTES) -> Iterator[np.ndarray]:
+    """The words' hashes of one long text, piece by piece; a word may lie across pieces."""
+    open_raw, open_length = 0, 0
+    for at in range(0, len(data), size):
+        starts, lengths, raw = _words_at(data[at : at + size])
+        lengths = lengths.astype(np.uint64)
+        if open_length:
+            if len(starts) and starts[0] == 0:
+                raw[0] = np.uint64((open_raw + pow(int(_STEP), open_length, 1 << 64) * int(raw[0])) % (1 << 64))
+                lengths[0] += np.uint64(open_length)
+            else:
+                raw, lengths = np.r_[np.uint64(open_raw), raw], np.r_[np.uint64(open_length), lengths]
+            open_length = 0
+        here = min(size, len(data) - at)
+        if at + size < len(data) and len(starts) and data[at + here - 1] != 0x20 and not 0x09 <= data[at + here - 1] <= 0x0D:
+            open_raw, open_length = int(raw[-1]), int(lengths[-1])
+            raw, lengths = raw[:-1], lengths[:-1]
+        yield mixed(raw + lengths)
+    if open_length:
+        yield mixed(np.array([(open_raw + open_length) % (1 << 64)], dtype=np.uint64))
+
+
+def shingled(words: np.ndarray) -> np.ndarray:
+    long = len(words) - WORDS + 1
+    return mixed(reduce(add, (words[i : i + long] * _PLACE[i] for i in range(WORDS))))
+
+
+def shingled_whole(words: np.ndarray) -> np.ndarray:
+    """The one shingle of a text of fewer words than a shingle has."""
+    n = len(words)
+    if not n:
+        return np.empty(0, dtype=np.uint64)
+    return mixed((words * _PLACE[:n]).sum(keepdims=True) + _PLACE[WORDS:] * np.uint64(n))
+
+
+def set_of_long_text(data: np.ndarray) -> np.ndarray:
+    """Sorted distinct shingle hashes of a text that is hashed in pieces."""
+    last = np.empty(0, dtype=np.uint64)
+    merged, fresh = np.empty(0, dtype=np.uint64), []
+    for words in word_hashes_in_pieces(data):
+        words = np.concatenate([last, words])
+        if len(words) >= WORDS:
+            fresh.append(shingled(words))
+            last = words[len(words) - WORDS + 1 :].copy()
+        else:
+            last = words
+        if sum(map(len, fresh)) > max(1 << 18, len(merged) // 2):  # so that copies don't pile up
+            merged, fresh = np.unique(np.concatenate([merged, *fresh])), []
+    merged = np.unique(np.concatenate([merged, *fresh]))
+    return merged if len(merged) else shingled_whole(last)
 
 
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
@@ -124,24 +185,27 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     buffers = texts.buffers()
     offsets = np.frombuffer(buffers[1], dtype=np.int64, count=len(texts) + 1 + texts.offset)[texts.offset :]
     data = np.frombuffer(buffers[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
-    words, owners = word_hashes(data, offsets - offsets[0])
+    offsets = offsets - offsets[0]
+    if len(data) > BATCH_BYTES:
+        return [set_of_long_text(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    words, owners = word_hashes(data, offsets)
     bounds = np.searchsorted(owners, np.arange(len(texts) + 1))
-    long = len(words) - WORDS + 1
-    if long > 0:
-        shingles = mixed(reduce(add, (words[i : i + long] * _PLACE[i] for i in range(WORDS))))
+    shingles = shingled(words) if len(words) >= WORDS else words
     sets = []
     for begin, end in zip(bounds[:-1], bounds[1:]):
-        n = end - begin
-        if n >= WORDS:
+        if end - begin >= WORDS:
             sets.append(np.unique(shingles[begin : end - WORDS + 1]))
-        elif n:
-            whole = (words[begin:end] * _PLACE[:n]).sum(keepdims=True) + _PLACE[WORDS:] * np.uint64(n)
-            sets.append(mixed(whole))
         else:
-            sets.append(np.empty(0, dtype=np.uint64))
+            sets.append(shingled_whole(words[begin:end]))
     return sets
 
 
+def _cut(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    for batch in by_bytes(batches, column, BATCH_BYTES):
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def samples_of(hashes: np.ndarray, space: np.ndarray) -> np.ndarray:
     """The minimum of the hashes under each of ``SAMPLES`` permutations of 32-bit numbers."""
     low = np.full(SAMPLES, 0xFFFFFFFF, dtype=np.uint32)
@@ -176,7 +240,7 @@ def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = np.empty((SAMPLES, 512), dtype=np.uint32)
-        for batch in by_bytes(batches, 1, BATCH_BYTES):
+        for batch in _cut(batches, 1):
             sets = shingle_sets(batch.column(1))
             samples = np.stack([samples_of(s, space) for s in sets])
             keys, odd = sketches(samples)
@@ -208,7 +272,7 @@ def whole_sets(docs: DataFrame, text: str, key: str, ids: DataFrame) -> DataFram
         table = np.zeros((FILTER_BITS // 32768 + 2, 4096), dtype=np.uint8)
         for part, some_bits in bits.items():
             table[part] = np.frombuffer(some_bits, dtype=np.uint8)
-        for batch in by_bytes(batches, 1, BATCH_BYTES):
+        for batch in _cut(batches, 1):
             parts, positions = (batch.column(c).to_numpy() for c in (2, 3))
             wanted = (table[parts, positions >> 3] >> (positions & 7).astype(np.uint8)) & 1
             some = batch.filter(pa.array(wanted.astype(bool)))
@@ -279,7 +343,7 @@ class _Linker:
         self.docs, self.reps, self.text, self.key = docs, reps, text, key
 
     def sets(self, ids: DataFrame, name: str) -> DataFrame:
-        return stored(whole_sets(self.docs, self.text, self.key, ids), f"{name}-sets")
+        return stored(whole_sets(self.docs, self.text, self.key, ids), f"{name}-sets", ARROW_BYTES)
 
     def confirmed_in_blocks(self, strays: DataFrame, members: DataFrame, name: str) -> DataFrame:
         """Links of ``strays(key, rep, own)`` with the ``members`` of their buckets."""
@@ -333,7 +397,7 @@ def _pairs(rows: DataFrame, other: str) -> DataFrame:
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every row."""
-    signed = stored(signatures(docs, text, key), "signatures")
+    signed = stored(signatures(docs, text, key), "signatures", ARROW_BYTES)
     named = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = stored(named.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
     mine = (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))

@@ -131,5 +131,5 @@ def _mixed(tucked: Tucked, key: str, text: str, source: str, seed: str, rows_per
 
 def first_words(text: Column, count: Column) -> Column:
     """The text up to the end of its ``count``-th word."""
-    pieces = F.split(F.ltrim(text), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    pieces = F.split(F.ltrim(text, F.lit(" \t\n\x0b\x0c\r")), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     return F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), count.cast("int")), ""), SPACE + "$", "")

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import by_bytes
-from pagetables.llm.common import stored
+from pagetables.llm.common import once_a_worker, stored
 
 CAPACITY = 1024
 END = 2
 GROUP = 8_192
-BATCH_BYTES = 4 * 1024 * 1024
+BATCH_BYTES = 1024 * 1024
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 PLACES = "row bigint, sequence_id bigint, offset bigint"
 # Fixed value: how a byte-level BPE of this kind parts a text before it merges.
@@ -92,7 +92,7 @@ def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: i
     path = tokenizer or default_tokenizer()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = once_a_worker(f"encoder {path}", lambda: Encoder(path))
         for batch in by_bytes(batches, 1, BATCH_BYTES):
             out: list[tuple] = []
             texts = batch.column(1).fill_null("").to_pylist()
@@ -248,7 +248,7 @@ def packed(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: i
     """All pieces with ``ids_crc32``, ``sequence_id`` and ``offset``; with their ids if asked."""
     cut = pieces(docs, text, key, capacity, tokenizer).withColumn("ids_crc32", F.crc32("ids"))
     cut = cut.withColumn("row", F.monotonically_increasing_id())
-    cut = stored(cut if ids else cut.drop("ids"), "pieces")
+    cut = stored(cut if ids else cut.drop("ids"), "pieces", 4 * BATCH_BYTES)
     return cut.join(placed(cut.select("row", "length"), capacity), "row").drop("row")
 
 

@@ -1,11 +1,15 @@
 """Operators on documents: defined cases, brute force, properties."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,9 +141,47 @@ def test_index_follows_a_table(spark):
     assert content(exactdedup.delete(index, gone, first)) == {digest("a"): (2, 2), digest("b"): (3, 1)}
 
 
+def test_first_words_whatever_leads(spark):
+    for lead in ("", " ", "\n\n", "\t\x0b", "\x0c\r \n"):
+        frame = spark.createDataFrame([(f"{lead}foo  bar\nbaz ",)], "text string")
+        got = frame.select(*[mixing.first_words(F.col("text"), F.lit(n)).alias(str(n)) for n in (1, 2, 3)]).first()
+        assert [count for count in map(str.split, got)] == [["foo"], ["foo", "bar"], ["foo", "bar", "baz"]]
+
+
 # Near duplicates
 
 
+def test_words_hashed_in_pieces_equal_words_at_once():
+    rng = random.Random(12)
+    for _ in range(200):
+        bits = ["ab", "c", " ", "\n", "  ", "Wort", "é", ".", "x" * 7]
+        data = np.frombuffer("".join(rng.choice(bits) for _ in range(rng.randrange(300))).encode(), dtype=np.uint8)
+        whole, _ = minhash.word_hashes(data, np.array([0, len(data)]))
+        for size in (1, 3, 50, 1000):
+            parts = [*minhash.word_hashes_in_pieces(data, size), np.empty(0, dtype=np.uint64)]
+            assert np.array_equal(np.concatenate(parts), whole)
+    for text in ("a b c d", "", " \n", "one two three four five", "x" * 1000):
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        assert np.array_equal(minhash.set_of_long_text(data), minhash.shingle_sets(pa.array([text]))[0])
+
+
+def test_a_64_mb_text_takes_bounded_memory():
+    """In a process of its own, which has 1.2 GB in all."""
+    code = """
+import resource, sys
+sys.path.insert(0, %r)
+import numpy as np
+from pagetables.llm import minhash
+data = np.frombuffer(b"".join(b"w%%06d " %% (i %% 900000) for i in range(8_000_000)), dtype=np.uint8)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+found = minhash.set_of_long_text(data)
+minhash.samples_of(found[:1000], np.empty((minhash.SAMPLES, 512), dtype=np.uint32))
+print(len(found), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+""" % os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) == 900_000 and int(out[1]) < 400
+
+
 def shingles(text):
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").replace("\x0b", " ")
     for space in "\t\n\x0c\r":

@@ -2,7 +2,10 @@
 
 import json
 import random
+import time
+import tracemalloc
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pagetables.llm import extraction, queries, toolcalls, topk, urlfilter
-from pagetables.llm.blocks import leaf_blocks
+from pagetables.llm.blocks import BLOCK, HIDDEN, VOID, leaf_blocks
 from pagetables.llm.components import components
 
 
@@ -288,9 +291,82 @@ def test_open_heads_and_self_closed_drawings_hide_no_text():
         assert [b.text for b in blocks] == ["T", "A b.", "end"] and blocks[0].tags == ("body", "div", "article", "h1"), drawing
 
 
-def test_unclosed_pages_take_linear_time():
-    blocks = leaf_blocks("<td>x" * 100_000)
-    assert len(blocks) == 100_000 and len(blocks[-1].tags) == 1
+def test_running_text_keeps_its_block():
+    page = "<p>See <svg/> this <button>x</button> now <my-tag>word</my-tag> end <script>no</script> tail<svg><text>no</text></svg>!</p><p>b"
+    assert [(b.text, b.own) for b in leaf_blocks(page)] == [("See this x now word end tail!", "p"), ("b", "p")]
+    assert extraction.main_text(f"<article><h1>T</h1>{page}</article>", extraction.default_field()) == "T\nSee this x now word end tail!\nb"
+
+
+UNCLOSED = ["<td>x", "<div>x", "<div class=content>x", "<tr>x", "<li>x<ul>", "<dt>x", "<div><tr>", "<a ", "<a b='", '<a "', "<", "</div", "<!--", "<svg>", "<b>x", "</section>x"]
+
+
+@pytest.mark.parametrize("bit", UNCLOSED)
+def test_broken_pages_take_linear_time_and_memory(bit):
+    page = bit * (200_000 // len(bit)) + '"'
+    field = extraction.default_field()
+    begin = time.process_time()
+    blocks = leaf_blocks("<section>" + page, field.known)
+    field.decode(blocks)
+    assert time.process_time() - begin < 5
+    tracemalloc.start()
+    leaf_blocks("<section>" + page, field.known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    if bit == "<div>x":
+        assert len(blocks) == len(page) // len(bit) and blocks[-1].above == {"section", "div"}
+
+
+class _Plain(HTMLParser):
+    """Blocks by Python's own parser, for pages whose tags are all closed."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.held, self.blocks = [], [], []
+
+    def flush(self):
+        text = " ".join("".join(self.held).split())
+        if text:
+            self.blocks.append((text, tuple(t for t in self.stack if t in BLOCK)))
+        self.held = []
+
+    def handle_starttag(self, tag, attributes):
+        if tag in BLOCK:
+            self.flush()
+        if tag == "br":
+            self.held.append(" ")
+        elif tag not in VOID:
+            self.stack.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in BLOCK:
+            self.flush()
+        if tag in self.stack:
+            self.stack.pop()
+
+    def handle_data(self, data):
+        if not set(self.stack) & HIDDEN:
+            self.held.append(data)
+
+
+def test_blocks_of_closed_pages_equal_the_standard_parser():
+    rng = random.Random(11)
+
+    def part(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.4:
+            return rng.choice(["x", " y ", "&lt;a&gt; ", "é\n", "<br>", "<!-- <p>no</p> -->", "<script>if (a<b) '<p>'</script>", "1 < 2 "])
+        tag = rng.choice(["div", "section", "ul", "table", "b", "my-tag", "button", "span", "svg", "blockquote", "h2", "article"])
+        value = rng.choice(["", " class='a>b'", ' id="x y"', " hidden"])
+        return f"<{tag}{value}>" + "".join(part(depth - 1) for _ in range(rng.randrange(4))) + f"</{tag}>"
+
+    for _ in range(300):
+        page = "".join(part(5) for _ in range(4))
+        plain = _Plain()
+        plain.feed(page)
+        plain.close()
+        plain.flush()
+        assert [(b.text, b.tags) for b in leaf_blocks(page)] == plain.blocks, page
 
 
 def test_field_prefers_and_decodes_as_brute_force():
