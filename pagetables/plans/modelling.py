@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from pagetables.corpus import advised_documents
 from pagetables.corpus import model_schemas as modelled
 from pagetables.corpus import revised_schemas as revised
+from pagetables.functions.shared import new_path
+from pagetables.operators.answers import answered
 from pagetables.operators.extract import extract_tables
 from pagetables.operators.metrics import metrics_of, phase_summary
 from pagetables.operators.select import select_tables
@@ -132,3 +135,42 @@ def feedback_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     schemas = revised(part_schemas(spark, sf_dir), first, revising_model)
     return revised(schemas, second, revising_model).select("schema_id", "name", "version")
+
+
+def pricing_model(prompt: str, options: dict) -> dict:
+    """A stand-in that answers each call differently, and has no answer for open orders."""
+    if "status P" in prompt:
+        raise LookupError("no price yet")
+    return {"content": f"{len(prompt)} {uuid.uuid4().hex}", "total_tokens": len(prompt)}
+
+
+def silent_model(prompt: str, options: dict) -> dict:
+    raise RuntimeError("asked again")
+
+
+@query("""
+  SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'Error: no price yet' ELSE CAST(length(prompt) AS VARCHAR) END AS content,
+         CASE WHEN o_orderstatus = 'P' THEN 'no price yet' END AS error,
+         CASE WHEN o_orderstatus <> 'P' THEN CAST(length(prompt) AS BIGINT) END AS total_tokens,
+         CAST(CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS INTEGER) AS tries, true AS one_answer
+  FROM (SELECT *, 'Price of ' || o_orderpriority || ' in status ' || o_orderstatus || ' of ' || strftime(o_orderdate, '%Y-%m') AS prompt
+        FROM orders)""")
+def stored_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's prompt, which many share, answered through a store.  The second run asks
+    failed ones once more; the third asks nothing, with a model that would fail."""
+    orders = render.load(spark, sf_dir, "orders")
+    prompt = F.concat(
+        F.lit("Price of "), "o_orderpriority", F.lit(" in status "), "o_orderstatus", F.lit(" of "),
+        F.date_format("o_orderdate", "yyyy-MM"),
+    )
+    prompts = orders.select("o_orderkey", "o_orderpriority", "o_orderstatus", prompt.alias("asked"), prompt.alias("prompt"))
+    store = new_path(spark, "answers")
+    for model_fn in (pricing_model, pricing_model, silent_model):
+        found = answered(prompts, model_fn, store, calls_per_round=500, most_tries=2)
+    contents = found.groupBy("asked").agg(F.min("content").alias("least"), F.max("content").alias("most"))
+    same = contents.select("asked", (F.col("least") == F.col("most")).alias("one_answer"))
+    return found.join(same, "asked").select(
+        "o_orderkey",
+        F.when(F.col("error").isNull(), F.substring_index("content", " ", 1)).otherwise(F.col("content")).alias("content"),
+        "error", "total_tokens", "tries", "one_answer",
+    )

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables.functions.shared import new_path
 from pagetables.functions.text import basename, dataset_id
 from pagetables.operators.csvschema import csv_tables
 from pagetables.operators.extract import page_status, texts_of
 from pagetables.operators.shred import shred
 from pagetables.plans import render
 from pagetables.plans.registry import LINES, query
+from pagetables.sources.csvsplits import read_csv_records
 from pagetables.sources.csvtext import parse_csv
 from pagetables.sources.documents import format_of, with_extension
 from pagetables.sources.files import guard_size, read_pages, route_source
@@ -110,6 +112,25 @@ def csv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "row_no", F.posexplode("cells").alias("pos", "value"))
 
 
+@query("""
+  SELECT CAST(doc_id AS VARCHAR) AS name, CAST(unnest(range(len(ls))) AS BIGINT) AS pos, unnest(ls) AS value
+  FROM (SELECT doc_id, [CAST(doc_id AS VARCHAR), coalesce(lang, ''), coalesce(source, ''), coalesce(text, '')] AS ls FROM documents)""")
+def split_csv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents written as CSV files and read back over splits: line ends, commas and
+    quotes within a text, and a file that many tasks read."""
+    folder = new_path(spark, "csv")
+    docs = render.load(spark, sf_dir, "documents")
+    quoted = [
+        F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+        for c in ("doc_id", "lang", "source", "text")
+    ]
+    docs.select(F.concat_ws(",", *quoted).alias("value")).write.text(folder)
+    rows = read_csv_records(spark, folder, chunk_bytes=65_536)
+    return rows.select(F.col("cells")[0].alias("name"), F.posexplode("cells").alias("pos", "value")).select(
+        "name", F.col("pos").cast("long").alias("pos"), "value"
+    )
+
+
 @query("""
   SELECT o_orderkey AS doc_id, CASE o_orderkey % 3
            WHEN 0 THEN 'Error: ''utf-8'' codec can''t decode byte 0xff in position 0: invalid start byte'
