@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import once
+from pagetables.functions.shared import kept, new_path
 from pagetables.functions.text import basename, bind, json_text
 from pagetables.operators.infer import COLUMN_DDL, TYPE_ALIASES, described
 from pagetables.operators.parse import (
@@ -129,18 +130,79 @@ def definition_columns(definitions: Column) -> Column:
 # --- versions -----------------------------------------------------------------------------
 
 
-def _original_name(name: Column, round_no: Column, renames: Column) -> Column:
-    """What a column was called before all renames that come before a round.
+def _with_rename_before(rows: DataFrame, name: str, renames: DataFrame) -> DataFrame:
+    """Rows with ``(up_round, up_name)``: the last rename to their ``name`` in an earlier round.
 
-    ``renames`` are of one schema, the last first; one pass follows a name back.
+    An as-of join by one sort of both sides.  Rounds are cut at the log's percentiles, so a
+    schema or a name of much of the log is sorted by many tasks; what the earlier parts end
+    with is carried over by a window of one row a part.
     """
-    start = F.struct(name.alias("name"), round_no.alias("round"))
+    points = rows.agg(F.percentile_approx("round", [i / 100 for i in range(1, 100)], 1000).alias("points"))
+    event = F.struct(F.col("round").alias("round"), F.col("old").alias("name"))
+    kind = event_type(renames, event)
+    asks = rows.select(
+        "schema_id", F.col(name).alias("_key"), "round", F.lit(0).alias("_kind"), F.lit(None).cast(kind).alias("_event"),
+        F.struct(*rows.columns).alias("_row"),
+    )
+    events = renames.select(
+        "schema_id", F.col("to").alias("_key"), "round", F.lit(1).alias("_kind"), event.alias("_event"),
+        F.lit(None).cast(asks.schema["_row"].dataType).alias("_row"),
+    )
+    both = asks.unionByName(events).withColumn("_points", points.scalar()).withColumn(
+        "_part", F.coalesce(F.size(F.filter("_points", lambda p: p < F.col("round"))), F.lit(0))
+    ).drop("_points")
+    # A round's own renames come after what it asks; of one round's, the largest name is last.
+    inside = Window.partitionBy("schema_id", "_key", "_part").orderBy("round", "_kind", "_event").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    here = both.withColumn("_here", F.last("_event", ignorenulls=True).over(inside)).filter("_kind = 0")
+    ends = events.withColumn("_points", points.scalar()).groupBy(
+        "schema_id", "_key", F.coalesce(F.size(F.filter("_points", lambda p: p < F.col("round"))), F.lit(0)).alias("_part")
+    ).agg(F.max("_event").alias("_end"))
+    keys = here.select("schema_id", "_key", "_part").distinct().join(ends, ["schema_id", "_key", "_part"], "full")
+    ahead = Window.partitionBy("schema_id", "_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = keys.withColumn("_before", F.max("_end").over(ahead)).filter(F.col("_before").isNotNull()).drop("_end")
+    found = F.coalesce("_here", "_before")
+    return here.join(carried, ["schema_id", "_key", "_part"], "left").select(
+        "_row.*", found["round"].alias("up_round"), found["name"].alias("up_name")
+    )
+
+
+def event_type(renames: DataFrame, event: Column):
+    return renames.select(event.alias("e")).schema["e"].dataType
 
-    def back(at: Column, r: Column) -> Column:
-        hit = (r["to"] == at["name"]) & (r["round"] < at["round"])
-        return F.when(hit, F.struct(r["name"].alias("name"), r["round"].alias("round"))).otherwise(at)
 
-    return F.coalesce(F.aggregate(renames, start, back)["name"], name)
+def original_names(rounds: DataFrame, renames: DataFrame) -> DataFrame:
+    """``rounds`` with ``column_name`` as it was before all renames of earlier rounds.
+
+    Every row points at the rename before it, and every rename at the one before that; the
+    renames' pointers are doubled until each points at the first of its chain.  A rename is a
+    row throughout, so it doesn't matter how many a schema has; chains of n take log2 n rounds.
+    """
+    spark = rounds.sparkSession
+    nodes = _with_rename_before(renames, "old", renames).withColumn("moved", F.col("up_round").isNotNull())
+    nodes = kept(nodes, new_path(spark, "renames"))
+    while not nodes.filter("moved").isEmpty():
+        ups = nodes.filter("up_round is not null").select(
+            F.col("schema_id").alias("_s"), F.col("round").alias("_r"), F.col("old").alias("_o"),
+            F.col("up_round").alias("_round"), F.col("up_name").alias("_name"),
+        )
+        same = (F.col("schema_id") == F.col("_s")) & (F.col("up_round") == F.col("_r")) & (F.col("up_name") == F.col("_o"))
+        further = nodes.filter("up_round is not null").join(ups, same, "left").select(
+            "schema_id", "round", "old", "to", F.coalesce("_round", "up_round").alias("up_round"),
+            F.coalesce("_name", "up_name").alias("up_name"), F.col("_round").isNotNull().alias("moved"),
+        )
+        first = nodes.filter("up_round is null").select(*further.columns)
+        nodes = kept(further.unionByName(first), new_path(spark, "renames"))
+    first_name = nodes.select(
+        F.col("schema_id").alias("_s"), F.col("round").alias("_r"), F.col("old").alias("_o"),
+        F.coalesce("up_name", "old").alias("_first"),
+    )
+    same = (F.col("schema_id") == F.col("_s")) & (F.col("up_round") == F.col("_r")) & (F.col("up_name") == F.col("_o"))
+    linked = _with_rename_before(rounds, "column_name", renames)
+    pointing = linked.filter("up_round is not null").join(first_name, same, "left")
+    plain = linked.filter("up_round is null").select(*rounds.columns)
+    return pointing.withColumn("column_name", F.coalesce("_first", "column_name")).select(*rounds.columns).unionByName(plain)
 
 
 def fold_patches(patches: DataFrame) -> DataFrame:
@@ -149,7 +211,8 @@ def fold_patches(patches: DataFrame) -> DataFrame:
 
     NULL values say nothing.  A round works on the result of the one before, so a patch may
     use the name an earlier round gave.  The log is reduced to one row per schema, round and
-    column in each task before anything else; only its renames are gathered by schema.
+    column in each task before anything else, and written once; only where it holds renames
+    are names followed back.
     """
     given = F.col("value").isNotNull()
     rounds = patches.groupBy("schema_id", "round", "column_name").agg(
@@ -157,16 +220,11 @@ def fold_patches(patches: DataFrame) -> DataFrame:
         F.size(F.collect_set("field")).alias("n_fields"),
         *[F.max(F.when((F.col("field") == f) & given, F.col("value"))).alias(f) for f in PATCH_FIELDS],
     )
-    renamed = rounds.filter(F.col("name").isNotNull() & (F.col("name") != F.col("column_name")))
-    renames = renamed.groupBy("schema_id").agg(
-        F.sort_array(
-            F.collect_list(F.struct("round", F.col("column_name").alias("name"), F.col("name").alias("to"))),
-            asc=False,
-        ).alias("renames")
-    )
-    named = rounds.join(renames, "schema_id", "left").withColumn(
-        "column_name", _original_name(F.col("column_name"), F.col("round"), F.col("renames"))
+    rounds = kept(rounds, new_path(patches.sparkSession, "rounds"))
+    renames = rounds.filter(F.col("name").isNotNull() & (F.col("name") != F.col("column_name"))).select(
+        "schema_id", "round", F.col("column_name").alias("old"), F.col("name").alias("to")
     )
+    named = rounds if renames.isEmpty() else original_names(rounds, renames)
     last = [
         F.max(F.when(F.col(f).isNotNull(), F.struct("round", f)))[f].alias(f) for f in PATCH_FIELDS
     ]

@@ -290,3 +290,29 @@ def test_text_functions(spark):
     assert [r[0] for r in found] == list(urls.values())
     row = spark.range(1).select(preview(F.array(F.lit("a"), F.lit("b")), 1), preview(F.array(F.lit("a")), 1)).first()
     assert tuple(row) == ("a...", "a")
+
+
+def original_by_walking(patches):
+    """The names that columns had at first, by going back over a schema's renames in turn."""
+    found = set()
+    for schema, round_no, name, _, _ in patches:
+        renames = sorted(
+            {(r, old, new) for s, r, old, field, new in patches if s == schema and field == "name" and new and new != old}, reverse=True
+        )
+        for r, old, new in renames:
+            if new == name and r < round_no:
+                name, round_no = old, r
+        found.add((schema, name))
+    return found
+
+
+def test_names_are_followed_back_as_by_walking(spark):
+    rng = random.Random(13)
+    patches = set()
+    for _ in range(600):
+        key = (rng.randrange(6), rng.randrange(25), rng.choice("abcdef"))
+        patches.add((*key, rng.choice(["name", "name", "type"])))
+    rows = [(*key, rng.choice("abcdef") if key[3] == "name" else "int") for key in sorted(patches)]
+    frame = spark.createDataFrame(rows, "schema_id bigint, round bigint, column_name string, field string, value string")
+    got = {(r.schema_id, r.column_name) for r in fold_patches(frame).collect()}
+    assert got == original_by_walking(rows)

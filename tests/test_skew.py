@@ -43,6 +43,25 @@ def test_patches_of_a_hot_column(spark):
     assert fold_patches(patches).filter("schema_id = 0").first().type == str(HOT - 1)
 
 
+def test_renames_of_a_hot_schema(spark):
+    """One schema holds most of the log, all of it renames in one chain; others rename back and
+    forth.  Every patch is of the name that the column had at first."""
+    n = 3000
+    chain = spark.range(n).select(
+        F.lit(0).cast("long").alias("schema_id"), F.col("id").alias("round"), F.concat(F.lit("n"), "id").alias("column_name"),
+        F.lit("name").alias("field"), F.concat(F.lit("n"), F.col("id") + 1).alias("value"),
+    )
+    typed = chain.select("schema_id", "round", "column_name", F.lit("type").alias("field"), F.col("round").cast("string").alias("value"))
+    back = spark.range(1, 40).select(
+        (F.col("id") % 5 + 1).alias("schema_id"), "id", F.when(F.floor(F.col("id") / 5) % 2 == 0, "a").otherwise("b").alias("column_name"),
+        F.lit("name").alias("field"), F.when(F.floor(F.col("id") / 5) % 2 == 0, "b").otherwise("a").alias("value"),
+    )
+    rows = fold_patches(chain.union(typed).union(back)).collect()
+    hot = [r for r in rows if r.schema_id == 0]
+    assert [(r.column_name, r.name, r.type) for r in hot] == [("n0", f"n{n}", str(n - 1))]
+    assert {(r.schema_id, r.column_name) for r in rows if r.schema_id} == {(1, "b"), *((s, "a") for s in range(2, 6))}
+
+
 def test_file_of_a_hot_dataset(spark):
     files = spark.range(HOT).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("dataset"),
