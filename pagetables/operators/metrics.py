@@ -63,10 +63,29 @@ def _phase_totals(log: DataFrame) -> DataFrame:
     )
 
 
+def phase_totals(log: DataFrame) -> DataFrame:
+    """``(run_id, phase, operations, seconds, …_tokens)``: sums that can be merged further."""
+    return _phase_totals(log)
+
+
+def merged_totals(totals: DataFrame) -> DataFrame:
+    """One row per run and phase of the ``phase_totals`` of several parts of a log."""
+    return totals.groupBy("run_id", "phase").agg(
+        F.sum("operations").alias("operations"),
+        F.sum("seconds").cast(TIME).alias("seconds"),
+        *[F.sum(c).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")],
+    )
+
+
 def phase_summary(log: DataFrame) -> DataFrame:
     """One row per run and phase with totals and averages."""
+    return summary_of(_phase_totals(log))
+
+
+def summary_of(totals: DataFrame) -> DataFrame:
+    """``phase_summary`` of a log whose totals are there."""
     n = F.col("operations")
-    return _phase_totals(log).select(
+    return totals.select(
         "run_id",
         "phase",
         "operations",
@@ -145,9 +164,12 @@ def agent_detail(log: DataFrame) -> DataFrame:
 
 def run_history(log: DataFrame) -> DataFrame:
     """One row per run: total, initial and feedback time and tokens."""
-    totals = _phase_totals(log).withColumn(
-        "seconds", F.round("seconds", 3).cast("decimal(28,3)")
-    )
+    return history_of(_phase_totals(log))
+
+
+def history_of(totals: DataFrame) -> DataFrame:
+    """``run_history`` of a log whose totals are there."""
+    totals = totals.withColumn("seconds", F.round("seconds", 3).cast("decimal(28,3)"))
 
     def of(phase: str, name: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("phase") == phase, F.col(name))), F.lit(0))

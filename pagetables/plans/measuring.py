@@ -12,14 +12,17 @@ from pagetables.operators.metrics import (
     append_if_new,
     append_metrics,
     combined_report,
+    history_of,
     phase_summary,
     positive_flags,
     report_status,
     run_history,
     with_messages,
 )
+from pagetables.functions.shared import new_path
 from pagetables.plans import render
 from pagetables.plans.registry import query
+from pagetables.streaming.usage import LOG_COLUMNS, log_stream, read_totals, write_totals
 
 # Runs are users; errors have no agent, purchases and sign-ups are feedback.
 LOG = """(
@@ -138,6 +141,19 @@ def run_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_history(event_log(spark, sf_dir))
 
 
+@query(HISTORY)
+def streamed_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as a stream of three deliveries, each spread over the whole time, so most of the
+    second and third is late; the third holds the first once more."""
+    times = render.load(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("logged_at"))
+    log = event_log(spark, sf_dir).join(times, "seq").withColumn("model", F.lit(None).cast("string")).select(*LOG_COLUMNS)
+    arriving, totals, progress = (new_path(spark, name) for name in ("log", "totals", "progress"))
+    for numbers in ([0], [1], [2, 0]):
+        log.filter((F.col("seq") % 3).isin(numbers)).write.mode("append").parquet(arriving)
+        write_totals(log_stream(spark, arriving), totals, progress, "60 days").awaitTermination()
+    return history_of(read_totals(spark, totals))
+
+
 @query(f"SELECT run_id, agents, CASE WHEN run_id % 2 = 0 THEN -1.0::DOUBLE ELSE total_time_s END AS total_time_s FROM ({HISTORY}) h")
 def new_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs appended to a history that already has every second one."""
