@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables.functions.shared import new_path
 from pagetables.operators.extract import aligned_cells, extract_tables, headers_of, tables_of
 from pagetables.operators.infer import (
     infer_from_names,
@@ -16,6 +17,7 @@ from pagetables.operators.infer import (
     type_votes,
 )
 from pagetables.operators.shred import shred
+from pagetables.operators.votes import add_parts, remove_parts, stored_profile
 from pagetables.plans import render
 from pagetables.plans.registry import day, money, query
 
@@ -253,3 +255,18 @@ def type_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("format"),
     )
     return normalise_types(parts)
+
+
+@query(profile_sql("lineitem", FIELDS["lineitem"], "l_returnflag"))
+def updated_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items profiled as they arrive: two deliveries, one of them made twice, and one that is
+    taken out again; no delivery reads another one's rows."""
+    store = new_path(spark, "votes")
+    items = strings(spark, sf_dir, "lineitem", FIELDS["lineitem"])
+    parts = items.withColumn("part", F.concat(F.lit("f"), F.pmod(F.xxhash64("l_orderkey"), F.lit(6))))
+    early = F.col("part").isin("f0", "f1", "f2")
+    wrong = parts.filter("part = 'f5'").withColumns({"part": F.lit("wrong"), "l_quantity": F.lit("none")})
+    for arriving in (parts.filter(early), wrong, parts, parts.filter(early)):
+        add_parts(arriving, store, "part", ["l_returnflag"])
+    remove_parts(spark.createDataFrame([("wrong",)], "part string"), store)
+    return stored_profile(spark, store, ["l_returnflag"])
