@@ -163,18 +163,25 @@ def select_tables(documents: DataFrame, accept: bool = True) -> DataFrame:
     )
 
 
+SPREAD = 64  # parts that the files of one dataset are ranked in
+
+
 def select_files(files: DataFrame, choices: DataFrame | None = None, group: str = "dataset") -> DataFrame:
     """``(dataset, path)``: the chosen (1-based) file of each dataset, else its first.
 
     The first file is a plain minimum, reduced in each task.  Only datasets with a choice
-    beyond the first are ranked, each up to its own choice; all others never meet a window.
+    beyond the first are ranked; all others never meet a window.  A dataset's files are ranked
+    in ``SPREAD`` parts first, of which no more than its choice stay, so one of much of the
+    files is sorted by many tasks and ends as ``SPREAD`` times its choice at most.
     """
     firsts = files.groupBy(group).agg(F.min("path").alias("path"))
     if choices is None:
         return firsts
     deeper = choices.filter(F.col("choice") > 1).select(group, "choice")
-    ranked = files.select(group, "path").join(deeper, group).withColumn(
-        "place", F.row_number().over(W.partitionBy(group).orderBy("path"))
-    )
+    part = F.pmod(F.xxhash64("path"), F.lit(SPREAD))
+    parted = files.select(group, "path", part.alias("_part")).join(deeper, group)
+    first = F.row_number().over(W.partitionBy(group, "_part").orderBy("path"))
+    nearest = parted.withColumn("place", first).filter(F.col("place") <= F.col("choice"))
+    ranked = nearest.withColumn("place", F.row_number().over(W.partitionBy(group).orderBy("path")))
     chosen = ranked.filter(F.col("place") == F.col("choice")).select(group, F.col("path").alias("chosen"))
     return firsts.join(chosen, group, "left").select(group, F.coalesce("chosen", "path").alias("path"))

@@ -71,6 +71,11 @@ def test_file_of_a_hot_dataset(spark):
     chosen = select_files(files, choices)
     assert chosen.filter("dataset = 'hot'").first().path == "00000005"
     assert chosen.filter("dataset = '3'").first().path == "00000003"
-    # Only datasets with a choice beyond the first reach the window.
+    # Only datasets with a choice beyond the first reach a window, and the parts of a dataset first.
     plan = chosen._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Window [") == 1 and "Join" in plan[plan.index("Window ["):]
+    assert plan.count("Window [") == 2 and "Join" in plan[plan.rindex("Window ["):]
+    assert "_part" in plan[plan.rindex("Window ["):].split("\n")[0]
+    large = spark.createDataFrame([("hot", 5000), ("3", 9)], "dataset string, choice int")
+    rows = {r.dataset: r.path for r in select_files(files, large).filter("dataset in ('hot', '3')").collect()}
+    names = sorted(f"{i:08d}" for i in range(HOT) if i % 3 > 0)
+    assert rows == {"hot": names[4999], "3": "00000003"}
