@@ -83,7 +83,7 @@ TOOLS = {
                 ELSE len(string_split_regex(trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+')) END AS words
       FROM conversations),
     calls AS (SELECT conv_id, turn, text, words, CASE role WHEN 'user' THEN 'ask' ELSE 'instruct' END AS name
-              FROM said WHERE role <> 'assistant'),
+              FROM said WHERE role IS DISTINCT FROM 'assistant'),
     results AS (SELECT conv_id, turn - 1 AS turn, turn AS result_turn, text AS content FROM said WHERE role = 'assistant'),
     deep AS (
       SELECT conv_id, turn, CAST(0 AS BIGINT) AS depth FROM calls c
@@ -114,8 +114,7 @@ TOOLS = {
 def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as tool calls: what a user or the system says is a call whose arguments hold the
     text, an assistant's turn is the result of the turn before it, and a call's parent is the
-    call two turns earlier.  A turn whose role is NULL is a call of ``instruct``; the SQL, which
-    the given tables are compared with, has no turns without a role."""
+    call two turns earlier.  A turn whose role is NULL is a call of ``instruct``."""
     said = table(spark, sf_dir, "conversations")
     number = F.col("turn")
 

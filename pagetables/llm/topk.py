@@ -5,7 +5,8 @@ vector's approximation holds one byte a dimension, its cell.  A cell's borders b
 component, so a query's product with an approximation lies between two bounds.  The scan
 meets blocks of queries and blocks of approximations and keeps, of each block, what may be
 among a query's k best: upper bounds not under the k-th largest lower bound, of the block
-first and then of all blocks.  Exact vectors are then read in the order of their upper
+first and then of all blocks.  Of a flat query, whose scores the cells give exactly, a block
+keeps the k best by score and id.  Exact vectors are then read in the order of their upper
 bounds: the best ``2 k`` first, and those after them only while their bound is not under the
 k-th exact score found.
 
@@ -72,10 +73,11 @@ def approximations(rows: DataFrame, grid: dict) -> DataFrame:
                 values = np.asarray(vector.values, dtype=np.float64)
                 cells.append(((values - low) // width).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(cells, pa.binary())], names=["row", "n", "cells"]
+                [batch.column(0), batch.column(1), pa.array(cells, pa.binary()), batch.column(3)],
+                names=["row", "n", "cells", "id"],
             )
 
-    return rows.select("row", "n", "v").mapInArrow(approximate, "row bigint, n int, cells binary")
+    return rows.select("row", "n", "v", "id").mapInArrow(approximate, "row bigint, n int, cells binary, id bigint")
 
 
 def _scan(grid: dict, k: int):
@@ -88,6 +90,7 @@ def _scan(grid: dict, k: int):
         n = queries.column("n")[0].as_py()
         low, width = grid[n]
         rows, own = block.column("row").to_numpy(), queries.column("q_row").to_numpy()
+        ids = block.column("id").to_numpy()
         cells = np.frombuffer(b"".join(block.column("cells").to_pylist()), dtype=np.uint8).reshape(len(rows), n)
         corner = cells.astype(np.float64) * width + low
         values = np.array(queries.column("v").to_pylist(), dtype=np.float64).reshape(len(own), n)
@@ -101,7 +104,15 @@ def _scan(grid: dict, k: int):
             mine = own[at : at + 256, None] == rows[None, :]
             least[mine] = -np.inf
             kth = np.partition(least, -k, axis=1)[:, -k, None] if len(rows) > k else np.full((len(q), 1), -np.inf)
-            i, j = np.nonzero((base + up >= kth) & ~mine)
+            keep = (base + up >= kth) & ~mine
+            # Cells say all of a query that is zero wherever they are wider than one number: its
+            # scores are known, so of many equal ones only those of the k smallest ids stay.
+            for flat in np.flatnonzero((up - down)[:, 0] == 0):
+                some = np.flatnonzero(keep[flat])
+                best = some[np.lexsort((ids[some], -base[flat, some]))][:k]
+                keep[flat] = False
+                keep[flat, best] = True
+            i, j = np.nonzero(keep)
             parts.append([own[at + i], rows[j], least[i, j], (base + up)[i, j]])
         return pa.table([pa.array(np.concatenate(c), t) for c, t in zip(zip(*parts), kinds)], names=names)
 

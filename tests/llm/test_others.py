@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,6 +261,20 @@ def test_nearest_defined_cases(spark):
     assert topk.nearest(vectors.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_flat_queries_keep_k_rows_of_a_block():
+    rng, n, k = np.random.default_rng(3), 5000, 5
+    vectors = rng.integers(-4096, 4096, (n, 8)).astype(float)
+    grid = {8: (vectors.min(axis=0), np.full(8, 128.0))}
+    cells = ((vectors - grid[8][0]) // grid[8][1]).astype(np.uint8)
+    ids = rng.permutation(n)
+    block = pa.table({"row": np.arange(n), "id": ids, "cells": [c.tobytes() for c in cells]})
+    queries_ = pa.table({"q_row": [n, 7], "n": [8, 8], "v": [[0] * 8, [0] * 8]})
+    found = topk._scan(grid, k)((0,), queries_, block).to_pydict()
+    for q, left in ((n, range(n)), (7, [i for i in range(n) if i != 7])):
+        rows = [r for a, r in zip(found["q_row"], found["row"]) if a == q]
+        assert sorted(ids[rows]) == sorted(ids[i] for i in left)[:k]
+
+
 # Main text
 
 
