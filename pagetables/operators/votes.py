@@ -59,8 +59,9 @@ def _stored(spark: SparkSession, store: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(store)
 
 
-def _next_version(rows: DataFrame) -> int:
-    return (rows.agg(F.max("version").alias("v")).first()["v"] or 0) + 1
+def _next_version(rows: DataFrame) -> Column:
+    """A version after all that are there, found by the job that writes it."""
+    return (F.coalesce(rows.agg(F.max("version").alias("last")).scalar(), F.lit(0)) + 1).cast("bigint")
 
 
 def live(rows: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def add_parts(frame: DataFrame, store: str, part: str, by: Iterable[str] = (), a
         parts = live(known).select(F.col("part").alias("_part")).distinct()
         unknown = named.join(parts, F.col("part").eqNullSafe(F.col("_part")), "left_anti")
         fresh = profile_votes(unknown, ["part", *by])
-    fresh.withColumn("version", F.lit(version).cast("bigint")).select(shaped.columns).write.mode("append").parquet(store)
+    fresh.withColumn("version", version).select(shaped.columns).write.mode("append").parquet(store)
 
 
 def remove_parts(parts: DataFrame, store: str) -> None:
@@ -93,7 +94,7 @@ def remove_parts(parts: DataFrame, store: str) -> None:
     version = _next_version(rows)
     gone = parts.select(F.col("part").cast("string").alias("part")).distinct()
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in ("part", "version")]
-    marks = gone.select("part", *empty, F.lit(version).cast("bigint").alias("version"))
+    marks = gone.select("part", *empty, version.alias("version"))
     marks.select(rows.columns).write.mode("append").parquet(store)
 
 
