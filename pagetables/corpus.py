@@ -43,8 +43,9 @@ from pagetables.operators.select import (
     select_tables,
 )
 from pagetables.operators.shred import shred
+from pagetables.sources.csvsamples import csv_samples
 from pagetables.sources.csvtext import parse_csv
-from pagetables.sources.files import guard_size
+from pagetables.sources.files import DEFAULT_MAX_MB, guard_size
 
 
 def page_documents(pages: DataFrame, max_mb: float | None = None, **options) -> DataFrame:
@@ -74,6 +75,17 @@ def dataset_schemas(
     return document_schemas(csv_documents(texts, sample=sample), kind="dataset")
 
 
+def dataset_file_schemas(
+    listing: DataFrame, choices: DataFrame | None = None, n: int = 100, max_mb: float = DEFAULT_MAX_MB
+) -> DataFrame:
+    """``dataset_schemas`` of files by name: ``listing(dataset, path)`` is all that moves.  A chosen
+    file is opened where the choice is made and read as far as its first ``n`` records."""
+    chosen = select_files(listing.select("dataset", "path"), choices)
+    sampled = csv_samples(chosen.select("path"), n, max_mb)
+    grids = sampled.select(F.col("path").alias("doc_id"), F.col("path").alias("source"), "status", "rows")
+    return document_schemas(csv_tables(grids, n), kind="dataset")
+
+
 def described_schemas(files: DataFrame) -> DataFrame:
     """Schemas as ``parse_csv`` rows describe them; other CSV texts give no row.
 

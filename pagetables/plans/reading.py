@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.functions.shared import new_path
 from pagetables.functions.text import basename, dataset_id
 from pagetables.operators.csvschema import csv_tables
-from pagetables.operators.extract import page_status, texts_of
+from pagetables.operators.extract import page_status, tables_of, texts_of
+from pagetables.operators.infer import infer_tables
 from pagetables.operators.shred import shred
 from pagetables.plans import render
 from pagetables.plans.registry import LINES, query
+from pagetables.sources.csvsamples import read_csv_samples
 from pagetables.sources.csvsplits import read_csv_records
 from pagetables.sources.csvtext import parse_csv
 from pagetables.sources.documents import format_of, with_extension
-from pagetables.sources.files import guard_size, read_pages, route_source
+from pagetables.sources.files import guard_size, list_csv, read_html_files, read_pages, route_source
+from pagetables.sources.named import read_named, write_named
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,3 +171,70 @@ def output_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", format_of(target).alias("format"),
         with_extension(target, format_of(target)).alias("path"),
     )
+
+
+def written_files(spark: SparkSession, docs: DataFrame, extension: str) -> str:
+    """Documents as files of a new folder; the pattern of the folders that hold them."""
+    folder = new_path(spark, "files")
+    write_named(docs, folder, extension)
+    return f"{folder}/docs-*/*/*"
+
+
+def stem(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]*)\.[a-z]+$", 1).cast("bigint")
+
+
+@query("""
+  SELECT source || '/' || coalesce(lang, '') || '/' || doc_id AS schema_id,
+         replace(source || '/' || coalesce(lang, '') || '/' || doc_id, '/', '%2F') || '.txt' AS name,
+         text AS doc FROM documents""")
+def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents written as one text file each, and read back."""
+    folder = new_path(spark, "texts")
+    key = F.concat_ws("/", "source", F.coalesce("lang", F.lit("")), "doc_id")
+    write_named(render.load(spark, sf_dir, "documents").select(key.alias("schema_id"), F.col("text").alias("doc")), folder, ".txt")
+    return read_named(spark, folder).select("schema_id", basename(F.col("file")).alias("name"), "doc")
+
+
+@query(HEADING_SQL)
+def file_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headings of pages that are files of their own."""
+    pages = raw_pages(spark, sf_dir).select(F.col("doc_id").alias("schema_id"), F.col("html").alias("doc"))
+    files = read_html_files(spark, written_files(spark, pages, ".html"), pattern="*.html")
+    return texts_of(shred(files), "h1").select(stem(F.col("doc_id")).alias("doc_id"), "tag", "text")
+
+
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """The CSV texts of ``document_csv`` as files."""
+    docs = render.document_csv(spark, sf_dir).select(F.col("doc_id").alias("schema_id"), F.col("content").alias("doc"))
+    return written_files(spark, docs, ".csv")
+
+
+@query(f"""
+  SELECT doc_id, CAST(strlen('no,line' || string_agg(chr(10) || line_no || ',"' || replace(line, '"', '""') || '"', '')) AS BIGINT) AS length
+  FROM {LINES} GROUP BY doc_id""")
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files by name and length."""
+    return list_csv(spark, document_files(spark, sf_dir)).select(stem(F.col("path")).alias("doc_id"), "length")
+
+
+SAMPLED_RECORDS = 3
+
+
+@query(f"""
+  SELECT doc_id, 'no,line' AS names, 'int' AS type, CAST(least(any_value(line_count), {SAMPLED_RECORDS}) AS BIGINT) AS records,
+         CAST(least(any_value(line_count), {SAMPLED_RECORDS}) - 1 AS DOUBLE) AS maximum,
+         max_by(line, line_no) FILTER (line_no < {SAMPLED_RECORDS}) AS last
+  FROM {LINES} GROUP BY doc_id""")
+def sampled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns of the first records of every file."""
+    files = read_csv_samples(spark, document_files(spark, sf_dir), SAMPLED_RECORDS)
+    grids = files.select(stem(F.col("path")).alias("doc_id"), F.col("path").alias("source"), "status", "rows")
+    tables = infer_tables(tables_of(csv_tables(grids, SAMPLED_RECORDS)))
+    number = F.col("columns")[0]
+    return tables.select(
+        "doc_id", F.array_join("headers", ",").alias("names"), number["type"].alias("type"),
+        F.size("rows").cast("long").alias("records"),
+        F.try_variant_get(number["constraints"], "$.maximum", "double").alias("maximum"),
+        F.element_at("rows", -1)[1].alias("last"),
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.corpus import csv_documents, document_schemas, page_documents
+from pagetables.functions.shared import new_path
 from pagetables.functions.text import json_text
 from pagetables.operators.infer import COLUMN_DDL
 from pagetables.operators.parse import (
@@ -35,6 +36,7 @@ from pagetables.plans import render
 from pagetables.plans.reading import raw_pages
 from pagetables.plans.registry import day, money, query
 from pagetables.sources.documents import format_raw
+from pagetables.sources.named import read_named, write_named
 
 
 def column(name: Column, kind: str, **fields: Column) -> Column:
@@ -145,6 +147,16 @@ def strict_loading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_columns(load_strict(docs.withColumn("doc", wrapped)))
 
 
+@query(LOADED)
+def named_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written schemas as one file each, in two jobs, read back whole."""
+    docs, folder = to_json_docs(part_schemas(spark, sf_dir)), new_path(spark, "schemas")
+    for rest in (0, 1):
+        write_named(docs.filter(F.col("schema_id") % 2 == rest), folder)
+    read = read_named(spark, folder).withColumn("schema_id", F.col("schema_id").cast("bigint"))
+    return loaded_columns(load_strict(read.drop("file")))
+
+
 @query(LOADED)
 def lenient_loading(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from plain JSON by the lenient reader."""
