@@ -9,22 +9,30 @@ a chain of n calls takes about log2 n rounds.  ``depth, turn, call_id`` is then
 order of a conversation.  Arguments are parsed as JSON and checked against the tool's fields;
 canonical JSON has its members sorted, no white space and one spelling of each number.
 
+A field's name is its path: ``where/city`` is a member of the member ``where``, ``tags/*`` every
+item of the array ``tags``, ``legs/*/km`` a member of every item, up to 16 parts; ``~0``, ``~1`` and
+``~2`` stand for ``~``, ``/`` and ``*`` in a member's name.  A field that is required must be in every
+object that may hold it.  Objects and arrays with no fields below them may hold anything.
+
 Statuses, the first that fits: ``no_result``, ``no_call`` (a result of an unknown call),
 ``cycle`` (its parents never end; depth NULL), ``bad_json``, ``unknown_tool``, ``invalid``,
-``ok``.  ``errors`` lists every breach as ``field: what``, sorted.
+``ok``.  ``errors`` lists every breach as ``place: what``, sorted; items have their number in it.
 
 Defined cases: calls without a conversation or an identifier can't be linked and keep their
 row as ``no_result``, as such results keep theirs as ``no_call``; of calls with the same
-identifier the first by turn counts, the number of copies is kept; an unknown parent is none; NULL arguments are ``bad_json``; empty tables
-give no rows; columns beyond the named ones are not read.
+identifier the first by turn counts, of one turn the least by parent, name and arguments, of results
+by content; the number of copies is kept; an unknown parent is none; NULL arguments are ``bad_json``,
+as are those that the variant type finds too long (16 MB); empty tables give no rows; columns beyond
+the named ones are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagetables.llm.common import stored
+from pagetables.llm.jsonform import MOST_DEPTH, breaches, guarded, marked, plain
 
 FIELDS = "name string, type string, required boolean, least double, most double, most_length int, choices array<string>"
 MOST_ROUNDS = 40
@@ -32,61 +40,14 @@ MOST_ROUNDS = 40
 
 def schema_table(spark: SparkSession, tools: dict[str, list[dict]]) -> DataFrame:
     """One row a tool: ``(tool, fields)``.  A field is a dict with the members of ``FIELDS``."""
+    for field in (f for fields in tools.values() for f in fields):
+        if field["name"].count("/") >= MOST_DEPTH:
+            raise ValueError(f"a field of more than {MOST_DEPTH} parts: {field['name']}")
     names = [f.split(" ")[0] for f in FIELDS.split(", ")]
     rows = [(tool, [tuple(field.get(n) for n in names) for field in fields]) for tool, fields in tools.items()]
     return spark.createDataFrame(rows, f"tool string, fields array<struct<{FIELDS}>>")
 
 
-def canonical(json: Column) -> Column:
-    """Canonical JSON, or NULL if the text isn't JSON.  A variant's members are sorted."""
-    return F.to_json(F.try_parse_json(json))
-
-
-def json_type(value: Column) -> Column:
-    """The JSON type of a variant."""
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | (kind == "VOID"), "null")
-        .when(kind == "STRING", "string")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(kind == "BIGINT", "integer")
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "number")
-        .when(kind.startswith("ARRAY"), "array")
-        .otherwise("object")
-    )
-
-
-def breaches(arguments: Column, fields: Column) -> Column:
-    """What is wrong with a map of arguments, as sorted texts."""
-
-    def of_field(field: Column) -> Column:
-        name = field["name"]
-        value = F.try_element_at(arguments, name)
-        kind = json_type(value)
-        number = F.try_variant_get(value, "$", "double")
-        text = F.try_variant_get(value, "$", "string")
-        right = (kind == field["type"]) | ((field["type"] == "number") & (kind == "integer"))
-
-        def said(what: str) -> Column:
-            return F.concat(name, F.lit(f": {what}"))
-
-        given = F.map_contains_key(arguments, name)
-        return (
-            F.when(~given, F.when(field["required"], said("missing")))
-            .when(~right, F.concat(name, F.lit(": "), kind, F.lit(" instead of "), field["type"]))
-            .when(number < field["least"], said("too small"))
-            .when(number > field["most"], said("too large"))
-            .when((kind == "string") & (F.length(text) > field["most_length"]), said("too long"))
-            .when(field["choices"].isNotNull() & ~F.array_contains(field["choices"], text), said("not a choice"))
-        )
-
-    known = F.transform(fields, lambda f: f["name"])
-    extra = F.transform(
-        F.array_except(F.map_keys(arguments), known), lambda n: F.concat(n, F.lit(": not a field"))
-    )
-    return F.array_sort(F.array_compact(F.concat(F.transform(fields, of_field), extra)))
-
-
 def _firsts(rows: DataFrame, *columns: str) -> DataFrame:
     """The first row of each identifier by turn, with the number of copies."""
     best = F.min(F.struct("turn", *columns)).alias("best")
@@ -137,26 +98,25 @@ def link(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("depth"), F.lit(True).alias("called"),
     )
     rows = linked.unionByName(lost, allowMissingColumns=True)
-    json = canonical(F.col("arguments"))
     checked = (
         rows.join(tools, F.col("name") == F.col("tool"), "left")
-        .withColumn("arguments", json)
-        .withColumn("members", F.when(F.col("arguments").startswith("{"), F.from_json("arguments", "map<string,variant>")))
-        .withColumn("errors", F.when(F.col("members").isNotNull() & F.col("fields").isNotNull(), breaches(F.col("members"), F.col("fields"))))
+        .withColumn("marked", marked(F.col("arguments")))
+        .withColumn("arguments", plain(F.col("marked")))
+        .withColumn("errors", F.when(F.col("marked").startswith("{") & F.col("fields").isNotNull(), breaches(F.col("marked"), F.col("fields"))))
     )
     status = (
         F.when(F.col("called").isNull(), "no_call")
         .when(F.col("result_turn").isNull() & F.col("result_copies").isNull(), "no_result")
         .when(F.col("depth").isNull(), "cycle")
-        .when(F.col("members").isNull(), "bad_json")
+        .when(~F.coalesce(F.col("marked").startswith("{"), F.lit(False)), "bad_json")
         .when(F.col("tool").isNull(), "unknown_tool")
         .when(F.size("errors") > 0, "invalid")
         .otherwise("ok")
     )
-    call = F.when(F.col("called"), F.to_json(F.struct(
-        F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), F.col("name").alias("name"),
-        F.col("content").alias("result"),
-    )))
+    call = F.when(F.col("called"), plain(F.to_json(F.struct(
+        F.try_parse_json("marked").alias("arguments"), guarded(F.col("call_id")).alias("id"), guarded(F.col("name")).alias("name"),
+        guarded(F.col("content")).alias("result"),
+    ))))
     found = checked.select(
         "conv_id", "call_id", "depth", "turn", "result_turn", "copies", "result_copies", "name", status.alias("status"),
         F.array_join("errors", "; ").alias("errors"), "arguments", "content", call.alias("call_json"),
