@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagetables.functions.shared import kept, new_path
+from pagetables.operators.history import add_runs, read_history
 from pagetables.operators.metrics import (
     FEEDBACK,
     INITIAL,
     agent_detail,
-    append_if_new,
     append_metrics,
     combined_report,
     history_of,
@@ -19,7 +20,6 @@ from pagetables.operators.metrics import (
     run_history,
     with_messages,
 )
-from pagetables.functions.shared import new_path
 from pagetables.plans import render
 from pagetables.plans.registry import query
 from pagetables.streaming.usage import LOG_COLUMNS, log_stream, read_totals, write_totals
@@ -156,10 +156,12 @@ def streamed_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT run_id, agents, CASE WHEN run_id % 2 = 0 THEN -1.0::DOUBLE ELSE total_time_s END AS total_time_s FROM ({HISTORY}) h")
 def new_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs appended to a history that already has every second one."""
-    runs = run_history(event_log(spark, sf_dir)).select("run_id", "agents", "total_time_s")
-    stored = runs.filter("run_id % 2 = 0").withColumn("total_time_s", F.lit(-1.0))
-    return append_if_new(stored, runs)
+    """Runs added to a stored history that already has every second one."""
+    runs = kept(run_history(event_log(spark, sf_dir)).select("run_id", "agents", "total_time_s"), new_path(spark, "runs"))
+    store = new_path(spark, "history")
+    add_runs(runs.filter("run_id % 2 = 0").withColumn("total_time_s", F.lit(-1.0)), store)
+    add_runs(runs, store)
+    return read_history(spark, store)
 
 
 @query(f"SELECT run_id, bool_or(total_tokens > 0) AS any_tokens, bool_or(memory_mb > 0) AS any_memory FROM {LOG} l GROUP BY run_id")
