@@ -30,6 +30,7 @@ from pagetables.llm.common import Tucked
 
 HIDDEN = 8
 WINDOW = 128
+GROUPS = 1024  # of tasks, when the least hashes of a language are looked for
 PER_LANGUAGE = 400
 PASSAGE = 512
 TRAIN_WINDOW = 64
@@ -263,13 +264,19 @@ def teaching_sample(docs: DataFrame, text: str, lang: str, key: str, per_languag
     by hash.
 
     NULL and empty texts teach nothing and take no other's place.  The languages' cutoffs are
-    found on hashes alone, of which a task sends on no more than it may need; texts are then read where they are, and only the passages come here.
+    found on hashes alone, in two levels: tasks in groups, then what is left of the groups, at
+    most ``GROUPS * per_language`` hashes of a language however large its share.  Texts are then
+    read where they are, and only the passages come here.
     """
     taught = docs.filter(F.col(lang).isNotNull() & ~held_out(F.col(key)) & (F.col(text) != ""))
     hashed = F.xxhash64(F.col(key).cast("string"), F.lit("teach"))
-    first = Window.partitionBy("lang").orderBy("hash")
-    ranked = taught.select(F.col(lang).alias("lang"), hashed.alias("hash")).withColumn("n", F.row_number().over(first))
-    cutoffs = ranked.filter(F.col("n") <= per_language).groupBy("lang").agg(F.max("hash").alias("hash")).collect()
+    least = taught.select(
+        F.col(lang).alias("lang"), hashed.alias("hash"), (F.spark_partition_id() % GROUPS).alias("tasks")
+    )
+    for keys in (["lang", "tasks"], ["lang"]):
+        first = Window.partitionBy(*keys).orderBy("hash")
+        least = least.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language).drop("n")
+    cutoffs = least.groupBy("lang").agg(F.max("hash").alias("hash")).collect()
     if not cutoffs:
         return []
     last = F.create_map(*[F.lit(x) for r in cutoffs for x in (r["lang"], r["hash"])])

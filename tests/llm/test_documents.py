@@ -536,3 +536,19 @@ def test_bitmap_passes_over_unwanted_texts(spark):
     ids = spark.range(0, 3000, 100).selectExpr("id as doc_id")
     found = {r["doc_id"] for r in minhash.whole_sets(docs, "text", "doc_id", ids).collect()}
     assert set(range(0, 3000, 100)) <= found and len(found) < 40
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_the_teaching_sample_does_not_depend_on_tasks(spark, monkeypatch, groups):
+    monkeypatch.setattr(language, "GROUPS", groups)
+    rows = [(i, "aa" if i % 3 else "bb", f"text {i}") for i in range(900)] + [(i, "cc", f"rare {i}") for i in range(900, 905)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    places = {r.doc_id: (r.hash, r.held) for r in frame.select(
+        "doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit("teach")).alias("hash"), language.held_out(F.col("doc_id")).alias("held")
+    ).collect()}
+    want = []
+    for name in ("aa", "bb", "cc"):
+        own = sorted((places[i][0], text) for i, lang, text in rows if lang == name and not places[i][1])
+        want += [(name, text.encode()) for _, text in own[:20]]
+    for parts in (1, 7):
+        assert language.teaching_sample(frame.repartition(parts), "text", "lang", "doc_id", per_language=20) == sorted(want)
