@@ -37,7 +37,9 @@ TRAIN_WINDOW = 64
 TRAIN_BATCH = 192
 STEPS = 240
 UNKNOWN = "und"
-LEAST_SCORE = 0.3
+OVER_CHANCE = 0.1  # what a score must have over that of a guess among n languages, as a part of it
+MOST_UNKNOWN = 0.2  # of the bytes of letters, those that no teaching passage has
+NO_LETTER = bytes(c for c in range(128) if not chr(c).isalpha())
 BATCH_BYTES = 2 * 1024 * 1024
 BATCH_WINDOWS = 2048
 
@@ -59,6 +61,7 @@ class Network:
     back: Direction
     out: np.ndarray  # (languages, 2 H)
     shift: np.ndarray  # (languages, 1)
+    known: bytes = b""  # the bytes of the teaching passages
 
 
 def _bend(x: np.ndarray) -> np.ndarray:
@@ -156,6 +159,7 @@ def train(samples: list[tuple[str, bytes]], hidden: int = HIDDEN, steps: int = S
     samples = [(lang, p) for lang, p in samples if p]
     languages = sorted({lang for lang, _ in samples})
     net = initial(languages, hidden)
+    net.known = bytes(sorted(set().union(*(p for _, p in samples))))
     if len(languages) < 2:
         return net
     by_language = [[np.frombuffer(p, dtype=np.uint8) for lang, p in samples if lang == name] for name in languages]
@@ -289,6 +293,12 @@ def teaching_sample(docs: DataFrame, text: str, lang: str, key: str, per_languag
     return sorted((r["lang"], r["passage"].encode()[:PASSAGE]) for r in rows)
 
 
+def unknown_share(net: Network, text: bytes) -> float:
+    """The part of a text's letters, in bytes, that no teaching passage has."""
+    letters = text.translate(None, NO_LETTER)
+    return len(letters.translate(None, net.known)) / max(1, len(letters))
+
+
 def predict(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
     """All rows with ``lang_pred`` and ``score``.  Narrow."""
     tucked = Tucked(docs)
@@ -297,19 +307,22 @@ def predict(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
 
 def _labelled(tucked: Tucked, net: Network, text: str) -> DataFrame:
     at = tucked.names.index(text)
-    schema = tucked.frame.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    schema = tucked.frame.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "unknown": F.lit(0.0)}).schema
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, at, BATCH_BYTES):
             texts = batch.column(at).fill_null("").to_pylist()
             letters = [net.languages and any(map(str.isalpha, t)) for t in texts]
-            chances = document_chances(net, [t.encode() if ok else b"" for t, ok in zip(texts, letters)])
+            coded = [t.encode() if ok else b"" for t, ok in zip(texts, letters)]
+            chances = document_chances(net, coded)
+            unknown = [unknown_share(net, t) for t in coded]
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             for i, ok in enumerate(letters):
                 if ok:
                     best = int(chances[i].argmax())
                     names[i], scores[i] = net.languages[best], min(1.0, round(float(chances[i][best]), 6))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names), pa.array(scores, pa.float64())], names=schema.names)
+            added = [pa.array(names), pa.array(scores, pa.float64()), pa.array(unknown, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=schema.names)
 
     return tucked.frame.mapInArrow(label, schema)
 
@@ -320,9 +333,17 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
 
 
 def recognised(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-               least: float = LEAST_SCORE) -> DataFrame:
-    """The rows in a known language, with the columns of the input; the others are rejected:
-    texts without a letter and those no language has more than ``least`` of."""
+               over_chance: float = OVER_CHANCE, most_unknown: float = MOST_UNKNOWN) -> DataFrame:
+    """The rows in a known language, with the columns of the input; the others are rejected.
+
+    Rejected are texts without a letter; those of whose letters' bytes more than
+    ``most_unknown`` are in no teaching passage, which are in a script that wasn't learned
+    (networks are often sure about such texts, so their score says nothing); and those whose
+    score among n languages is not over (1 + ``over_chance``) / n, little more than a guess
+    has.  One language alone has no such limit.
+    """
     tucked = Tucked(docs)
-    found = _labelled(tucked, train(teaching_sample(docs, text, lang, key)), text)
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > least)).select(*tucked.back())
+    net = train(teaching_sample(docs, text, lang, key))
+    least = (1 + over_chance) / len(net.languages) if len(net.languages) > 1 else 0.0
+    clear = (F.col("lang_pred") != UNKNOWN) & (F.col("unknown") <= most_unknown) & (F.col("score") > least)
+    return _labelled(tucked, net, text).filter(clear).select(*tucked.back())

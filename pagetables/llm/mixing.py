@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagetables.llm.common import SPACE, Tucked, count_words, unit
+from pagetables.llm.common import SPACE, Tucked, count_words, stored, unit
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -66,11 +66,15 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        seed: str = "mix", rows_per_range: int = ROWS_PER_RANGE, **shares) -> DataFrame:
-    """Every row with ``size``, ``source_size``, ``target`` and ``taken`` words."""
+        seed: str = "mix", rows_per_range: int = ROWS_PER_RANGE, keep_text: bool = True, **shares) -> DataFrame:
+    """Every row with ``size``, ``source_size``, ``target`` and ``taken`` words.
+
+    Without ``keep_text`` the text is left out and every other step works on a table of sizes,
+    written once, so words are counted once."""
     tucked = Tucked(docs)
-    mixed = _mixed(tucked, key, text, source, seed, rows_per_range, **shares)
-    return mixed.select(*tucked.back(*ADDED), *ADDED)
+    mixed = _mixed(tucked, key, text, source, seed, rows_per_range, keep_text, **shares)
+    left_out = ADDED if keep_text else (*ADDED, text)
+    return mixed.select(*tucked.back(*left_out), *ADDED)
 
 
 def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
@@ -78,7 +82,7 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     """The mix itself, with the input's columns: a row for every epoch of a document; of a
     document that the budget cuts, the text up to the last word taken."""
     tucked = Tucked(docs)
-    mixed = _mixed(tucked, key, text, source, seed, rows_per_range, **shares)
+    mixed = _mixed(tucked, key, text, source, seed, rows_per_range, True, **shares)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0))
     left = F.col("taken") - whole * F.col("size")
     copies = F.concat(
@@ -90,7 +94,8 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     return taken.withColumn(tucked.name(text), cut).select(*tucked.back())
 
 
-def _mixed(tucked: Tucked, key: str, text: str, source: str, seed: str, rows_per_range: int, **shares) -> DataFrame:
+def _mixed(tucked: Tucked, key: str, text: str, source: str, seed: str, rows_per_range: int, keep_text: bool,
+           **shares) -> DataFrame:
     order = F.concat_ws("|", F.lit(seed), F.coalesce(tucked[key].cast("string"), tucked[text], F.lit("")))
     rows = tucked.frame.select(
         "*",
@@ -100,6 +105,8 @@ def _mixed(tucked: Tucked, key: str, text: str, source: str, seed: str, rows_per
         F.xxhash64(tucked[text]).alias("tie"),
         unit(order).alias("place"),
     )
+    if not keep_text:
+        rows = stored(rows.drop(tucked.name(text)), "sizes")
     # One row for each source, from per-task sums.  Sources are told apart null-safely.
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     targets = source_targets(sizes, **shares).withColumns({

@@ -184,7 +184,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query(

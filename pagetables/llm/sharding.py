@@ -29,6 +29,7 @@ from pagetables.llm.common import Tucked, stored, utf8_bytes
 
 BUCKET_BYTES = 64 * 1024 * 1024
 LEAST_BUCKETS = 16
+BROADCAST_BUCKETS = 2_000_000  # 32 MB of starts
 ADDED = ("bucket", "bucket_slot")
 
 
@@ -40,6 +41,20 @@ def text_crc32(text: Column) -> Column:
     return F.crc32(text.cast("binary"))
 
 
+def row_bytes(docs: DataFrame) -> Column:
+    """About the bytes of a row in memory: all its columns count, nested ones by their JSON."""
+    size = F.lit(8 * len(docs.columns))
+    for number, field in enumerate(docs.schema.fields):
+        value = F.col(f"`{field.name}`") if docs.columns.count(field.name) == 1 else docs[number]
+        kind = field.dataType.typeName()
+        if kind in ("struct", "array", "map", "variant"):
+            value = F.to_json(F.struct(value.alias("value")))
+        elif kind not in ("string", "binary"):
+            continue
+        size = size + F.coalesce(F.octet_length(value), F.lit(0)).cast("long")
+    return size
+
+
 def bucket_count(docs: DataFrame, size: Column, bucket_bytes: int = BUCKET_BYTES) -> int:
     total = docs.agg(F.sum(size).alias("n")).first()["n"] or 0
     return max(LEAST_BUCKETS, -(-total // bucket_bytes))
@@ -92,17 +107,19 @@ def shuffled(docs: DataFrame, buckets: int, seed: int = 0, key: str = "doc_id",
 def shards(docs: DataFrame, n_shards: int, text: str = "text", key: str = "doc_id", seed: int = 0,
            bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows and columns with ``shard`` and ``slot``, the slots of a shard gapless from 0."""
-    buckets = bucket_count(docs, record_size(F.col(text)), bucket_bytes)
+    buckets = bucket_count(docs, row_bytes(docs), bucket_bytes)
     rows = shuffled(docs, buckets, seed, key)
     tucked = Tucked(rows)
     ahead = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
     # One row of 16 bytes for each bucket, so this is a four-millionth of the input: 25 MB of
-    # 100 TB.  It is broadcast, since a join on buckets would move all records once more.
+    # 100 TB.  It is broadcast, since a join on buckets would move all records once more; only
+    # buckets beyond the bound, which are counted above, are joined.
     starts = rows.groupBy(F.col("bucket").alias("of")).agg(F.count("*").alias("n")).select(
         "of", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start")
     )
+    starts = F.broadcast(starts) if buckets <= BROADCAST_BUCKETS else starts
     place = F.col("start") + tucked["bucket_slot"]
-    return tucked.frame.join(F.broadcast(starts), tucked["bucket"] == F.col("of")).select(
+    return tucked.frame.join(starts, tucked["bucket"] == F.col("of")).select(
         *tucked.back(*ADDED, "shard", "slot"),
         F.pmod(place, F.lit(n_shards)).cast("int").alias("shard"),
         F.floor(place / n_shards).cast("long").alias("slot"),

@@ -53,6 +53,13 @@ def test_shards_rerun_alike_and_differ_by_seed(spark, documents):
     assert order(1) == order(1) != order(2)
 
 
+def test_all_columns_count_for_buckets(spark):
+    wide = spark.range(100).selectExpr("id doc_id", "'t' text", "repeat('x', 1000) other", "array(repeat('y', 500)) parts", "cast(null as string) gap")
+    total = wide.agg(F.sum(sharding.row_bytes(wide))).first()[0]
+    assert 150_000 < total < 170_000
+    assert Counter(r["shard"] for r in sharding.shards(wide, 4, bucket_bytes=3000).collect()) == {s: 25 for s in range(4)}
+
+
 def test_many_buckets_spread_copies(spark):
     docs = spark.range(4000).select("id", F.lit("same text").alias("text"), F.lit(7).cast("long").alias("doc_id"))
     rows = rows_of(sharding.shards(docs, 8, bucket_bytes=1000))
@@ -346,6 +353,13 @@ def test_mix_does_not_depend_on_ranges_or_partitions(spark):
     assert result() == result(rows_per_range=7)
 
 
+def test_mix_without_texts(documents, clashing):
+    columns = ["doc_id", *mixing.ADDED]
+    light = mixing.mix(clashing, keep_text=False)
+    assert "text" not in light.columns and len(light.columns) == len(mixing.mix(clashing).columns) - 1
+    assert sorted(map(str, light.select(columns).collect())) == sorted(map(str, mixing.mix(documents).select(columns).collect()))
+
+
 def test_mixture_repeats_and_cuts(spark, clashing):
     frame = spark.createDataFrame(
         [(i, f" wort{i}  zwei\tdrei vier\n", s) for i, s in enumerate("aaaaabbbbbbbbbbbbbbb")], "doc_id bigint, text string, source string"
@@ -491,6 +505,21 @@ def test_language_defined_cases(documents, clashing, no_documents):
     untouched(kept)
 
 
+def test_scripts_that_were_not_learned_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    odd = ["Привет, мир: как дела?", "这是一个中文句子", "こんにちは世界 123", "שלום עולם", "مرحبا بالعالم", "สวัสดีชาวโลก", "Καλημέρα κόσμε"]
+    rows = spark.createDataFrame([(-1 - i, text, None) for i, text in enumerate(odd)], docs.schema)
+    kept = {r["doc_id"] for r in language.recognised(docs.unionByName(rows)).collect()}
+    clean = {r["doc_id"] for r in docs.collect() if any(map(str.isalpha, r["text"] or ""))}
+    assert not any(i < 0 for i in kept)
+    assert kept <= clean and len(clean - kept) <= len(clean) // 100
+
+
+def test_few_or_no_languages_reject_by_letters_alone(spark):
+    one = spark.createDataFrame([(i, f"words of one language {'abc'[i % 3]}", "en") for i in range(40)] + [(99, "42", "en")], "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in language.recognised(one).collect()} == set(range(40))
+
+
 def test_sample_leaves_the_held_out_documents_out(spark):
     rows = [(i, f"text number {i}", "en" if i % 3 else "de") for i in range(400)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
