@@ -22,6 +22,7 @@ from pagetables.plans import render
 from pagetables.plans.reading import raw_pages
 from pagetables.plans.registry import query
 from pagetables.plans.revising import part_schemas
+from pagetables.streaming.revisions import ANSWER_SCHEMA, REQUEST_SCHEMA, arriving, outcomes, read_decided, write_decided
 
 
 def describing_model(prompt: str, options: dict) -> object:
@@ -174,3 +175,32 @@ def stored_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("error").isNull(), F.substring_index("content", " ", 1)).otherwise(F.col("content")).alias("content"),
         "error", "total_tokens", "tries", "one_answer",
     )
+
+
+@query("""
+  SELECT o_orderkey AS schema_id, CAST(1 AS INTEGER) AS round,
+         CASE WHEN o_orderkey % 5 < 2 THEN 'timed out' ELSE 'answered' END AS outcome,
+         CASE WHEN o_orderkey % 5 >= 2 THEN 'about ' || o_orderpriority END AS content
+  FROM orders
+  UNION ALL SELECT o_orderkey, 1, 'stray', 'about ' || o_orderpriority FROM orders WHERE o_orderkey % 5 = 1""")
+def streamed_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request about every order and its answer as streams: in time, a day late, or lost."""
+    orders = render.load(spark, sf_dir, "orders")
+    key, asked = F.col("o_orderkey").alias("schema_id"), F.col("o_orderdate").cast("timestamp")
+    kind = F.col("o_orderkey") % 5
+    hours = F.when(kind == 1, 30).otherwise(kind)
+    requests = orders.select(key, F.lit(1).alias("round"), F.col("o_orderpriority").alias("prompt"), asked.alias("asked_at"))
+    answers = orders.filter(kind > 0).select(
+        key, F.lit(1).alias("round"), F.concat(F.lit("about "), "o_orderpriority").alias("content"),
+        (asked + F.make_interval(hours=hours.cast("int"))).alias("answered_at"),
+    )
+    clock = spark.range(1).selectExpr("cast(null as bigint)", "cast(null as int)", "cast(null as string)", "timestamp'2100-01-01'")
+    asking, giving, found, progress = (new_path(spark, n) for n in ("requests", "answers", "decided", "progress"))
+    for sent, given in ((requests, answers), (clock.toDF(*requests.columns), clock.toDF(*answers.columns))):
+        sent.write.mode("append").parquet(asking)
+        given.write.mode("append").parquet(giving)
+        streams = arriving(spark, asking, REQUEST_SCHEMA), arriving(spark, giving, ANSWER_SCHEMA)
+        write_decided(*streams, found, progress, wait="1 day").awaitTermination()
+    decided = read_decided(spark, found)
+    stray = decided.filter("outcome = 'stray'").select("schema_id", "round", "outcome", "content")
+    return outcomes(requests, decided).unionByName(stray)
