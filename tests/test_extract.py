@@ -183,3 +183,15 @@ def test_vertical(extract):
     assert not one(extract, table(long_name, long_name))["is_vertical"]
     seven = one(extract, table(*[cells(f"k{i}:", str(i)) for i in range(7)]))
     assert seven["rows"] == [[str(i) for i in range(7)]]
+
+
+def test_a_cell_does_not_copy_the_page(spark):
+    """A binary column named inside a ``transform`` is copied whole for every element."""
+    from pagetables.operators.extract import extract_tables, find_captions, texts_of
+    from pagetables.operators.shred import shred
+
+    dom = shred(spark.createDataFrame([(1, "<h1>a</h1><table><tr><td>b</td></tr></table>")], "doc_id int, html string"))
+    for frame in (extract_tables(dom), find_captions(dom), texts_of(dom, "td")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "page_text" in plan and "substring(page_text" not in plan
+    assert [r.text for r in texts_of(dom, "h1", "td").collect()] == ["a", "b"]

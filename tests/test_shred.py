@@ -92,3 +92,29 @@ def test_decoding():
     for content in (latin, "\ufeff<h1>é</h1>".encode(), "<h1>é</h1>".encode(),
                     "\ufeff<h1>é</h1>".encode("utf-16-le"), "<h1>é</h1>".encode("cp1252")):
         assert "é" in re.sub("^\ufeff", "", stage.decode_markup(content))
+
+
+def test_bare_tags_are_read_without_a_call_each(monkeypatch):
+    calls = []
+    for name in ("handle_starttag", "handle_endtag"):
+        monkeypatch.setattr(stage._Events, name, lambda self, *args: calls.append(args))
+    events = stage._Events()
+    events.read("<h1>Title</h1><table>" + "<tr><th>a</th><td> b </td><td><b>c</b>d</td></tr>" * 9 + "</table>")
+    assert not calls
+    assert [tag for _, tag, _ in events.nodes] == ["h1", "table"] + ["tr", "th", "td", "td"] * 9
+    assert b"".join(events.texts) == b"Title" + b"abcd" * 9
+    assert events.last[:2] == [0, 37] and events.end[1] == len(b"Title") + 36
+
+
+LEAVES = st.sampled_from(
+    ["<td>w</td>", "<TD>é</td>", "<td>w</TD>", "<td></td>", "<td> w", "<b>w</b>", "<br>x</br>", "<rt>x</rt>", "<script>a</script>",
+     "<template>", "</template>", "<h1>T</h1>", "<h2>U</h2>", "<caption> c </caption>", "<tr>", "</tr>", "<table>", "</table>", "&amp;", "&", " ", "w",
+     "<div class=cell>", "</div>", "<p>", "</p>", "<!-- c -->", "<td>a&lt;b</td>", "<td><td>x</td></td>", "<title>t</title>"]
+)
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(LEAVES, max_size=30))
+def test_elements_of_text_alone_are_read_as_the_parser_reads_them(pieces):
+    markup = "".join(pieces)
+    assert nodes(stage._Events, markup) == nodes(Plain, markup)
