@@ -43,7 +43,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from pagetables.sources.shares import opened
+from pagetables.sources.shares import listed, opened
 
 FORMAT = "named_docs"
 DOCS = "schema_id string, doc string, file string"
@@ -196,10 +196,6 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=names)
 
 
-def listed(files: fs.FileSystem, folder: str) -> list[fs.FileInfo]:
-    return files.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-
-
 def commits(files: fs.FileSystem, root: str) -> list[fs.FileInfo]:
     """The commit files in order."""
     found = [f for f in listed(files, f"{root}/commits") if f.base_name.endswith(".json")]

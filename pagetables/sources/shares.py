@@ -19,3 +19,8 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     authority, _, inner = rest.partition("/")
     system, base = fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{authority}")
     return system, f"{base.rstrip('/')}/{inner}"
+
+
+def listed(files: fs.FileSystem, folder: str) -> list[fs.FileInfo]:
+    """What is right in a folder; nothing where there is none."""
+    return files.get_file_info(fs.FileSelector(folder, allow_not_found=True))

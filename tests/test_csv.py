@@ -107,3 +107,16 @@ def test_typed_sample(spark, tmp_path):
     assert found["note"].type == "string"
     assert sample.first().note == 'line\n"0"'
     assert sample.select(F.count("id")).first()[0] == 100
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path):
+    for folder in ("docs-1/a/0", "docs-1/b/0", "docs-1/b/1", "other/a/0"):
+        (tmp_path / folder).mkdir(parents=True)
+        for name in ("a.csv", "a b%2F.csv", "_x.csv", ".x.csv", "x.txt", "none.csv"):
+            (tmp_path / folder / name).write_text("" if name == "none.csv" else name)
+    for path in (f"{tmp_path}/docs-*/*/*", f"file://{tmp_path}/docs-?/b/*", f"{tmp_path}/other/a/0/", f"{tmp_path}/{{docs-1,other}}/a/0"):
+        frame = list_csv(spark, path)
+        known = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+        assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, known.select("path", "length").collect()))
+        if "{" not in path:  # the driver knows no file
+            assert frame.inputFiles() == [] and len(known.inputFiles()) > 1
