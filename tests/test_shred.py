@@ -118,3 +118,24 @@ LEAVES = st.sampled_from(
 def test_elements_of_text_alone_are_read_as_the_parser_reads_them(pieces):
     markup = "".join(pieces)
     assert nodes(stage._Events, markup) == nodes(Plain, markup)
+
+
+def test_cells_next_to_each_other_are_read_as_one():
+    rows = "<tr><th>a</th><th> é </th></tr>" + "<tr><td>1</td><td></td></tr>" * 3
+    tokens = [m.lastindex for m in stage._BARE.finditer(f'<table>{rows}<td>x</td><td>y</td><div class="Row"><b>z</b></div>')]
+    assert tokens == [6, *[stage._ROW] * 4, stage._RUN, stage._CLASS, stage._LEAF, stage._CLOSING]
+
+
+RUNS = st.sampled_from(
+    ["<tr><td>a</td><td> é </td></tr>", "<tr><th>x</th></tr>", "<tr><td>a</td><th>b</th></tr>", "<td>p</td><td></td>", "<th>\xa0q</th>", "<tr>", "</tr>",
+     "<td>", "</td>", "<TD>u</TD>", '<div class="Row  odd">', '<div class="my-cell">v</div>', '<div class="">', "</div>", '<td class="cell">', '<td class="a">w</td>',
+     '<p class="cell">', "</p>", '<br class="x">', '<br class="x">t</br>', '<script class="x">', "</script>", '<title class="x">t</title>', '<h1 class="x">h</h1>', "<h2>i</h2>",
+     "<template>", '<template class="x">', "</template>", "<table>", "</table>", "&amp;", "s", " ", '<div class="a&amp;b">', '<div class="c"/>', "<caption>c</caption>"]
+)
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.lists(RUNS, max_size=30))
+def test_runs_of_cells_and_classes_are_read_as_the_parser_reads_them(pieces):
+    markup = "".join(pieces)
+    assert nodes(stage._Events, markup) == nodes(Plain, markup)
