@@ -195,3 +195,16 @@ def test_a_cell_does_not_copy_the_page(spark):
         plan = frame._jdf.queryExecution().optimizedPlan().toString()
         assert "page_text" in plan and "substring(page_text" not in plan
     assert [r.text for r in texts_of(dom, "h1", "td").collect()] == ["a", "b"]
+
+
+def test_bound_values_are_not_copied(spark):
+    """``transform`` copies what its body returns, a table with its cells at every level."""
+    from pyspark.sql import functions as F
+
+    from pagetables.functions.text import bind
+
+    frame = spark.createDataFrame([(1, ["a"]), (None, None)], "n int, names array<string>")
+    nested = bind(F.col("n") + 1, lambda n: F.transform("names", lambda w: bind(w, lambda v: F.concat(v, n.cast("string")))))
+    found = frame.select(nested.alias("x"), bind(F.col("n"), lambda n: F.coalesce(n, F.lit(-1))).alias("y"))
+    assert "transform(array(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.y, r.x) for r in found.collect()) == [(-1, None), (1, ["a2"])]
