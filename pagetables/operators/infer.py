@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagetables.functions.rows import once
-from pagetables.functions.text import bind, json_text, strip
+from pagetables.functions.text import bind, choose, json_text, strip
 
 KINDS = ["int", "float", "date", "boolean", "object", "array", "string"]
 
@@ -90,45 +90,38 @@ def date_mask(value: Column) -> Column:
     for i, (form, check) in enumerate(DATE_FORMATS.items()):
         hit = F.when(value.rlike(check), F.try_to_timestamp(value, F.lit(form)).isNotNull())
         bits = bits + F.when(hit, 1 << i).otherwise(0)
-    return F.when(value.rlike(MAYBE_DATE), bits).otherwise(0)
+    return choose(value.rlike(MAYBE_DATE), bits, 0)
 
 
 def json_kind(value: Column) -> Column:
-    return F.when(
-        value.startswith("{") & value.endswith("}") & F.try_parse_json(value).isNotNull(), "object"
-    ).when(value.startswith("[") & value.endswith("]") & F.try_parse_json(value).isNotNull(), "array")
+    def held(begin: str, end: str) -> Column:
+        return value.startswith(begin) & value.endswith(end) & F.try_parse_json(value).isNotNull()
+
+    return choose(held("{", "}"), "object", choose(held("[", "]"), "array"))
 
 
 def plain_kind(v: Column) -> Column:
     """Kind of a stripped value by its text alone; ``?`` when that does not tell."""
-    return (
-        F.when(v == "", F.lit(None).cast("string"))
-        .when(v.rlike(INT), "int")
-        .when(v.rlike(NUMBER), "float")
-        .when(v.rlike(BOOLEAN), "boolean")
-        .otherwise("?")
-    )
+    filled = choose(v.rlike(NUMBER), "float", choose(v.rlike(BOOLEAN), "boolean", "?"))
+    return choose(v == "", None, choose(v.rlike(INT), "int", filled))
 
 
 def open_dates(v: Column, plain: Column) -> Column:
-    return F.when(plain == "?", date_mask(v)).otherwise(0)
+    return choose(plain == "?", date_mask(v), 0)
 
 
 def full_kind(v: Column, plain: Column, dates: Column) -> Column:
-    return (
-        F.when(plain != "?", plain)
-        .when(dates > 0, "date")
-        .when(plain == "?", F.coalesce(json_kind(v), F.lit("string")))
-    )
+    text = choose(plain == "?", F.coalesce(json_kind(v), F.lit("string")))
+    return choose(plain != "?", plain, choose(dates > 0, "date", text))
 
 
 def fact(v: Column, kind: Column, dates: Column) -> dict[str, Column]:
     return {
         "kind": kind,
-        "number": F.when(kind.isin("int", "float"), v.try_cast("double")),
-        "whole": F.when(kind == "int", v.try_cast(WHOLE)),
+        "number": choose((kind == "int") | (kind == "float"), v.try_cast("double")),
+        "whole": choose(kind == "int", v.try_cast(WHOLE)),
         "dates": dates,
-        "shape": F.when((kind == "string") & v.rlike(SHAPEABLE), shape(v)),
+        "shape": choose((kind == "string") & v.rlike(SHAPEABLE), shape(v)),
     }
 
 
@@ -186,16 +179,19 @@ def array_votes(values: Column) -> Column:
         return count(dates, lambda d: d.bitwiseAND(1 << i) != 0)
 
     def counted(
-        kinds: Column, dates: Column, numbers: Column, wholes: Column, shapes: Column
+        kinds: Column, found: Column, dates: Column, numbers: Column, wholes: Column, shapes: Column
     ) -> Column:
-        strings = count(kinds, lambda k: F.coalesce(k == "string", F.lit(False)))
+        strings = F.when(
+            F.array_contains(found, "string"),
+            count(kinds, lambda k: F.coalesce(k == "string", F.lit(False))),
+        ).otherwise(F.lit(0).cast("bigint"))
         return F.struct(
-            F.array_sort(F.array_compact(F.array_distinct(kinds))).alias("kinds"),
+            found.alias("kinds"),
             F.size(kinds).cast("bigint").alias("total"),
             count(kinds, lambda k: k.isNull()).alias("blank"),
             strings.alias("strings"),
             F.when(
-                F.array_contains(F.array_compact(kinds), "date"),
+                F.array_contains(found, "date"),
                 F.array(*[hits(dates, i) for i in range(len(DATE_FORMATS))]),
             ).alias("formats"),
             F.array_min(numbers).alias("minimum"),
@@ -208,26 +204,37 @@ def array_votes(values: Column) -> Column:
             F.array_max(shapes).alias("last_shape"),
         )
 
-    def with_kinds(vs: Column, dates: Column, kinds: Column) -> Column:
-        only_strings = ~F.exists(kinds, lambda k: F.coalesce(k != "string", F.lit(False)))
-        numbers = by(lambda v, k: fact(v, k, k)["number"], vs, kinds)
-        any_whole = F.array_contains(F.array_compact(kinds), "int")
-        wholes = F.when(any_whole, by(lambda v, k: fact(v, k, k)["whole"], vs, kinds))
-        shapes = F.when(only_strings, by(lambda v, k: fact(v, k, k)["shape"], vs, kinds))
-        none = F.array().cast("array<string>")
+    def with_found(vs: Column, dates: Column, kinds: Column, found: Column) -> Column:
+        """``found`` has the few kinds there are; what none of them asks for is not looked at."""
+
+        def where(test: Column, name: str, ddl: str) -> Column:
+            facts = by(lambda v, k: fact(v, k, k)[name], vs, kinds)
+            return F.when(test, facts).otherwise(F.array().cast(f"array<{ddl}>"))
+
+        whole = F.array_contains(found, "int")
+        numbers = where(whole | F.array_contains(found, "float"), "number", "double")
+        wholes = where(whole, "whole", WHOLE)
+        shapes = where(found == F.array(F.lit("string")), "shape", "string")
         return bind(
             numbers,
             lambda n: bind(
-                F.coalesce(wholes, F.array().cast(f"array<{WHOLE}>")),
-                lambda w: bind(F.coalesce(shapes, none), lambda s: counted(kinds, dates, n, w, s)),
+                wholes,
+                lambda w: bind(shapes, lambda s: counted(kinds, found, dates, n, w, s)),
             ),
         )
 
+    def with_kinds(vs: Column, dates: Column, kinds: Column) -> Column:
+        found = F.array_sort(F.array_compact(F.array_distinct(kinds)))
+        return bind(found, lambda known: with_found(vs, dates, kinds, known))
+
     def with_dates(vs: Column, plains: Column, dates: Column) -> Column:
-        return bind(by(full_kind, vs, plains, dates), lambda kinds: with_kinds(vs, dates, kinds))
+        kinds = F.when(F.size(dates) > 0, by(full_kind, vs, plains, dates)).otherwise(plains)
+        return bind(kinds, lambda known: with_kinds(vs, dates, known))
 
     def with_plains(vs: Column, plains: Column) -> Column:
-        return bind(by(open_dates, vs, plains), lambda dates: with_dates(vs, plains, dates))
+        unclear = F.exists(plains, lambda p: F.coalesce(p == "?", F.lit(False)))
+        dates = F.when(unclear, by(open_dates, vs, plains)).otherwise(F.array().cast("array<int>"))
+        return bind(dates, lambda known: with_dates(vs, plains, known))
 
     stripped = F.transform(values, lambda v: strip(F.coalesce(v, F.lit(""))))
     return bind(
@@ -259,8 +266,12 @@ def constraints_of(minimum: Column, maximum: Column, pattern: Column) -> Column:
             F.concat(F.lit('"pattern":'), json_text(pattern)),
         )
     )
-    text = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
-    return F.when(F.size(members) > 0, F.try_parse_json(text))
+
+    def parsed(present: Column) -> Column:
+        text = F.concat(F.lit("{"), F.array_join(present, ","), F.lit("}"))
+        return F.when(F.size(present) > 0, F.try_parse_json(text))
+
+    return bind(members, parsed)
 
 
 def described(name: Column) -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pagetables.operators.infer import (
     array_votes,
+    constraints_of,
     infer_from_names,
     infer_tables,
     normalise_types,
@@ -97,3 +98,28 @@ def test_votes_hash_and_combine_before_the_exchange(spark):
     assert plan.count("ObjectHashAggregate") == 2 and "SortAggregate" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
     assert profile_votes(frame, ["g"]).count() == 3
+
+
+def test_constraints_are_written_once(spark):
+    frame = spark.createDataFrame([("1", "2", "^a$"), (None, None, None)], "low string, high string, pattern string")
+    found = frame.select(constraints_of(F.col("low"), F.col("high"), F.col("pattern")).alias("c"))
+    assert found._jdf.queryExecution().analyzed().toString().count("to_json(") == 1
+    texts = [r.c for r in found.select(F.to_json("c").alias("c")).collect()]
+    assert texts == ['{"maximum":2,"minimum":1,"pattern":"^a$"}', None]
+
+
+MIXED = [
+    ["1", "2024-01-02", ""], ["1", "2.5", "x"], ["2024-01-02", "x"], ["true", "{}", "[1]"], ["", "x", "y"],
+    ["a\tb", "c"], ["9" * 40, "1"], ["", "2024-01-02", "02.01.2024"], ["[a]", "{"], [],
+]
+
+
+def test_kinds_that_do_not_ask_for_a_fact_leave_its_votes_empty(spark):
+    """Votes over arrays end in the same columns as votes over rows, whatever kinds meet."""
+    frame = spark.createDataFrame(list(enumerate(MIXED)), "g int, v array<string>")
+    nested = frame.select("g", resolve(array_votes(F.col("v"))).alias("r")).select("g", "r.*")
+    rows = frame.select("g", F.explode("v").alias("v"))
+    fields = [*FIELDS, "least", "most"]
+    want = {r.g: tuple(r[f] for f in fields) for r in profile(rows, ["g"]).collect()}
+    got = {r.g: tuple(r[f] for f in fields) for r in nested.collect()}
+    assert got.pop(len(MIXED) - 1)[:2] == ("null", False) and got == want
