@@ -229,13 +229,14 @@ def sample_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
                unnest([0.7, 0.7, 0.7, 0.5, 0.7, 0.7, 0.7, 0.7, 0.5, 0.5, 0.7]::DOUBLE[]) AS confidence
         FROM lineitem) GROUP BY ALL""")
 def columns_from_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types judged by header names alone."""
-    heads = headers_of(
-        tables_of(extract_tables(shred(render.lineitem_pages(spark, sf_dir)))), "l_orderkey"
-    )
-    return infer_from_names(heads).groupBy("l_orderkey", "name", "type", "confidence", "inferred").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """Types judged by header names alone.
+
+    Tables of an order meet as rows of all their headers and names are judged after they are counted, so
+    that no row a header and page is moved or judged."""
+    found = tables_of(extract_tables(shred(render.lineitem_pages(spark, sf_dir))))
+    alike = found.groupBy("l_orderkey", "table_id", "headers").agg(F.count(F.lit(1)).alias("n"))
+    heads = headers_of(alike, "l_orderkey", "n").groupBy("l_orderkey", "name").agg(F.sum("n").alias("n"))
+    return infer_from_names(heads).select("l_orderkey", "name", "type", "confidence", "inferred", "n")
 
 
 ALIASED = ["VARCHAR(20)", "str", "bigint", "decimal(10, 2)", "NoneType", "dict", "list", "Money"]

@@ -12,7 +12,7 @@ from pagetables.operators.metrics import phase_summary
 from pagetables.operators.schemas import apply_patches, to_json_docs
 from pagetables.operators.select import select_tables, with_advice
 from pagetables.operators.shred import shred
-from pagetables.plans import measuring, reading, render, revising
+from pagetables.plans import inferring, measuring, reading, render, revising
 from pagetables.session import PARTITIONS
 from pagetables.streaming.arrivals import PAGES_SCHEMA, page_stream, schema_stream, write_stream
 
@@ -47,6 +47,18 @@ def test_extraction_is_not_repeated_by_filters(spark):
     assert text.count("INSET") == 1  # the word list of the property-value test
 
 
+def test_rows_and_headers_are_found_without_reading_all_nodes(spark):
+    text = page_documents(pages(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "places" in text and text.count("filter(nodes") <= 1  # the empty list of headers
+    assert ".tag = tr" not in text and ".tag = th" not in text
+
+
+def test_headers_are_counted_before_they_are_rows_and_judged(spark):
+    plan = plan_of(inferring.columns_from_names(spark, SF_DIR))
+    assert plan.index("partial_sum(n") < plan.index("posexplode(headers") < plan.index("partial_count(1)")
+    assert "RLIKE" not in plan[plan.index("partial_sum(n"):]
+
+
 def test_inputs_are_dealt_out_only_where_the_session_says_so(spark):
     assert "RoundRobinPartitioning(4)" in plan_of(render.load(spark, SF_DIR, "pages"))
     assert "RoundRobinPartitioning(3)" in plan_of(render.load(spark, SF_DIR, "pages", 3))

@@ -139,3 +139,47 @@ RUNS = st.sampled_from(
 def test_runs_of_cells_and_classes_are_read_as_the_parser_reads_them(pieces):
     markup = "".join(pieces)
     assert nodes(stage._Events, markup) == nodes(Plain, markup)
+
+
+WRAPS = st.sampled_from(
+    ["<table>%s</table>", "<tr>%s</tr>", "<td>%s</td>", "<TH>%s</th>", "<b>%s</b>", "<h1>%s</h1>", "<h2> %s</h2>", "<h3>%s</h3>",
+     "<caption>%s</caption>", "<thead>%s</thead>", "<div>%s</div>", "<td> é%s\xa0</td>", "<br>%s</br>", "%s<hr>", "<title>t</title>%s",
+     "<!DOCTYPE html>%s", "x %s\n", "%s", "<td>%s", "%s&amp;", "<td class='a'>%s</td>", "<b>%s</i>", "%s>", "<title>%s", "</!doctype>%s"]
+)
+TREES = st.recursive(
+    st.sampled_from(["", " ", "w", "é", "  y z "]),
+    lambda inner: st.builds(lambda wrap, parts: wrap.replace("%s", "".join(parts)), WRAPS, st.lists(inner, max_size=4)),
+    max_leaves=20,
+)
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.one_of(st.none(), TREES, st.lists(PIECES, max_size=8).map("".join)), min_size=1, max_size=12))
+def test_pages_read_at_once_are_read_as_one_by_one(pages):
+    markup = pa.array(pages, pa.string())
+    assert [c.to_pylist() for c in stage.shred_batch(markup)] == [c.to_pylist() for c in stage.parsed(markup)]
+
+
+def test_plain_pages_are_read_without_a_parser_each(monkeypatch):
+    plain = "<!DOCTYPE html><title>t</title><h1>T</h1><table><tr><th>a</th><th> é </th></tr><tr><td>1<br>2</td><td></td></tr></table>"
+    want = [c.to_pylist() for c in stage.parsed(pa.array([plain] * 3))]
+    monkeypatch.setattr(stage, "parsed", None)
+    assert [c.to_pylist() for c in stage.shred_batch(pa.array([plain] * 3))] == want
+    monkeypatch.undo()
+    assert stage.plain_pages(pa.array([plain, None, plain + "&", "<td>"]), 99).plain.tolist() == [True, False, False, False]
+
+
+def test_cells_that_repeat_too_much_are_not_plain(monkeypatch):
+    markup = pa.array(["<td>" * 9 + "x" * 50 + "</td>" * 9, "<td>y</td>"])
+    monkeypatch.setattr(stage, "MOST_CELL_BYTES", 400)
+    _, texts, errors = stage.shred_batch(markup)
+    assert texts.to_pylist() == [None, b"y"]
+    assert errors.to_pylist() == ["Error: Cells left open repeat 450 bytes of text", None]
+
+
+def test_places_are_ids_by_tag():
+    pages = ["<table><tr><td>a</td><td><table><tr><th>b</th></tr></table></td></tr></table>", None, "<td>c</td><tr></tr>"]
+    nodes, places = stage.placed(stage.shred_batch(pa.array(["<tr>", *pages]))[0].slice(1))
+    assert [p["tr"] for p in places.to_pylist()] == [[1, 5], [], [1]]
+    assert [p["th"] for p in places.to_pylist()] == [[6], [], []]
+    assert [[n["cells"] for n in page] for page in nodes.to_pylist()] == [[3, 3, 0, 1, 1, 1, 0], [], [0, 0]]
