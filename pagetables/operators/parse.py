@@ -53,6 +53,11 @@ def variant_kind(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
+def is_object(value: Column) -> Column:
+    """Whether a variant is an object; the kind's name would spell out all that it holds."""
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
 def member(value: Column, name: str, kind: str = "variant") -> Column:
     return F.try_variant_get(value, f"$.{name}", kind)
 
@@ -67,7 +72,7 @@ def read_json(text: Column) -> Column:
 
     def unquoted(value: Column) -> Column:
         inner = F.try_variant_get(value, "$", "string")
-        return F.when(variant_kind(value) == "STRING", lenient_json(inner)).otherwise(value)
+        return F.when(is_object(value), value).when(variant_kind(value) == "STRING", lenient_json(inner)).otherwise(value)
 
     def attempt(clean: Column) -> Column:
         return bind(
@@ -90,7 +95,7 @@ def column_items(json: Column) -> Column:
 
 
 def object_only(value: Column) -> Column:
-    return F.when(variant_kind(value) == "OBJECT", value)
+    return F.when(is_object(value), value)
 
 
 def has_columns(json: Column) -> Column:
@@ -106,7 +111,7 @@ def text_or_null(value: Column) -> Column:
 
 def filled_object(value: Column) -> Column:
     """A variant object with members, else NULL."""
-    return F.when((variant_kind(value) == "OBJECT") & (F.to_json(value) != "{}"), value)
+    return F.when(is_object(value) & (F.to_json(value) != "{}"), value)
 
 
 def lenient_column(item: Column, position: Column, has_sample: Column) -> Column:
@@ -141,7 +146,7 @@ def lenient_column(item: Column, position: Column, has_sample: Column) -> Column
         F.lit(None).cast("variant").alias("constraints"),
         F.array().cast("array<string>").alias("sample_values"),
     ).cast(COLUMN_DDL)
-    return F.when(variant_kind(item) == "OBJECT", bind(name, read)).otherwise(broken)
+    return F.when(is_object(item), bind(name, read)).otherwise(broken)
 
 
 def header_columns(headers: Column) -> Column:
@@ -171,11 +176,11 @@ def parse_schema_text(responses: DataFrame) -> DataFrame:
     """
     read = read_json(F.col("content"))
     named = member(F.col("read.json"), "name").isNotNull()
-    is_object = variant_kind(F.col("read.json")) == "OBJECT"
+    given = is_object(F.col("read.json"))
     status = (
         F.when(F.col("content").isNull(), "model_error")
-        .when(is_object & has_columns(F.col("read.json")), "parsed")
-        .when(is_object & named, "no_columns")
+        .when(given & has_columns(F.col("read.json")), "parsed")
+        .when(given & named, "no_columns")
         .when(F.col("content").startswith("Error: ") & F.col("read.rescued"), "model_error")
         .when(F.col("read.rescued"), "unparsed")
         .otherwise("not_a_schema")

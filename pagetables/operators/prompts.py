@@ -178,12 +178,17 @@ def run_model(
         seconds = round(time.perf_counter() - begin, 3)
         return {**answer, "latency_s": seconds, "model": model}
 
+    def take(waiting: Iterator[tuple[int, str | None]], replies: list[dict]) -> None:
+        for i, prompt in waiting:  # shared by the threads: each takes the next one
+            replies[i] = ask(prompt)
+
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(calls) as threads:
             for batch in batches:
                 for begin in range(0, batch.num_rows, BATCH):
                     part = batch.slice(begin, BATCH)
-                    replies = list(threads.map(ask, part.column(len(keep)).to_pylist()))
+                    waiting, replies = enumerate(part.column(len(keep)).to_pylist()), [{}] * part.num_rows
+                    list(threads.map(take, [waiting] * calls, [replies] * calls))
                     columns = [
                         pa.array([r.get(name) for r in replies], kind)
                         for name, kind in zip(names[len(keep):], types)
