@@ -133,24 +133,29 @@ def model_schemas(
     table = F.col("table")
     asked = once(select_tables(documents), ready=F.col("status")).drop("status", "tables", "tables_count")
     kinds = F.when(F.col("ready") == "Success", kind_of(table))
-    prompts = asked.withColumn("prompt", table_prompt(table, kinds))
-    answers = parse_schema_text(run_model(prompts, model_fn, **options))
-    sampled = answers.withColumns(
-        {"has_sample": F.size(table["rows"]) > 0, "headers": F.coalesce(table["headers"], F.array().cast("array<string>"))}
+    # Of the table, only what the schema says of it goes to the call and back.
+    known = table_metadata(table)
+    prompts = asked.select(
+        "doc_id", "source", "table_index", "ready",
+        table.isNull().alias("no_table"),
+        F.coalesce(table["headers"], F.array().cast("array<string>")).alias("headers"),
+        *[value.alias(name) for name, value in known.items()],
+        table_prompt(table, kinds).alias("prompt"),
     )
-    schemas = fallback_schema(normalise_schema(sampled, "has_sample"))
+    answers = parse_schema_text(run_model(prompts, model_fn, **options))
+    schemas = fallback_schema(normalise_schema(answers, "has_sample_data"))
     failed = F.when(
         F.col("ready") != "Success", F.concat(F.lit("Error: "), F.regexp_replace("ready", "^Error: ", ""))
-    ).when(table.isNull(), "Error: No table selected")
+    ).when(F.col("no_table"), "Error: No table selected")
     flat = schemas.select(
         F.col("doc_id").alias("schema_id"),
         F.lit(0).alias("version"),
         F.coalesce(failed, F.when(F.col("status") == "parsed", "Success").otherwise(F.col("status"))).alias("status"),
-        "source", "table_index", "table", "name", "description", "columns",
+        "source", "table_index", *known, "name", "description", "columns",
         *[c for c in RESPONSE_COLUMNS if c != "content"],
     )
-    members = {**table_metadata(table), **source_metadata(F.lit(kind), F.col("source"), F.col("table_index"))}
-    return attach_metadata(flat, **members).drop("source", "table_index", "table")
+    members = {**{name: F.col(name) for name in known}, **source_metadata(F.lit(kind), F.col("source"), F.col("table_index"))}
+    return attach_metadata(flat, **members).drop("source", "table_index", *known)
 
 
 def revised_schemas(

@@ -96,6 +96,13 @@ def test_model_path_is_one_narrow_run(spark):
     assert "Exchange" not in plan and plan.count("MapInArrow") == 2  # parsing and asking
 
 
+def test_tables_do_not_go_to_the_model_call(spark):
+    frame = model_schemas(page_documents(pages(spark)), lambda prompt, options: {"content": "{}"})
+    sent = plan_of(frame).split("MapInArrow call(")[1].split(")#")[0]
+    assert "prompt#" in sent and "headers#" in sent and "table#" not in sent
+    assert set(frame.columns) >= {"schema_id", "status", "columns", "metadata"} and "headers" not in frame.columns
+
+
 def test_metrics_combine_before_one_exchange(spark):
     plan = plan_of(phase_summary(measuring.event_log(spark, SF_DIR)))
     assert plan.count("hashpartitioning") == 1 and plan.count("partial_sum") >= 4
