@@ -99,7 +99,7 @@ def test_model_path_is_one_narrow_run(spark):
 def test_tables_do_not_go_to_the_model_call(spark):
     frame = model_schemas(page_documents(pages(spark)), lambda prompt, options: {"content": "{}"})
     sent = plan_of(frame).split("MapInArrow call(")[1].split(")#")[0]
-    assert "prompt#" in sent and "headers#" in sent and "table#" not in sent
+    assert "prompt#" in sent and "headers#" in sent and ", table#" not in sent
     assert set(frame.columns) >= {"schema_id", "status", "columns", "metadata"} and "headers" not in frame.columns
 
 
